@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from demandloom.functions.stats import sample_kurtosis, sample_skewness
-from demandloom.functions.text import number_or_null
+from demandloom.functions.text import number_or_null, tidy_name
 from demandloom.operators.ranking import exact_quantiles
 from demandloom.schema import (
     DATE,
@@ -114,7 +114,7 @@ def quality_profile(df: DataFrame, products: list[str] = REFERENCE_PRODUCTS) ->
     checks["negative_quantity"] = quantity < 0
     checks["zero_quantity"] = quantity == 0
     checks["numeric_store"] = F.col(STORE).rlike(r"^\d+$")
-    checks["unknown_product"] = ~F.lower(F.trim(F.col(PRODUCT))).isin(products)
+    checks["unknown_product"] = ~tidy_name(F.col(PRODUCT)).isin(products)
     checks["free_item"] = (price == 0) & (quantity > 0)
 
     flagged = df.agg(

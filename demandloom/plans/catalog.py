@@ -463,9 +463,7 @@ def _export_files(df: DataFrame, columns: list[str]) -> str:
         .repartition(SOURCE_FILE)
         .sortWithinPartitions(SOURCE_FILE, SEQ)
         .drop(SEQ)
-        .write.option("header", True)
-        .option("ignoreLeadingWhiteSpace", False)
-        .option("ignoreTrailingWhiteSpace", False)
+        .write.options(**writers.WRITE_OPTIONS["csv"])
         .partitionBy(SOURCE_FILE)
         .csv(path)
     )

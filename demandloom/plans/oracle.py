@@ -161,7 +161,7 @@ err_ref AS (SELECT "Product Name", "Total Quantity" - y_hat AS v FROM win_ref JO
 
 
 def _ks(keys: str, ref: str, new: str, tag: str) -> str:
-    """Common tables ks_<tag>(keys, n_ref, n_new, gap, ks_statistic, p_value) for equal-size samples."""
+    """Common tables ks_<tag>(keys, n_ref, n_new, gap, ks_statistic, p_value)."""
     return f"""both_{tag} AS (SELECT {keys}, v, 1 AS r, 0 AS n FROM {ref} UNION ALL SELECT {keys}, v, 0, 1 FROM {new}),
 count_{tag} AS (SELECT {keys}, v, sum(r) AS r, sum(n) AS n FROM both_{tag} WHERE v IS NOT NULL GROUP BY {keys}, v),
 cum_{tag} AS (
@@ -174,17 +174,23 @@ ks_{tag} AS (
   FROM cum_{tag} GROUP BY {keys})"""
 
 
-def _equal_p(table: str, keys: str, tag: str) -> str:
-    """p-value for samples of the same size n from k = n * D (closed form)."""
-    return f"""terms_{tag} AS (
-  SELECT {keys}, n_ref, gap, CAST(gap // n_ref AS BIGINT) AS k,
-         unnest(generate_series(1, CASE WHEN gap > 0 THEN CAST(n_ref // (gap // n_ref) AS BIGINT) ELSE 1 END)) AS j
-  FROM {table} WHERE n_ref = n_new AND n_ref >= 2),
+def _exact_p(table: str, tag: str) -> str:
+    """Common table p_<tag>: probability that a random merge of both samples gets as far
+    apart as ``gap``, by walking all merges step by step."""
+    return f"""walk_{tag} AS (
+  SELECT "Product Name", n_ref AS a, n_new AS b, CAST(gap AS BIGINT) AS gap, CAST(0 AS BIGINT) AS i,
+         CAST(0 AS BIGINT) AS j, CAST(1 AS DOUBLE) AS mass, gap = 0 AS away
+  FROM {table} WHERE n_ref >= 2 AND n_new >= 2
+  UNION ALL
+  SELECT "Product Name", a, b, gap, i + di, j + dj,
+         sum(mass * CASE WHEN di = 1 THEN a - i ELSE b - j END / (a + b - i - j)),
+         abs((i + di) * b - (j + dj) * a) >= gap
+  FROM walk_{tag}, (VALUES (1, 0), (0, 1)) step(di, dj)
+  WHERE NOT away AND i + di <= a AND j + dj <= b
+  GROUP BY "Product Name", a, b, gap, i + di, j + dj),
 p_{tag} AS (
-  SELECT {keys}, CASE WHEN max(gap) = 0 THEN 1.0 ELSE least(1.0, 2 * sum(
-      CASE WHEN j % 2 = 1 THEN 1 ELSE -1 END *
-      exp(2 * lgamma(n_ref + 1) - lgamma(n_ref + j * k + 1) - lgamma(n_ref - j * k + 1)))) END AS p_value
-  FROM terms_{tag} GROUP BY {keys})"""
+  SELECT "Product Name", coalesce(sum(mass) FILTER (WHERE away), 0) AS p_value
+  FROM walk_{tag} GROUP BY "Product Name")"""
 
 
 MONITOR = f"""{KS_WINDOWS},
@@ -192,8 +198,8 @@ val_new AS (SELECT "Product Name", CAST("Total Quantity" AS DOUBLE) AS v FROM wi
 val_ref AS (SELECT "Product Name", CAST("Total Quantity" AS DOUBLE) AS v FROM win_ref),
 {_ks('"Product Name"', "val_ref", "val_new", "data")},
 {_ks('"Product Name"', "err_ref", "err_new", "error")},
-{_equal_p("ks_data", '"Product Name"', "data")},
-{_equal_p("ks_error", '"Product Name"', "error")},
+{_exact_p("ks_data", "data")},
+{_exact_p("ks_error", "error")},
 errors AS (
   SELECT "Product Name", sqrt(avg(v * v)) AS rmse,
     100 * avg(CASE WHEN "Total Quantity" <> 0 THEN abs(v / "Total Quantity") END) AS mape
@@ -384,17 +390,15 @@ ORACLE: dict[str, str] = {
         FROM pairs GROUP BY 1""",
     "ks_statistic": f"""WITH {HALVES} SELECT "Product Name", "column", n_ref, n_new,
         round(CAST(gap AS DOUBLE) / (CAST(n_ref AS DOUBLE) * n_new), 9) AS ks_statistic FROM ks_lines""",
-    "data_drift": f"""WITH {MONITOR} SELECT "Product Name", p_value < 0.05 AS data_drift,
+    "data_drift": f"""WITH RECURSIVE {MONITOR} SELECT "Product Name", p_value < 0.05 AS data_drift,
         CASE WHEN p_value < 0.05 THEN 'Total Quantity' ELSE '' END AS drift_columns FROM p_data""",
-    "concept_drift": f"""WITH {MONITOR} SELECT "Product Name", p_value < 0.05 AS concept_drift FROM p_error""",
-    "ks_p_value": f"""WITH {MONITOR} SELECT "Product Name", n_ref, n_new,
+    "concept_drift": f"""WITH RECURSIVE {MONITOR} SELECT "Product Name", p_value < 0.05 AS concept_drift FROM p_error""",
+    "ks_p_value": f"""WITH RECURSIVE {MONITOR} SELECT "Product Name", n_ref, n_new,
         round(CAST(gap AS DOUBLE) / (n_ref * n_new), 9) AS ks_statistic, round(p_value, 9) AS p_value
-        FROM ks_data JOIN p_data USING ("Product Name", n_ref, gap)""".replace(
-        ' USING ("Product Name", n_ref, gap)', ' USING ("Product Name")'
-    ),
-    "monitoring_report": f"""WITH {MONITOR} SELECT "Product Name", round(rmse, 6) AS rmse, round(mape, 6) AS mape,
+        FROM ks_data JOIN p_data USING ("Product Name")""",
+    "monitoring_report": f"""WITH RECURSIVE {MONITOR} SELECT "Product Name", round(rmse, 6) AS rmse, round(mape, 6) AS mape,
         data_drift, concept_drift FROM report""",
-    "retrain_decision": f"""WITH {MONITOR} SELECT round(avg(rmse), 6) AS mean_rmse,
+    "retrain_decision": f"""WITH RECURSIVE {MONITOR} SELECT round(avg(rmse), 6) AS mean_rmse,
         coalesce(bool_or(rmse > 20), false) AS rmse_exceeded, bool_or(data_drift) AS data_drift,
         bool_or(concept_drift) AS concept_drift,
         coalesce(bool_or(rmse > 20), false) OR bool_or(data_drift) OR bool_or(concept_drift) AS retrain

@@ -29,8 +29,8 @@ def list_files(spark: SparkSession, path: str) -> DataFrame:
     while found is not None and found.hasNext():
         status = found.next()
         if not status.getPath().getName().startswith(("_", ".")):
-            uri = status.getPath().toUri().toString()
-            rows.append((uri, status.getLen(), status.getModificationTime()))
+            name = status.getPath().toString()
+            rows.append((name, status.getLen(), status.getModificationTime()))
     listed = spark.createDataFrame(rows, "file_path string, size long, millis long")
     return listed.select("file_path", "size", F.timestamp_millis("millis").alias("updated"))
 

@@ -6,7 +6,7 @@ import posixpath
 from collections.abc import Callable
 from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -92,6 +92,14 @@ def read_valid_csv(spark: SparkSession, verdicts: DataFrame) -> DataFrame | None
     return reduce(DataFrame.unionByName, picked) if picked else None
 
 
+def scanned_file() -> Column:
+    """Path of the file a row was read from, spelled as in ``list_files``.
+
+    The metadata column has it in URI form; a plus sign is not an escape there.
+    """
+    return F.url_decode(F.replace(F.col("_metadata.file_path"), F.lit("+"), F.lit("%2B")))
+
+
 def with_row_order(df: DataFrame) -> DataFrame:
     """Add the file of every row and its place in it.
 
@@ -102,7 +110,7 @@ def with_row_order(df: DataFrame) -> DataFrame:
     """
     return df.select(
         *[F.col(f"`{c}`") for c in df.columns],
-        F.col("_metadata.file_path").alias(SOURCE_FILE),
+        scanned_file().alias(SOURCE_FILE),
         F.col("_metadata.file_block_start").alias(BLOCK),
         F.monotonically_increasing_id().alias(SEQ),
     )
@@ -111,7 +119,7 @@ def with_row_order(df: DataFrame) -> DataFrame:
 def read_lines(spark: SparkSession, path: str | list[str]) -> DataFrame:
     """Text lines as (file_path, block_start, line_no, value) for header checks."""
     return spark.read.text(path, recursiveFileLookup=True).select(
-        F.col("_metadata.file_path").alias("file_path"),
+        scanned_file().alias("file_path"),
         F.col("_metadata.file_block_start").alias("block_start"),
         F.monotonically_increasing_id().alias("line_no"),
         "value",

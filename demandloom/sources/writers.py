@@ -16,6 +16,15 @@ from demandloom.session import stage
 
 WRITERS = ("csv", "json", "parquet")
 
+# A CSV writer would otherwise strip blanks around values.
+WRITE_OPTIONS = {
+    "csv": {
+        "header": True,
+        "ignoreLeadingWhiteSpace": False,
+        "ignoreTrailingWhiteSpace": False,
+    }
+}
+
 
 def sink_format(path: str) -> str:
     extension = posixpath.splitext(path.rstrip("/"))[1].lstrip(".").lower()
@@ -29,9 +38,7 @@ def write_table(df: DataFrame, path: str, fmt: str | None = None) -> None:
     chosen = fmt or sink_format(path)
     if chosen not in WRITERS:
         raise ValueError("Unsupported file type")
-    writer = df.write.mode("overwrite")
-    if chosen == "csv":
-        writer = writer.option("header", True)
+    writer = df.write.mode("overwrite").options(**WRITE_OPTIONS.get(chosen, {}))
     writer.format(chosen).save(path)
 
 
@@ -49,9 +56,7 @@ def write_per_source(df: DataFrame, path: str, fmt: str = "parquet") -> None:
     """
     named = df.withColumn("output_name", processed_name(F.col(SOURCE_FILE)))
     writer = named.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-    if fmt == "csv":
-        writer = writer.option("header", True)
-    writer.partitionBy("output_name").format(fmt).save(path)
+    writer.options(**WRITE_OPTIONS.get(fmt, {})).partitionBy("output_name").format(fmt).save(path)
 
 
 def write_stats(stats: DataFrame, path: str) -> str:
