@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from demandloom.functions.dates import is_weekend
 from demandloom.operators.joins import lookup_join
-from demandloom.operators.ranking import number_rows
+from demandloom.operators.ranking import block_start, number_rows
 from demandloom.schema import DATE, PRODUCT
 
 # Yearly inflation in percent, business hours, influence strength.
@@ -98,7 +98,7 @@ def spread_over_day(
     ``seq`` is a unique whole number; a day with any number of rows is numbered
     block by block.
     """
-    numbered = number_rows(df, [day], seq, F.floor(F.col(seq) / rows_per_block), "_nth")
+    numbered = number_rows(df, [day], seq, block_start(F.col(seq), rows_per_block), "_nth")
     span = (CLOSING_HOUR - OPENING_HOUR) * 3_600_000_000
     share = F.when(
         F.col("_nth_total") > 1,

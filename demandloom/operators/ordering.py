@@ -13,6 +13,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from demandloom.operators.clean import standardize_dates
+from demandloom.operators.ranking import block_start
 from demandloom.schema import DATE, SEQ, SOURCE_FILE
 
 ROWS_PER_BLOCK = 100_000
@@ -22,7 +23,7 @@ ASCENDING, DESCENDING, RANDOM = "Ascending", "Descending", "Random"
 
 
 def _block(seq: str, block: str | None, rows_per_block: int) -> Column:
-    return F.col(block) if block else F.floor(F.col(seq) / rows_per_block)
+    return F.col(block) if block else block_start(F.col(seq), rows_per_block)
 
 
 def _within_blocks(df, date, source, seq, block, rows_per_block):

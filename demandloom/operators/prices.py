@@ -9,6 +9,7 @@ from demandloom.operators.clean import add_week_parts
 from demandloom.operators.joins import lookup_join
 from demandloom.operators.ranking import most_frequent
 from demandloom.schema import DATE, PRICE, PRODUCT
+from demandloom.session import stage
 
 # Granularities of the price lookups, finest first.
 WEEK = ["Year", "Month", "Week_of_year"]
@@ -39,13 +40,14 @@ def frequent_price(
 def price_lookup(df: DataFrame, per: list[str] | None = None) -> DataFrame:
     """One row per (week, product) that lacks a price somewhere, with its replacement.
 
-    The three levels come from one pass: weekly price counts are summed to
-    months and months to years.  Only weeks with a missing price are kept.
+    The rows are read once, into staged weekly price counts; months and years are
+    summed from those.  Only weeks with a missing price are kept.
     """
     group = [*(per or []), PRODUCT]
-    weekly = df.groupBy(*group, *WEEK, F.col(PRICE).alias(MODE)).agg(
+    counts = df.groupBy(*group, *WEEK, F.col(PRICE).alias(MODE)).agg(
         F.count(F.lit(1)).alias("_n")
     )
+    weekly = stage(counts, "price-counts")
     known = weekly.where(F.col(MODE).isNotNull())
     result = weekly.where(F.col(MODE).isNull()).select(*group, *WEEK)
     for suffix, level in (("week", WEEK), ("month", MONTH), ("year", YEAR)):

@@ -14,6 +14,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from demandloom.functions.stats import lerp
+from demandloom.session import stage
 
 # 64 buckets per doubling of the magnitude, about 1.1 % wide each.
 BUCKETS_PER_OCTAVE = 64
@@ -24,18 +25,24 @@ MAX_BUCKETS = 2 * BUCKETS_PER_OCTAVE * OCTAVES + 1
 def value_bucket(value: Column) -> Column:
     """Non-decreasing function of the value with a bounded set of results."""
     magnitude = F.least(F.log2(F.abs(value) + 1), F.lit(float(OCTAVES)))
-    return (F.signum(value) * F.floor(magnitude * BUCKETS_PER_OCTAVE)).cast("int")
+    bucket = F.signum(value) * F.floor(magnitude * BUCKETS_PER_OCTAVE)
+    return F.coalesce(bucket.cast("int"), F.lit(0))
 
 
 def histogram(df: DataFrame, keys: list[str], value: str, *measures: Column) -> DataFrame:
-    """(keys, _v, _b, measures) with one row per distinct value of a group."""
+    """(keys, _v, _b, measures) with one row per distinct value of a group.
+
+    Staged, because it is read twice below: the rows themselves are scanned and
+    shuffled only once.  Rows with a null key or value are left out.
+    """
     measures = measures or (F.count(F.lit(1)).alias("_n"),)
-    return (
-        df.where(F.col(value).isNotNull())
+    counts = (
+        df.dropna(subset=[*keys, value])
         .groupBy(*keys, F.col(value).cast("double").alias("_v"))
         .agg(*measures)
         .withColumn("_b", value_bucket(F.col("_v")))
     )
+    return stage(counts, "histogram")
 
 
 def cumulate(hist: DataFrame, keys: list[str], measures: list[str]) -> DataFrame:
@@ -137,6 +144,11 @@ def most_frequent(hist: DataFrame, keys: list[str], value: str, count: str) -> D
     )
 
 
+def block_start(seq: Column, rows_per_block: int) -> Column:
+    """Start of the block of sequence numbers a row falls in (whole-number arithmetic)."""
+    return seq - F.pmod(seq, F.lit(rows_per_block))
+
+
 def number_rows(
     df: DataFrame, keys: list[str], order: str, block: Column, out: str = "position"
 ) -> DataFrame:

@@ -450,9 +450,9 @@ ORACLE: dict[str, str] = {
         FROM lines""",
     "demand_composition": """SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey,
         CAST(round_even(greatest(l_quantity * (1 + l_discount)
-          * (0.8 + 0.05 * (((date_diff('day', DATE '1995-01-01', CAST(l_shipdate AS DATE)) % 7) + 7) % 7))
-          * CASE WHEN isodow(l_shipdate) >= 6 AND l_orderkey % 5 = 0 THEN 1.5 ELSE 1.0 END
-          + (l_linenumber - 4) * 2.5, 0.0), 0) AS BIGINT) AS demand FROM lineitem""",
+          * (0.05::DOUBLE * (((date_diff('day', DATE '1995-01-01', CAST(l_shipdate AS DATE)) % 7) + 7) % 7) + 0.8::DOUBLE)
+          * CASE WHEN isodow(l_shipdate) >= 6 AND l_orderkey % 5 = 0 THEN 1.5::DOUBLE ELSE 1.0::DOUBLE END
+          + (l_linenumber - 4) * 2.5::DOUBLE, 0.0::DOUBLE), 0) AS BIGINT) AS demand FROM lineitem""",
     "quality_profile": _defects(),
     "version_diff": """WITH old AS (SELECT source || '/' || doc_id AS file_path, md5(text) AS m FROM documents WHERE doc_id % 10 <> 0),
         new AS (SELECT source || '/' || doc_id AS file_path,

@@ -36,7 +36,11 @@ from demandloom.sources.writers import write_per_source
 
 @dataclass
 class BatchResult:
-    """Tables a batch produces; all but ``flagged`` are lazy views on it."""
+    """Tables a batch produces: lazy views on the staged rows and their staged bounds.
+
+    Each output reads only its own columns and repeats the (usually broadcast)
+    join with the bounds, which costs less than writing all flagged rows.
+    """
 
     flagged: DataFrame
     anomalies: DataFrame
@@ -90,7 +94,7 @@ def run_batch(
     """
     per = [SOURCE_FILE] if per_file else []
     rows = stage(prepare_rows(raw, products, per, block, rows_per_block), "rows")
-    flagged = stage(flag_anomalies(rows, per=per), "flagged")
+    flagged = flag_anomalies(rows, per=per)
     clean = clean_rows(flagged, unique_ids=True)
     return BatchResult(flagged, anomaly_union(flagged), clean, daily_demand(clean, per))
 
