@@ -8,7 +8,6 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from demandloom.functions.dates import week_parts
 from demandloom.operators import aggregate, anomalies, clean, dedup, demand, drift, evaluate
 from demandloom.operators import features, ordering, prices, profile, series, validate
 from demandloom.plans import monitoring, retail, views
@@ -95,15 +94,13 @@ def calendar_features(spark, sf_dir):
 
 
 @query
-def week_parts_of_orders(spark, sf_dir):
-    return views.table(spark, sf_dir, "orders").select(
-        "o_orderkey", *[c.alias(n) for n, c in week_parts(F.col("o_orderdate")).items()]
+def week_parts(spark, sf_dir):
+    orders = views.table(spark, sf_dir, "orders")
+    return clean.add_week_parts(orders, "o_orderdate").select(
+        "o_orderkey", "Year", "Month", "Week_of_year"
     )
 
 
-QUERIES["week_parts"] = QUERIES.pop("week_parts_of_orders")
-
-
 @query
 def filter_products(spark, sf_dir):
     typed = clean.tidy_products(views.typed_events(spark, sf_dir))
@@ -196,8 +193,7 @@ def anomaly_union(spark, sf_dir):
 
 @query
 def clean_transactions(spark, sf_dir):
-    flagged = stage(anomalies.flag_anomalies(views.lines(spark, sf_dir)), "flagged")
-    return anomalies.clean_rows(flagged)
+    return anomalies.clean_rows(anomalies.flag_anomalies(views.lines(spark, sf_dir)))
 
 
 @query

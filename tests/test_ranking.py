@@ -1,0 +1,81 @@
+from __future__ import annotations
+
+import numpy as np
+import pytest
+from helpers import final_plan, values
+from pyspark.sql import functions as F
+
+from demandloom.operators.ranking import (
+    MAX_BUCKETS,
+    block_start,
+    cumulate,
+    exact_quantiles,
+    histogram,
+    most_frequent,
+    number_rows,
+    value_bucket,
+)
+
+
+@pytest.fixture(scope="module")
+def skewed():
+    """One key with most rows, one value with a third of them, negatives and tiny groups."""
+    rng = np.random.default_rng(5)
+    hot = np.concatenate([rng.normal(0, 50, 900), np.full(450, 7.25), rng.lognormal(8, 3, 150)])
+    groups = {"hot": hot, "flat": np.full(9, -3.0), "one": np.array([4.5]), "two": np.array([1.0, 2.0])}
+    return {k: [float(x) for x in v] for k, v in groups.items()}
+
+
+def table(spark, groups):
+    rows = [(k, x) for k, v in groups.items() for x in v] + [("hot", None), (None, 1.0)]
+    return spark.createDataFrame(rows, "k string, x double")
+
+
+def test_bucket_is_monotone_and_bounded(spark):
+    rows = [(float(x),) for x in [-1e308, -1e9, -2.5, -1e-9, 0.0, 1e-9, 0.5, 1.0, 99.99, 1e9, 1.7e308]]
+    got = [r[0] for r in spark.createDataFrame(rows, "x double").select(value_bucket(F.col("x"))).collect()]
+    assert got == sorted(got)
+    assert got[-1] - got[0] + 1 <= MAX_BUCKETS
+
+
+@pytest.mark.parametrize("partitions", [1, 5])
+def test_quantiles_match_numpy(spark, skewed, partitions):
+    probs = {"p0": 0.0, "p10": 0.1, "p25": 0.25, "p50": 0.5, "p75": 0.75, "p99": 0.99, "p100": 1.0}
+    df = table(spark, skewed).repartition(partitions)
+    found = {r.k: r for r in exact_quantiles(df, ["k"], "x", probs).collect()}
+    assert set(found) == set(skewed)
+    for k, v in skewed.items():
+        assert found[k].n == len(v)
+        assert found[k].smallest == min(v)
+        for name, p in probs.items():
+            assert found[k][name] == pytest.approx(np.percentile(v, p * 100), rel=1e-12)
+
+
+def test_quantiles_without_broadcast(no_broadcast, skewed):
+    q = exact_quantiles(table(no_broadcast, skewed), ["k"], "x", {"m": 0.5})
+    assert dict(values(q, "k", "m"))["hot"] == pytest.approx(np.median(skewed["hot"]))
+    assert "BroadcastHashJoin" not in final_plan(q)
+
+
+def test_running_counts(spark, skewed):
+    hist = histogram(table(spark, skewed), ["k"], "x", F.count(F.lit(1)).alias("n"))
+    rows = cumulate(hist, ["k"], ["n"]).where("k = 'hot'").orderBy("_v").collect()
+    distinct, counts = np.unique(skewed["hot"], return_counts=True)
+    assert [r["_v"] for r in rows] == list(distinct)
+    assert [r["n_cum"] for r in rows] == list(np.cumsum(counts))
+    assert {r["n_all"] for r in rows} == {len(skewed["hot"])}
+
+
+def test_mode_prefers_the_smaller_value(spark):
+    df = spark.createDataFrame([("a", 3.0, 2), ("a", 2.0, 2), ("a", 9.0, 1)], "k string, v double, n int")
+    assert values(most_frequent(df, ["k"], "v", "n")) == [("a", 2.0)]
+
+
+@pytest.mark.parametrize("rows_per_block", [1, 4, 1000])
+def test_row_numbers(spark, rows_per_block):
+    rows = [("hot", 3 * i - 40) for i in range(60)] + [("cold", 5)]
+    df = spark.createDataFrame(rows, "k string, seq long")
+    numbered = number_rows(df, ["k"], "seq", block_start(F.col("seq"), rows_per_block))
+    hot = numbered.where("k = 'hot'").orderBy("seq").collect()
+    assert [r.position for r in hot] == list(range(1, 61))
+    assert {r.position_total for r in hot} == {60}
