@@ -36,7 +36,11 @@ QUANTILES = {"median": 0.5, "25th_percentile": 0.25, "75th_percentile": 0.75}
 
 
 def unpivot_numbers(df: DataFrame, keys: list[str], columns: list[str]) -> DataFrame:
-    """(keys, column, value) with every listed column as double."""
+    """(keys, column, value) with every listed column as double; no rows without columns."""
+    if not columns:
+        return df.select(
+            *keys, F.lit("").alias("column"), F.lit(None).cast("double").alias("value")
+        ).limit(0)
     return df.select(*keys, *[F.col(f"`{c}`").cast("double").alias(c) for c in columns]).unpivot(
         keys, columns, "column", "value"
     )
@@ -53,12 +57,6 @@ def numeric_stats(
     wanted = [TOTAL, PRICE] if columns is None else columns
     present = [c for c in wanted if c in df.columns]
     named = df.where(F.col(key).isNotNull())
-    if not present:
-        return named.select(key).limit(0).select(
-            key,
-            F.lit("").alias("column"),
-            *[F.lit(None).cast("double").alias(s) for s in STATISTICS],
-        )
     keys = [key, "column"]
     long = unpivot_numbers(named, [key], present)
     value = F.col("value")
