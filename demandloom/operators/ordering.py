@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from demandloom.operators.clean import standardize_dates
 from demandloom.operators.ranking import block_start
 from demandloom.schema import DATE, SEQ, SOURCE_FILE
+from demandloom.session import stage
 
 ROWS_PER_BLOCK = 100_000
 
@@ -28,7 +29,9 @@ def _block(seq: str, block: str | None, rows_per_block: int) -> Column:
 
 def _within_blocks(df, date, source, seq, block, rows_per_block):
     """Add the in-block neighbours of every row: last and next known date with their position."""
-    blocked = df.withColumn("_block", _block(seq, block, rows_per_block))
+    blocked = df.where(F.col(source).isNotNull() & F.col(seq).isNotNull()).withColumn(
+        "_block", F.coalesce(_block(seq, block, rows_per_block), F.lit(0))
+    )
     ordered = Window.partitionBy(source, "_block").orderBy(seq)
     # Looking ahead is a backward scan: a frame that ends at unbounded following
     # would be re-evaluated for every row.
@@ -52,13 +55,17 @@ def _within_blocks(df, date, source, seq, block, rows_per_block):
     )
 
 
-def _block_edges(marked: DataFrame, source: str) -> DataFrame:
-    """One row per block: where it starts, what surrounds it, and the order of its file."""
+def _block_edges(marked: DataFrame, source: str, only: str | None = None) -> DataFrame:
+    """One row per block: where it starts, what surrounds it, and the order of its file.
+
+    With ``only``, files in which that column is never set are left out.
+    """
     day = F.to_date(F.col("_known.at"))
     previous_day = F.to_date(F.col("_before.at"))
     summary = marked.groupBy(source, "_block").agg(
         F.count(F.lit(1)).alias("_rows"),
         F.count("_known").alias("_known_rows"),
+        F.count(only or F.lit(1)).alias("_wanted_rows"),
         F.min(F.when(F.col("_known").isNotNull(), F.struct("_known.row", "_known.at"))).alias(
             "_head"
         ),
@@ -104,8 +111,11 @@ def _block_edges(marked: DataFrame, source: str) -> DataFrame:
         .when(down, DESCENDING)
         .otherwise(RANDOM)
     )
-    return carried.select(
-        source, "_block", "_start", "_carry_last", "_carry_next", order.alias("date_order")
+    wanted = F.sum("_wanted_rows").over(group)
+    return (
+        carried.withColumns({"_wanted": wanted, "date_order": order})
+        .where(F.col("_wanted") > 0)
+        .select(source, "_block", "_start", "_carry_last", "_carry_next", "date_order")
     )
 
 
@@ -130,11 +140,15 @@ def neighbour_dates(
     seq: str = SEQ,
     block: str | None = None,
     rows_per_block: int = ROWS_PER_BLOCK,
+    only: str | None = None,
 ) -> DataFrame:
     """Forward and backward fill: adds prev_valid, next_valid, the distance of both
-    in rows (prev_gap, next_gap) and the order of the file (date_order)."""
+    in rows (prev_gap, next_gap) and the order of the file (date_order).
+
+    ``only`` names a column; files in which it is never set are left out.
+    """
     marked = _within_blocks(df, date, source, seq, block, rows_per_block)
-    joined = marked.join(_block_edges(marked, source), [source, "_block"])
+    joined = marked.join(_block_edges(marked, source, only), [source, "_block"])
     here = F.col("_start") + F.col("_row")
 
     def global_edge(local: str, carried: str, field: str) -> Column:
@@ -165,25 +179,39 @@ def fill_missing_dates(
     A missing date survives only between two known dates of the same day in a
     file that is in ascending or descending order; it gets the value on the
     straight line between them, by row position.
+
+    The parsed rows are staged, so that text is read and parsed once.  Rows with a
+    date pass straight through: only their key and date go to the neighbour search,
+    and a row travels there whole only if its date is missing.  The repaired rows
+    are few and staged as well; the result is the union of two scans.
     """
-    parsed = standardize_dates(df, date)
-    near = neighbour_dates(parsed, date, source, seq, block, rows_per_block)
+    parsed = stage(standardize_dates(df, date), "parsed")
+    keys = list(dict.fromkeys([source, *([block] if block else []), seq]))
+    rest = [c for c in df.columns if c not in (*keys, date)]
+    missing = F.col(date).isNull()
+    slim = parsed.select(
+        *keys, date, F.when(missing, F.struct(F.lit(True), *[F.col(f"`{c}`") for c in rest])).alias("_rest")
+    )
+    near = neighbour_dates(slim, date, source, seq, block, rows_per_block, only="_rest")
     span = F.timestamp_diff("MICROSECOND", F.col("prev_valid"), F.col("next_valid"))
     share = F.expr("cast(_span as decimal(20,0)) * prev_gap div (prev_gap + next_gap)")
-    fillable = (F.to_date("prev_valid") == F.to_date("next_valid")) & (
-        F.col("date_order") != RANDOM
+    fillable = (
+        missing
+        & (F.to_date("prev_valid") == F.to_date("next_valid"))
+        & (F.col("date_order") != RANDOM)
     )
-    return (
-        near.where(F.col(date).isNotNull() | fillable)
+    filled = (
+        near.where(fillable)
         .withColumn("_span", span)
-        .withColumn(
-            date,
-            F.coalesce(
-                F.col(date), F.timestamp_add("MICROSECOND", share, F.col("prev_valid"))
-            ),
+        .withColumn(date, F.timestamp_add("MICROSECOND", share, F.col("prev_valid")))
+        .select(
+            *[
+                F.col("_rest").getField(c).alias(c) if c in rest else F.col(f"`{c}`")
+                for c in df.columns
+            ]
         )
-        .select(*df.columns)
     )
+    return parsed.where(~missing).unionByName(stage(filled, "repaired"))
 
 
 def forward_fill(

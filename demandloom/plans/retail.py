@@ -74,8 +74,7 @@ def prepare_rows(
     typed = tidy_products(lowercase_strings(coerce_types(dated)))
     known = keep_products(typed, products)
     if PRICE in known.columns:
-        # Read twice by the price step; staged, the second read costs a scan.
-        known = fill_missing_prices(stage(known, "typed"), per=per)
+        known = fill_missing_prices(known, per=per)
     order = [SOURCE_FILE, *([block] if block else []), SEQ]
     return first_per_key(drop_incomplete(known), order=order, per=per)
 

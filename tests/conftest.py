@@ -15,7 +15,7 @@ def spark(tmp_path_factory):
     session = build_session(
         "tests",
         "local[4]",
-        4,
+        2,
         **{
             "spark.driver.memory": "4g",
             "spark.ui.enabled": "false",
