@@ -47,7 +47,10 @@ def unpivot_numbers(df: DataFrame, keys: list[str], columns: list[str]) -> DataF
 
 
 def numeric_stats(
-    df: DataFrame, columns: list[str] | None = None, key: str = PRODUCT
+    df: DataFrame,
+    columns: list[str] | None = None,
+    key: str = PRODUCT,
+    per: list[str] | None = None,
 ) -> DataFrame:
     """One row per (product, column) with the nine profile statistics.
 
@@ -57,8 +60,8 @@ def numeric_stats(
     wanted = [TOTAL, PRICE] if columns is None else columns
     present = [c for c in wanted if c in df.columns]
     named = df.where(F.col(key).isNotNull())
-    keys = [key, "column"]
-    long = unpivot_numbers(named, [key], present)
+    keys = [*(per or []), key, "column"]
+    long = unpivot_numbers(named, keys[:-1], present)
     value = F.col("value")
     moments = long.groupBy(*keys).agg(
         F.avg(value).alias("mean"),

@@ -109,7 +109,7 @@ def file_verdicts(lines: DataFrame, files: DataFrame, required: list[str] = RAW_
     """
     found = lines.groupBy("file_path").agg(
         F.min_by("value", F.struct("block_start", "line_no")).alias("header"),
-        (F.count(F.lit(1)) - 1).alias("rows"),
+        (F.count_if(F.trim("value") != "") - 1).alias("rows"),
     )
     fields = F.transform(
         F.split("header", ","), lambda name: F.regexp_replace(name, r'^[\s"\x{FEFF}]+|[\s"]+$', "")

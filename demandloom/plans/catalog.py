@@ -412,13 +412,13 @@ def demand_composition(spark, sf_dir):
 
 @query
 def version_diff(spark, sf_dir):
-    docs = views.table(spark, sf_dir, "documents").withColumn(
-        "file_path", F.concat_ws("/", "source", "doc_id")
-    )
-    i = F.col("doc_id")
+    """The documents against a version in which some are moved and some edited."""
+    docs, i = views.table(spark, sf_dir, "documents"), F.col("doc_id")
+    path = F.concat_ws("/", "source", "doc_id")
+    moved = F.when(i % 10 == 3, F.concat(F.lit("moved/"), path)).otherwise(path)
     edited = F.when(i % 7 == 0, F.concat("text", F.lit(" "))).otherwise(F.col("text"))
-    old = docs.where(i % 10 != 0).select("file_path", F.md5("text").alias("md5"))
-    new = docs.where(i % 11 != 0).select("file_path", F.md5(edited).alias("md5"))
+    old = docs.select(path.alias("file_path"), F.md5("text").alias("md5"))
+    new = docs.select(moved.alias("file_path"), F.md5(edited).alias("md5"))
     return manifest.diff_versions(old, new)
 
 

@@ -133,18 +133,18 @@ ANOMALY_UNION = " UNION ALL ".join(
 )
 
 
-def _stats(source: str, columns: list[str]) -> str:
+def _stats(source: str, columns: list[str], per: str = "") -> str:
     parts = []
     for c in columns:
         v = f'CAST("{c}" AS DOUBLE)'
-        parts.append(f"""SELECT "Product Name", '{c}' AS "column",
+        parts.append(f"""SELECT {per} "Product Name", '{c}' AS "column",
           round(avg({v}), 6) AS mean, round(stddev_samp({v}), 6) AS std, min({v}) AS min, max({v}) AS max,
           round(quantile_cont({v}, 0.5), 6) AS median,
           round(quantile_cont({v}, 0.25), 6) AS "25th_percentile",
           round(quantile_cont({v}, 0.75), 6) AS "75th_percentile",
           round(CASE WHEN count({v}) >= 3 THEN coalesce(skewness({v}), 0) END, 6) AS skewness,
           round(CASE WHEN count({v}) >= 4 THEN coalesce(kurtosis({v}), 0) END, 6) AS kurtosis
-        FROM {source} GROUP BY "Product Name" """)
+        FROM {source} GROUP BY {per} "Product Name" """)
     return " UNION ALL ".join(parts)
 
 
@@ -454,9 +454,9 @@ ORACLE: dict[str, str] = {
           * CASE WHEN isodow(l_shipdate) >= 6 AND l_orderkey % 5 = 0 THEN 1.5::DOUBLE ELSE 1.0::DOUBLE END
           + (l_linenumber - 4) * 2.5::DOUBLE, 0.0::DOUBLE), 0) AS BIGINT) AS demand FROM lineitem""",
     "quality_profile": _defects(),
-    "version_diff": """WITH old AS (SELECT source || '/' || doc_id AS file_path, md5(text) AS m FROM documents WHERE doc_id % 10 <> 0),
-        new AS (SELECT source || '/' || doc_id AS file_path,
-                       md5(CASE WHEN doc_id % 7 = 0 THEN text || ' ' ELSE text END) AS m FROM documents WHERE doc_id % 11 <> 0)
+    "version_diff": """WITH old AS (SELECT source || '/' || doc_id AS file_path, md5(text) AS m FROM documents),
+        new AS (SELECT CASE WHEN doc_id % 10 = 3 THEN 'moved/' ELSE '' END || source || '/' || doc_id AS file_path,
+                       md5(CASE WHEN doc_id % 7 = 0 THEN text || ' ' ELSE text END) AS m FROM documents)
         SELECT file_path, CASE WHEN o.m IS NULL THEN 'added' WHEN n.m IS NULL THEN 'removed' ELSE 'changed' END AS change
         FROM old o FULL OUTER JOIN new n USING (file_path)
         WHERE o.m IS NULL OR n.m IS NULL OR o.m <> n.m""",
@@ -483,7 +483,7 @@ ORACLE: dict[str, str] = {
         for kind in ("price_anomalies", "quantity_anomalies", "time_anomalies", "format_anomalies")
     ),
     "pipeline_daily": PIPELINE_DAILY,
-    "pipeline_stats": f"WITH {PIPELINE} {_stats('result', ['Total Quantity'])}",
+    "pipeline_stats": f"WITH {PIPELINE} {_stats('result', ['Total Quantity'], 'source_file,')}",
     "folder_pipeline": PIPELINE_DAILY,
     "stream_pipeline": PIPELINE_DAILY,
 }

@@ -46,6 +46,7 @@ class BatchResult:
     anomalies: DataFrame
     clean: DataFrame
     daily: DataFrame
+    per: list[str]
 
     def failures(self) -> DataFrame:
         return failing_rows(self.daily)
@@ -54,7 +55,7 @@ class BatchResult:
         return validation_summary(self.daily)
 
     def stats(self) -> DataFrame:
-        return numeric_stats(self.daily)
+        return numeric_stats(self.daily, per=self.per)
 
 
 def prepare_rows(
@@ -95,7 +96,7 @@ def run_batch(
     rows = stage(prepare_rows(raw, products, per, block, rows_per_block), "rows")
     flagged = flag_anomalies(rows, per=per)
     clean = clean_rows(flagged, unique_ids=True)
-    return BatchResult(flagged, anomaly_union(flagged), clean, daily_demand(clean, per))
+    return BatchResult(flagged, anomaly_union(flagged), clean, daily_demand(clean, per), per)
 
 
 def post_validate(daily: DataFrame) -> tuple[bool, DataFrame, DataFrame]:
@@ -112,21 +113,31 @@ def pre_validate(spark: SparkSession, path: str) -> tuple[DataFrame, DataFrame]:
 
 
 def process_files(
-    spark: SparkSession, files: DataFrame, output: str, cache: str | None = None
+    spark: SparkSession,
+    files: DataFrame,
+    output: str,
+    cache: str | None = None,
+    reports: str | None = None,
 ) -> DataFrame:
     """Clean the listed CSV files and return the verdict per file.
 
     Invalid files do not stop the others.  Every result replaces the partition of
-    its own file, so running a batch again leaves the same tables.
+    its own file, so running a batch again leaves the same tables.  ``reports``
+    gets the tables anomalies, failures and stats.
     """
     # A file scan takes its paths from the driver, as any Spark listing does.
     paths = [r.file_path for r in files.select("file_path").collect()]
     verdicts = stage(file_verdicts(read_lines(spark, paths), files), "verdicts")
     raw = read_valid_csv(spark, verdicts)
     if raw is not None:
-        daily = stage(run_batch(raw, block=BLOCK).daily, "daily")
+        result = run_batch(raw, block=BLOCK)
+        result.daily = stage(result.daily, "daily")
         for target in [output, *([cache] if cache else [])]:
-            write_per_source(daily, target)
+            write_per_source(result.daily, target)
+        if reports:
+            write_per_source(result.anomalies, f"{reports}/anomalies")
+            write_per_source(result.failures(), f"{reports}/failures")
+            write_per_source(result.stats(), f"{reports}/stats")
     return verdicts
 
 
@@ -137,6 +148,7 @@ def process_folder(
     ledger: str,
     cache: str | None = None,
     delete_after: bool = False,
+    reports: str | None = None,
 ) -> int:
     """Clean every new CSV file of a folder and return the batch status 0, 1 or 2.
 
@@ -146,7 +158,7 @@ def process_folder(
     new_files = stage(unprocessed(list_files(spark, path), read_ledger(spark, ledger)), "new-files")
     if new_files.isEmpty():
         return NONE_VALID
-    verdicts = process_files(spark, new_files, output, cache)
+    verdicts = process_files(spark, new_files, output, cache, reports)
     done = new_files.join(verdicts.where("valid").select("file_path"), "file_path", "left_semi")
     record(done, ledger)
     if delete_after:

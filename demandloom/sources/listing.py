@@ -2,17 +2,19 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
-LISTING = T.StructType(
-    [
-        T.StructField("file_path", T.StringType()),
-        T.StructField("size", T.LongType()),
-        T.StructField("updated", T.TimestampType()),
-    ]
-)
+# Largest file that is digested in one piece.
+WHOLE_FILE_BYTES = 64 * 1024 * 1024
+
+
+def scanned_file() -> Column:
+    """Path of the file a row was read from, spelled as in ``list_files``.
+
+    The metadata column has it in URI form; a plus sign is not an escape there.
+    """
+    return F.url_decode(F.replace(F.col("_metadata.file_path"), F.lit("+"), F.lit("%2B")))
 
 
 def list_files(spark: SparkSession, path: str) -> DataFrame:
@@ -40,22 +42,37 @@ def first_files(listing: DataFrame, n: int = 20) -> DataFrame:
     return listing.orderBy("file_path").limit(n)
 
 
-def inventory(spark: SparkSession, path: str) -> DataFrame:
+def inventory(spark: SparkSession, path: str, whole_limit: int = WHOLE_FILE_BYTES) -> DataFrame:
     """(file_path, size, md5, updated) of every file below a folder.
 
-    Each file is digested where it is read, so a file must fit in one task; use
-    ``content_digest`` for large tables.
+    A file up to ``whole_limit`` bytes is digested in one piece.  A larger one is
+    read in splits by many tasks; its digest is the number of its lines and the
+    sum of their hashes, which compares as well as an MD5 but is none.  Empty
+    files have the MD5 of nothing.
     """
-    return (
+    listed = list_files(spark, path)
+    whole = (
         spark.read.format("binaryFile")
         .option("recursiveFileLookup", "true")
         .load(path)
-        .select(
-            F.col("path").alias("file_path"),
-            F.col("length").alias("size"),
-            F.md5("content").alias("md5"),
-            F.col("modificationTime").alias("updated"),
+        .where(F.col("length") <= whole_limit)
+        .select(F.col("path").alias("file_path"), F.md5("content").alias("digest"))
+    )
+    large = [r.file_path for r in listed.where(F.col("size") > whole_limit).collect()]
+    if large:
+        line_hash = F.xxhash64("value").cast("decimal(38,0)")
+        split = (
+            spark.read.text(large, recursiveFileLookup=True)
+            .groupBy(scanned_file().alias("file_path"))
+            .agg(F.count(F.lit(1)).alias("n"), F.sum(line_hash).alias("s"))
+            .select("file_path", F.concat_ws("-", F.lit("lines"), "n", "s").alias("digest"))
         )
+        whole = whole.unionByName(split)
+    return listed.join(whole, "file_path", "left").select(
+        "file_path",
+        "size",
+        F.coalesce("digest", F.md5(F.lit(""))).alias("md5"),
+        "updated",
     )
 
 

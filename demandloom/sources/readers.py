@@ -6,11 +6,12 @@ import posixpath
 from collections.abc import Callable
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from demandloom.schema import BLOCK, BRONZE, RAW_COLUMNS, SEQ, SOURCE_FILE
+from demandloom.sources.listing import scanned_file
 
 
 def _csv(spark: SparkSession, path, schema) -> DataFrame:
@@ -58,6 +59,9 @@ def read_files(
 ) -> DataFrame:
     """Read one file, several files or a folder; columns stay text by default.
 
+    A ``json`` file is one array and is parsed by one task, as the format demands;
+    use ``jsonl`` (one record per line) for large data.
+
     CSV columns are matched by header name and must come in schema order; see
     ``read_csv_by_name`` for files with their own column order or extra columns.
     """
@@ -92,14 +96,6 @@ def read_valid_csv(spark: SparkSession, verdicts: DataFrame) -> DataFrame | None
     return reduce(DataFrame.unionByName, picked) if picked else None
 
 
-def scanned_file() -> Column:
-    """Path of the file a row was read from, spelled as in ``list_files``.
-
-    The metadata column has it in URI form; a plus sign is not an escape there.
-    """
-    return F.url_decode(F.replace(F.col("_metadata.file_path"), F.lit("+"), F.lit("%2B")))
-
-
 def with_row_order(df: DataFrame) -> DataFrame:
     """Add the file of every row and its place in it.
 

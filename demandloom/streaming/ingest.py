@@ -50,6 +50,7 @@ def clean_arriving_files(
     checkpoint: str,
     verdict_table: str,
     cache: str | None = None,
+    reports: str | None = None,
     once: bool = False,
 ) -> StreamingQuery:
     """Clean CSV files as they arrive: every minute, or ``once`` for what is there now.
@@ -62,7 +63,7 @@ def clean_arriving_files(
     def process(batch: DataFrame, batch_id: int) -> None:
         if batch.isEmpty():
             return
-        verdicts = process_files(batch.sparkSession, batch, output, cache)
+        verdicts = process_files(batch.sparkSession, batch, output, cache, reports)
         verdicts.withColumn("batch_id", F.lit(batch_id)).write.mode("overwrite").option(
             "partitionOverwriteMode", "dynamic"
         ).partitionBy("batch_id").parquet(verdict_table)

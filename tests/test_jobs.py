@@ -152,6 +152,7 @@ def test_batch_against_plain_python(spark, files, rows_per_block, partitions):
         assert daily_of(result.daily, name) == plain_job(rows)
     passed, failures, stats = retail.post_validate(result.daily)
     assert passed and failures.isEmpty() and stats.count() == len(PRODUCTS)
+    assert result.stats().count() == len(PRODUCTS) * len(files)
     assert result.summary().first().error_count == 0
 
 
@@ -195,7 +196,10 @@ def test_folder_job(spark, tmp_path, files):
     order = [RAW_COLUMNS[i] for i in shuffled]
     write_csv(inbox / "swapped.csv", [[r[i] for i in shuffled] for r in files["a.csv"]], order)
     output, cache, book = (str(tmp_path / n) for n in ("out", "cache", "ledger"))
-    assert retail.process_folder(spark, str(inbox), output, book, cache) == 1
+    reports = str(tmp_path / "reports")
+    assert retail.process_folder(spark, str(inbox), output, book, cache, reports=reports) == 1
+    assert spark.read.parquet(f"{reports}/anomalies").count() > 0
+    assert spark.read.parquet(f"{reports}/stats").count() == 3 * len(PRODUCTS)
     for place in (output, cache):
         published = spark.read.parquet(place)
         assert daily_of(published, "/a.csv") == plain_job(files["a.csv"])

@@ -116,6 +116,9 @@ def test_versions(spark, tmp_path):
     parsed = [json.loads(d.document) for d in documents]
     assert [p["timestamp"] for p in parsed] == ["2025-01-01T00:00:00", "2025-03-15T12:00:00"]
     assert [len(p["files"]) for p in parsed] == [0, 2]
+    tiny = listing.inventory(spark, str(data), whole_limit=2)
+    digests = {r.file_path[-5:]: r.md5 for r in tiny.collect()}
+    assert digests["a.csv"].startswith("lines-1-") and len(digests["b.csv"]) == 32
     changes = {r.file_path[-5:]: r.change for r in manifest.diff_versions(first, second).collect()}
     assert changes == {"a.csv": "changed", "b.csv": "removed", "c.csv": "added"}
     assert manifest.read_manifest(spark, str(tmp_path / "none")).isEmpty()
