@@ -80,7 +80,7 @@ def _bounds(source: str, keys: str, value: str) -> str:
 PIPELINE = f"""{FILLED},
 known AS (
   SELECT source_file, row_seq, "Date", price, {QTY} AS quantity, lower("Transaction ID") AS tx,
-         {TIDY} AS product, year("Date") AS y, month("Date") AS m, week("Date") AS w
+         {TIDY} AS product, CAST(year("Date") AS INTEGER) AS y, CAST(month("Date") AS INTEGER) AS m, CAST(week("Date") AS INTEGER) AS w
   FROM filled WHERE {TIDY} IN {SQL_PRODUCT_SET}),
 mode_week AS ({_mode("known", "source_file, product, y, m, w", "price", "pw")}),
 mode_month AS ({_mode("known", "source_file, product, y, m", "price", "pm")}),
@@ -266,7 +266,7 @@ def _price_mode(parts: dict[str, str]) -> str:
     keys = ", ".join([*parts.values(), '"Product Name"'])
     shown = ", ".join([*(f'{v} AS "{k}"' for k, v in parts.items()), '"Product Name"'])
     return f"""WITH {SQL_LINES}, dated AS (
-      SELECT "Product Name", "Unit Price", year("Date") AS y, month("Date") AS m, week("Date") AS w FROM lines),
+      SELECT "Product Name", "Unit Price", CAST(year("Date") AS INTEGER) AS y, CAST(month("Date") AS INTEGER) AS m, CAST(week("Date") AS INTEGER) AS w FROM lines),
     best AS ({_mode("dated", keys, '"Unit Price"', '"Most_Frequent_Cost"')})
     SELECT {shown}, "Most_Frequent_Cost" FROM best"""
 
@@ -313,11 +313,11 @@ ORACLE: dict[str, str] = {
     "date_cascade": f"""{EVENTS_PARSED}
         SELECT parsed.source_file, parsed.row_seq, raw."Date" AS raw_date, parsed."Date" AS "Date"
         FROM parsed JOIN raw USING (source_file, row_seq)""",
-    "calendar_features": """SELECT event_id, ts AS "Date", isodow(ts) AS day_of_week,
-        CAST(isodow(ts) > 5 AS TINYINT) AS is_weekend, day(ts) AS day_of_month, dayofyear(ts) AS day_of_year,
-        month(ts) AS month, week(ts) AS week_of_year FROM events""",
-    "week_parts": """SELECT o_orderkey, year(o_orderdate) AS "Year", month(o_orderdate) AS "Month",
-        week(o_orderdate) AS "Week_of_year" FROM orders""",
+    "calendar_features": """SELECT event_id, ts AS "Date", CAST(isodow(ts) AS INTEGER) AS day_of_week,
+        CAST(isodow(ts) > 5 AS TINYINT) AS is_weekend, CAST(day(ts) AS INTEGER) AS day_of_month, CAST(dayofyear(ts) AS INTEGER) AS day_of_year,
+        CAST(month(ts) AS INTEGER) AS month, CAST(week(ts) AS INTEGER) AS week_of_year FROM events""",
+    "week_parts": """SELECT o_orderkey, CAST(year(o_orderdate) AS INTEGER) AS "Year", CAST(month(o_orderdate) AS INTEGER) AS "Month",
+        CAST(week(o_orderdate) AS INTEGER) AS "Week_of_year" FROM orders""",
     "filter_products": f"""WITH {TYPED}
         SELECT source_file, row_seq, {TIDY} AS "Product Name", "Quantity" FROM typed
         WHERE {TIDY} IN {SQL_PRODUCT_SET}""",
@@ -328,7 +328,7 @@ ORACLE: dict[str, str] = {
     "price_mode_month": _price_mode({"Year": "y", "Month": "m"}),
     "price_mode_year": _price_mode({"Year": "y"}),
     "price_ladder": f"""WITH {SQL_LINES},
-        dated AS (SELECT *, year("Date") AS y, month("Date") AS m, week("Date") AS w FROM lines),
+        dated AS (SELECT *, CAST(year("Date") AS INTEGER) AS y, CAST(month("Date") AS INTEGER) AS m, CAST(week("Date") AS INTEGER) AS w FROM lines),
         mw AS ({_mode("dated", 'y, m, w, "Product Name"', '"Unit Price"', "pw")}),
         mm AS ({_mode("dated", 'y, m, "Product Name"', '"Unit Price"', "pm")}),
         my AS ({_mode("dated", 'y, "Product Name"', '"Unit Price"', "py")})
@@ -348,7 +348,7 @@ ORACLE: dict[str, str] = {
         SELECT "Product Name", day AS date_only, measure, n, round(lower_bound, 6) AS lower_bound,
                round(upper_bound, 6) AS upper_bound FROM every""",
     **{
-        kind: f"""WITH {FLAGGED_LINES} SELECT {TX_COLUMNS}, day AS date_only, hour("Date") AS hour
+        kind: f"""WITH {FLAGGED_LINES} SELECT {TX_COLUMNS}, day AS date_only, CAST(hour("Date") AS INTEGER) AS hour
             FROM flagged WHERE {kind}"""
         for kind in ("price_anomalies", "quantity_anomalies", "time_anomalies", "format_anomalies")
     },
@@ -370,9 +370,9 @@ ORACLE: dict[str, str] = {
     "numeric_stats": f"WITH {SQL_LINES} {_stats('lines', ['Quantity', 'Unit Price'])}",
     "daily_stats": f"WITH {SQL_DAILY} {_stats('daily', ['Total Quantity'])}",
     "lag_rolling_features": f"""WITH {SQL_DAILY} SELECT "Product Name", "Date", "Total Quantity",
-        isodow("Date") AS day_of_week, CAST(isodow("Date") > 5 AS TINYINT) AS is_weekend,
-        day("Date") AS day_of_month, dayofyear("Date") AS day_of_year, month("Date") AS month,
-        week("Date") AS week_of_year,
+        CAST(isodow("Date") AS INTEGER) AS day_of_week, CAST(isodow("Date") > 5 AS TINYINT) AS is_weekend,
+        CAST(day("Date") AS INTEGER) AS day_of_month, CAST(dayofyear("Date") AS INTEGER) AS day_of_year, CAST(month("Date") AS INTEGER) AS month,
+        CAST(week("Date") AS INTEGER) AS week_of_year,
         CAST(lag("Total Quantity", 1) OVER s AS DOUBLE) AS lag_1,
         CAST(lag("Total Quantity", 7) OVER s AS DOUBLE) AS lag_7,
         round(CASE WHEN count("Total Quantity") OVER t = 7 THEN avg("Total Quantity") OVER t END, 6) AS rolling_mean_7
@@ -435,7 +435,7 @@ ORACLE: dict[str, str] = {
           SELECT s.y AS start_year, e.y AS year,
                  coalesce((SELECT product(1 + r / 100) FROM rates WHERE y > s.y AND y <= e.y), 1.0) AS factor
           FROM rates s, rates e)
-        SELECT o_orderkey, year(o_orderdate) + 8 AS year, round(o_totalprice * factor, 2) AS price
+        SELECT o_orderkey, CAST(year(o_orderdate) + 8 AS INTEGER) AS year, round(o_totalprice * factor, 2) AS price
         FROM orders JOIN factors ON start_year = 2005 AND factors.year = year(o_orderdate) + 8""",
     "unpivot_demand": f"""WITH {SQL_DAILY} SELECT "Date", "Product Name", "Total Quantity" AS demand
         FROM daily WHERE "Total Quantity" > 0""",
