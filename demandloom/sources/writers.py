@@ -63,7 +63,7 @@ def write_stats(stats: DataFrame, path: str) -> str:
     """JSON documents ``{"<product>": {column: {statistic: value}}}``, one product per line."""
     target = path if path.endswith(".json") else f"{path}.json"
     name = F.to_json(F.array(PRODUCT))
-    key = F.expr(f"substring({'_name'}, 2, length({'_name'}) - 2)")
+    key = F.expr("substring(_name, 2, length(_name) - 2)")
     lines = (
         stats_document(stats)
         .withColumn("_name", name)
