@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from demandloom.llm import decontaminate, line_dedup, pii, quality_rules, simhash
+from demandloom.llm import classifier, decontaminate, line_dedup, pii, quality_rules, simhash, toxicity
 from demandloom.llm.common import table
 
 
@@ -12,6 +12,11 @@ def op1_line_dedup(spark, sf_dir):
     )
 
 
+def op2_quality_classifier(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents")
+    return classifier.score_texts(docs, classifier.fit(docs, table(spark, sf_dir, "labels")))
+
+
 def op4_decontaminate(spark, sf_dir):
     found = decontaminate.find_contained(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
     return found.select("doc_id", "item_id", "n_item", "n_shared", "containment")
@@ -21,6 +26,11 @@ def op6_pii(spark, sf_dir):
     return pii.report(table(spark, sf_dir, "documents"))
 
 
+def op8_toxicity(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents")
+    return toxicity.score_texts(docs, toxicity.fit(docs, table(spark, sf_dir, "labels")))
+
+
 def op9_simhash(spark, sf_dir):
     return simhash.near_duplicates(table(spark, sf_dir, "documents"))
 
@@ -31,8 +41,10 @@ def op10_quality_rules(spark, sf_dir):
 
 QUERIES = {
     "op1_line_dedup": op1_line_dedup,
+    "op2_quality_classifier": op2_quality_classifier,
     "op4_decontaminate": op4_decontaminate,
     "op6_pii": op6_pii,
+    "op8_toxicity": op8_toxicity,
     "op9_simhash": op9_simhash,
     "op10_quality_rules": op10_quality_rules,
 }
