@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from demandloom.llm import classifier, decontaminate, line_dedup, pii, quality_rules, simhash, toxicity
+from pyspark.sql import functions as F
+
+from demandloom.llm import classifier, decontaminate, line_dedup, pii, quality_rules, simhash, substring_dedup, toxicity
 from demandloom.llm.common import table
 
 
@@ -22,6 +24,11 @@ def op4_decontaminate(spark, sf_dir):
     return found.select("doc_id", "item_id", "n_item", "n_shared", "containment")
 
 
+def op5_substring_dedup(spark, sf_dir):
+    done = substring_dedup.remove_repeats(table(spark, sf_dir, "documents"))
+    return done.select("doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
+
+
 def op6_pii(spark, sf_dir):
     return pii.report(table(spark, sf_dir, "documents"))
 
@@ -43,6 +50,7 @@ QUERIES = {
     "op1_line_dedup": op1_line_dedup,
     "op2_quality_classifier": op2_quality_classifier,
     "op4_decontaminate": op4_decontaminate,
+    "op5_substring_dedup": op5_substring_dedup,
     "op6_pii": op6_pii,
     "op8_toxicity": op8_toxicity,
     "op9_simhash": op9_simhash,

@@ -45,5 +45,25 @@ with d as (
 )
 select doc_id, item_id, n_item, n_shared, n_shared / n_item as containment
 from shared join n using (item_id) where 5 * n_shared >= 4 * n_item
+""",
+    "op5_substring_dedup": r"""
+with d as (
+    select row_number() over () as r, doc_id,
+           list_filter(regexp_split_to_array(coalesce(text, ''), '[\x20\x09-\x0D]+'), lambda w: w <> '') as w from documents
+), s as (
+    select r, unnest(range(1, len(w) - 33)) as i, w from d where len(w) >= 35
+), g as (
+    select r, i, sha256(array_to_string(w[i:i+34], ' ')) as g from s
+), c as (
+    select r, i from g qualify count(*) over (partition by g) > 1
+), covered as (
+    select r, list_sort(list_distinct(flatten(list(range(i, i + 35))))) as p from c group by r
+), k as (
+    select d.doc_id, len(d.w) as n, len(coalesce(covered.p, [])) as n_removed,
+           case when covered.p is null then d.w
+                else list_transform(list_filter(range(1, len(d.w) + 1), lambda i: not list_contains(covered.p, i)), lambda i: d.w[i]) end as kept
+    from d left join covered on d.r = covered.r
+)
+select doc_id, n::bigint as n_words, n_removed::bigint as n_removed, sha256(coalesce(array_to_string(kept, ' '), '')) as kept_sha256 from k
 """,
 }
