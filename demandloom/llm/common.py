@@ -44,6 +44,7 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 def text_of(docs: DataFrame, *more: str) -> DataFrame:
     """``doc_id`` and ``text`` (null: empty), without any other column that may clash."""
+    prepare(docs.sparkSession)
     return docs.select("doc_id", *more, F.coalesce("text", F.lit("")).alias("text"))
 
 

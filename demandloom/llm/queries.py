@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from demandloom.llm import classifier, decontaminate, line_dedup, pii, quality_rules, simhash, substring_dedup, toxicity
+from demandloom.llm import classifier, decontaminate, line_dedup, pii, quality_rules, sentencepiece, simhash, substring_dedup, toxicity, warc
 from demandloom.llm.common import table
 
 
@@ -19,6 +19,11 @@ def op2_quality_classifier(spark, sf_dir):
     return classifier.score_texts(docs, classifier.fit(docs, table(spark, sf_dir, "labels")))
 
 
+def op3_sentencepiece(spark, sf_dir):
+    done = sentencepiece.decode(sentencepiece.encode(table(spark, sf_dir, "documents")))
+    return done.select("doc_id", F.size("ids").cast("long").alias("n_pieces"), "ids", F.sha2("text", 256).alias("decoded_sha256"))
+
+
 def op4_decontaminate(spark, sf_dir):
     found = decontaminate.find_contained(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
     return found.select("doc_id", "item_id", "n_item", "n_shared", "containment")
@@ -33,6 +38,10 @@ def op6_pii(spark, sf_dir):
     return pii.report(table(spark, sf_dir, "documents"))
 
 
+def op7_warc(spark, sf_dir):
+    return warc.archive_report(table(spark, sf_dir, "pages"))
+
+
 def op8_toxicity(spark, sf_dir):
     docs = table(spark, sf_dir, "documents")
     return toxicity.score_texts(docs, toxicity.fit(docs, table(spark, sf_dir, "labels")))
@@ -49,9 +58,11 @@ def op10_quality_rules(spark, sf_dir):
 QUERIES = {
     "op1_line_dedup": op1_line_dedup,
     "op2_quality_classifier": op2_quality_classifier,
+    "op3_sentencepiece": op3_sentencepiece,
     "op4_decontaminate": op4_decontaminate,
     "op5_substring_dedup": op5_substring_dedup,
     "op6_pii": op6_pii,
+    "op7_warc": op7_warc,
     "op8_toxicity": op8_toxicity,
     "op9_simhash": op9_simhash,
     "op10_quality_rules": op10_quality_rules,

@@ -65,5 +65,19 @@ with d as (
     from d left join covered on d.r = covered.r
 )
 select doc_id, n::bigint as n_words, n_removed::bigint as n_removed, sha256(coalesce(array_to_string(kept, ' '), '')) as kept_sha256 from k
+""",
+    "op7_warc": r"""
+with p as (
+    select page_id, coalesce(html, '') as html, sha1(coalesce(html, '')) as hex from pages
+), b as (
+    select *, array_to_string(list_transform(range(0, 8), lambda i: array_to_string(list_transform([15, 10, 5, 0], lambda k:
+        substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', (((('0x' || substr(hex, 5 * i + 1, 5))::bigint >> k) & 31) + 1)::bigint, 1)), '')), '') as digest from p
+), f as (
+    select *, min(page_id) over (partition by hex) as first from b
+)
+select page_id, strlen(html)::bigint as payload_bytes, digest as payload_digest,
+       case when first is null or page_id = first then 'response' else 'revisit' end as record_type,
+       case when first is null or page_id = first then null else first end as refers_to
+from f
 """,
 }
