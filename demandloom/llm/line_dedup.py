@@ -58,9 +58,11 @@ def later_windows(docs: DataFrame, lines: int = LINES) -> DataFrame:
     """(doc_id, th, start, end) of the windows that occurred before."""
     found = windows(docs, lines)
     place = F.struct(F.col("doc_id").isNull().alias("lost"), "doc_id", "th", "start")
-    first = (
+    # Written, so that the join below has two plain sides and a hot window can be split.
+    first = stage(
         found.groupBy("k1", "k2").agg(F.min(place).alias("first"), F.count("*").alias("n"))
-        .filter("n > 1").select("k1", "k2", "first")
+        .filter("n > 1").select("k1", "k2", "first"),
+        "repeated-windows",
     )
     later = found.join(first, ["k1", "k2"]).filter(place != F.col("first"))
     return later.select("doc_id", "th", "start", "end")
