@@ -174,9 +174,11 @@ def open_runs(docs: DataFrame, runs: DataFrame, length: int) -> DataFrame:
 def covered_words(docs: DataFrame, length: int = LENGTH, seed: int = SEED) -> DataFrame:
     """(doc_id, th, start, end): stretches of words that are repeated; they may overlap."""
     runs = find_runs(docs, length, seed)
-    anchors = (
+    # Written, so that the join below has two plain sides and a hot anchor can be split.
+    anchors = stage(
         runs.groupBy("a").agg(F.count("*").alias("found"), F.min("s").alias("low"), F.max("s").alias("high"))
-        .filter("found > 1").select("a", (F.col("low") == F.col("high")).alias("same"))
+        .filter("found > 1").select("a", (F.col("low") == F.col("high")).alias("same")),
+        "anchors",
     )
     # The texts are read again here: cheaper than keeping every run of the corpus on disk.
     seeded = stage(runs.join(anchors, "a"), "seeded-runs")
@@ -188,10 +190,11 @@ def covered_words(docs: DataFrame, length: int = LENGTH, seed: int = SEED) -> Da
         ),
         "segments",
     )
+    # Joins below take written tables for the same reason.
     twice = segments.filter("copies > 1").select("a", "s")
     again = mixed.join(twice, ["a", "s"]).select("doc_id", "th", "start", "n")
     windows = stage(open_runs(docs, segments, length).dropDuplicates(["doc_id", "th", "at"]), "edge-windows")
-    repeated = windows.groupBy("w1", "w2").agg(F.sum("copies").alias("found")).filter("found > 1").select("w1", "w2")
+    repeated = stage(windows.groupBy("w1", "w2").agg(F.sum("copies").alias("found")).filter("found > 1").select("w1", "w2"), "repeated-windows")
     edges = (
         windows.filter("copies = 1").join(repeated, ["w1", "w2"])
         .select("doc_id", "th", F.col("at").alias("start"), F.lit(1).alias("n"))
