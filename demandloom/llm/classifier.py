@@ -17,11 +17,12 @@ columns are ignored.
 from __future__ import annotations
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from demandloom.llm.common import text_of
+from demandloom.llm.common import prepare, text_of
 
 BUCKETS = 1 << 18
 DIM = 8
@@ -196,23 +197,41 @@ def fit(docs: DataFrame, labels: DataFrame, label: str = "quality", per_class: i
     return train([(i, s, c, float(np.sqrt(weight[c]))) for i, s, c in samples if len(i)])
 
 
+def score_text(text: str, parts: np.ndarray, bias: float) -> float:
+    """The probability of class 1 for one text, all of it."""
+    total, count = 0.0, 0
+    for piece in pieces(text.encode()):
+        ids = feature_ids(piece)
+        total += float(parts[ids].sum(dtype=np.float64))
+        count += len(ids)
+    logit = bias + (total / count if count else 0.0)
+    return float(1 / (1 + np.exp(-np.clip(logit, -30, 30))))
+
+
 def score_texts(docs: DataFrame, model, modulus: int = 3, rest: int = 1, cut: float = 0.5) -> DataFrame:
     """(doc_id, held_out, score, predicted) per document."""
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
     def run(batches):
-        parts, bias = shared.value
         for batch in batches:
-            scores = []
-            for text in batch.column(1).to_pylist():
-                total, count = 0.0, 0
-                for piece in pieces(text.encode()):
-                    ids = feature_ids(piece)
-                    total += float(parts[ids].sum(dtype=np.float64))
-                    count += len(ids)
-                logit = bias + (total / count if count else 0.0)
-                scores.append(1 / (1 + np.exp(-np.clip(logit, -30, 30))))
+            scores = [score_text(text, *shared.value) for text in batch.column(1).to_pylist()]
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(scores, pa.float64())], names=["doc_id", "score"])
 
     scored = text_of(docs).mapInArrow(run, "doc_id long, score double")
     return scored.select("doc_id", held_out(modulus, rest).alias("held_out"), "score", (F.col("score") >= cut).cast("int").alias("predicted"))
+
+
+def keep_good(docs: DataFrame, model, cut: float = 0.5) -> DataFrame:
+    """``docs`` without the documents whose score is below ``cut``; all columns pass through.
+
+    The score is a column computed from the text alone, so no join is needed.
+    """
+    prepare(docs.sparkSession)
+    shared = docs.sparkSession.sparkContext.broadcast(model)
+
+    @F.pandas_udf("double")
+    def score(texts: pd.Series) -> pd.Series:
+        return texts.map(lambda text: score_text(text or "", *shared.value))
+
+    scored = docs.withColumn("__score", score(F.coalesce("text", F.lit(""))))
+    return scored.filter(F.col("__score") >= cut).select(*docs.columns)
