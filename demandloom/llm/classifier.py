@@ -21,6 +21,7 @@ import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import DoubleType
 
 from demandloom.llm.common import prepare, text_of
 
@@ -229,7 +230,7 @@ def keep_good(docs: DataFrame, model, cut: float = 0.5) -> DataFrame:
     prepare(docs.sparkSession)
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
-    @F.pandas_udf("double")
+    @F.pandas_udf(DoubleType())
     def score(texts: pd.Series) -> pd.Series:
         return texts.map(lambda text: score_text(text or "", *shared.value))
 

@@ -20,6 +20,7 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -30,9 +31,10 @@ from demandloom.session import stage
 #: Bound of the training sample, documents of each class, and of the lexicon, terms.
 PER_CLASS = 4000
 MAX_TERMS = 2000
-#: A term must stand in so many toxic sample documents, and be so many times likelier there.
-MIN_DOCS = 3
-MIN_LIFT = 8.0
+#: A term's uses (told apart by their neighbour words, so that copies count once) must be toxic
+#: by this share, and the chance of that many among as many random uses at most e^-EVIDENCE.
+MIN_SHARE = 0.8
+EVIDENCE = 18.0
 STEM_CHARS = (4, 8)
 #: Stems must bring together at least so many different words.
 MIN_FORMS = 3
@@ -45,7 +47,9 @@ REPORTING = frozenset("said says say quote quoted quotes called wrote writes wor
 ADDRESS = frozenset("you your you're youre u du dich dir dein deine ihr euch tu te toi ton ta vous votre tú ti usted vosotros".split())
 #: Words kept in the memory of a task.
 CACHE_WORDS = 400_000
-N_FEATURES = 6
+#: A misspelled term counts as so much of a term.
+FUZZY_SHARE = 0.5
+N_FEATURES = 5
 
 
 def bare(word: str) -> str:
@@ -126,23 +130,21 @@ class Scanner:
                     kind = self.look_up(parts[i])
             if kind:
                 hits.append((i, kind))
-        exact = fuzzy = quoted = addressed = 0
+        direct, quoted, addressed = 0.0, 0, 0
         for i, kind in hits:
             around = parts[max(0, i - WINDOW) : i + WINDOW + 1]
             plain = {bare(w.lower()) for w in around}
             in_quotes = parts[i][0] in QUOTES or parts[i][-1] in QUOTES or _inside(parts, i)
             if in_quotes or plain & REPORTING:
                 quoted += 1
-            elif kind == 2:
-                exact += 1
             else:
-                fuzzy += 1
+                direct += 1.0 if kind == 2 else FUZZY_SHARE
             if plain & ADDRESS:
                 addressed += 1
         n = len(parts)
         return [
-            float(exact > 0), float(np.log1p(exact)), float(np.log1p(fuzzy)), float(np.log1p(quoted)), float(np.log1p(addressed)),
-            100.0 * exact / (n + 100.0),
+            float(direct > 0), float(np.log1p(direct)), float(np.log1p(quoted)), float(np.log1p(addressed)),
+            100.0 * direct / (n + 100.0),
         ]
 
 
@@ -153,34 +155,43 @@ def _inside(parts: list[str], i: int) -> bool:
     return before and after
 
 
-def terms_of(text: str) -> set[str]:
-    """The distinct words of a text and their stems."""
+def uses(text: str) -> set[tuple[str, int]]:
+    """The words of a text and their stems, each with a hash of its neighbour words."""
+    parts = [bare(w) for w in text.lower().split()]
     out = set()
-    for word in {bare(w) for w in text.lower().split()}:
+    for i, word in enumerate(parts):
         if len(word) >= 3:
-            out.add(word)
-            out.update(word[:k] + "*" for k in range(STEM_CHARS[0], min(STEM_CHARS[1], len(word) - 1) + 1))
+            around = " ".join((parts[i - 1] if i else "", word, parts[i + 1] if i + 1 < len(parts) else ""))
+            place = xxhash.xxh64_intdigest(around.encode()) >> 1
+            out.add((word, place))
+            out.update((word[:k] + "*", place) for k in range(STEM_CHARS[0], min(STEM_CHARS[1], len(word) - 1) + 1))
     return out
 
 
-def learn_terms(sample: DataFrame, n_toxic: int, n_clean: int) -> list[str]:
-    """The lexicon: terms of high lift, at most ``MAX_TERMS`` by evidence."""
+def learn_terms(sample: DataFrame) -> list[str]:
+    """The lexicon: terms that are toxic beyond chance, at most ``MAX_TERMS`` by evidence."""
 
     def run(batches):
         for batch in batches:
             for label, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-                terms = sorted(terms_of(text))
-                if terms:
-                    yield pa.RecordBatch.from_arrays([pa.array(terms), pa.array([label] * len(terms), pa.int32())], names=["term", "label"])
-
-    counted = (
-        sample.select("label", "text").mapInArrow(run, "term string, label int")
-        .groupBy("term").agg(F.sum("label").alias("toxic"), F.sum(1 - F.col("label")).alias("clean"))
-    )
-    lift = (F.col("toxic") / max(1, n_toxic)) / ((F.col("clean") + 0.5) / max(1, n_clean))
+                found = sorted(uses(text))
+                if found:
+                    terms, places = zip(*found)
+                    yield pa.RecordBatch.from_arrays([pa.array(terms), pa.array(places, pa.int64()), pa.array([label] * len(terms), pa.int32())], names=["term", "place", "label"])
+
+    placed = sample.select("label", "text").mapInArrow(run, "term string, place long, label int").groupBy("term", "place").agg(F.max("label").alias("label"))
+    counted = stage(placed.groupBy("term").agg(F.sum("label").cast("double").alias("toxic"), F.count("*").cast("double").alias("n")), "term-uses")
+    # Words only: stems would count a use several times.
+    whole = counted.filter(~F.col("term").endswith("*")).agg(F.sum("toxic").alias("toxic"), F.sum("n").alias("n")).first()
+    if not whole["n"] or not whole["toxic"]:
+        return []
+    usual = min(whole["toxic"] / whole["n"], MIN_SHARE / 2)
+    share, rest = F.col("toxic") / F.col("n"), 1 - F.col("toxic") / F.col("n")
+    # Chernoff bound of the binomial tail.
+    evidence = F.col("n") * (share * F.log(share / usual) + F.when(rest > 0, rest * F.log(rest / (1 - usual))).otherwise(0.0))
     rows = (
-        counted.filter((F.col("toxic") >= MIN_DOCS) & (lift >= MIN_LIFT))
-        .orderBy(F.desc("toxic"), F.length("term"), "term").limit(4 * MAX_TERMS).collect()
+        counted.filter((F.col("toxic") > 0) & (share >= MIN_SHARE)).withColumn("evidence", evidence).filter(F.col("evidence") >= EVIDENCE)
+        .orderBy(F.desc("evidence"), F.length("term"), "term").limit(4 * MAX_TERMS).collect()
     )
     words = [r["term"] for r in rows if not r["term"].endswith("*")]
     chosen: list[str] = []
@@ -223,7 +234,7 @@ def fit(docs: DataFrame, labels: DataFrame, label: str = "toxic", per_class: int
         return [], np.zeros(N_FEATURES), float(np.clip(np.log((share + 1e-6) / (1 - share + 1e-6)), -10, 10))
     sample = stage(text_of(docs).join(chosen, "doc_id").select("doc_id", "label", "text"), "toxicity-sample")
     used = {r["label"]: r["count"] for r in sample.groupBy("label").count().collect()}
-    terms = learn_terms(sample, used.get(1, 0), used.get(0, 0))
+    terms = learn_terms(sample)
 
     def run(batches):
         scan = Scanner(terms)

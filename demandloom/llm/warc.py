@@ -28,6 +28,7 @@ import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType
 
 from demandloom.llm.common import prepare
 from demandloom.session import scratch_path, stage
@@ -39,7 +40,7 @@ LEAST = 0
 DATE = "2024-01-01T00:00:00Z"
 
 
-@F.pandas_udf("string")
+@F.pandas_udf(StringType())
 def base32_sha1(payload: pd.Series) -> pd.Series:
     return payload.map(lambda x: base64.b32encode(hashlib.sha1(bytes(x)).digest()).decode())
 
