@@ -96,7 +96,7 @@ def find_contained(
     sought = found.join(grams, "item").select(F.col("doc_id").alias("__id"), F.col("th").alias("__th"), "item", "item_id", "n_item", "need", "grams")
     # A document is split once, however many items it may hold.
     per_doc = sought.groupBy("__id", "__th").agg(F.collect_set(F.struct("item", "item_id", "n_item", "need", "grams")).alias("wanted"))
-    joined = texts.withColumn("th", F.xxhash64("text")).join(per_doc, F.expr("doc_id <=> __id and th = __th"))
+    joined = texts.withColumn("th", F.xxhash64("text")).join(per_doc.hint("merge"), F.expr("doc_id <=> __id and th = __th"))
     own = joined.withColumn("toks", tokens(F.col("text"))).select("doc_id", "th", shingles("toks", size).alias("own"), "wanted")
     shared = own.select(
         "doc_id", "th",
@@ -118,4 +118,4 @@ def remove_contaminated(docs: DataFrame, items: DataFrame, size: int = SHINGLE,
         "contaminated",
     )
     keyed = docs.withColumn("__key", F.xxhash64(F.coalesce("text", F.lit(""))))
-    return keyed.join(found, F.expr("doc_id <=> __id and __key = __th"), "left_anti").select(*docs.columns)
+    return keyed.join(found.hint("merge"), F.expr("doc_id <=> __id and __key = __th"), "left_anti").select(*docs.columns)

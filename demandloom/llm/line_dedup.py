@@ -78,7 +78,8 @@ def remove_repeated_lines(docs: DataFrame, lines: int = LINES, counts: bool = Fa
         "covered-lines",
     )
     names = [c for c in docs.columns if c not in ("text", "n_chars")]
-    joined = docs.withColumn("__key", F.xxhash64("text")).join(cover, F.expr("doc_id <=> __id and __key = __th"), "left")
+    # A merge join at every size: texts move once, whatever the number of repeats.
+    joined = docs.withColumn("__key", F.xxhash64("text")).join(cover.hint("merge"), F.expr("doc_id <=> __id and __key = __th"), "left")
     split = joined.withColumn("__lines", F.split("text", "\n"))
     before = lambda k: F.coalesce(F.get("__cover", k - 1)["end"], F.lit(-1))
     kept = F.concat(

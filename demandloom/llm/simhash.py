@@ -187,7 +187,7 @@ def keep_one(docs: DataFrame, radius: int = RADIUS, pair_limit: int = PAIR_LIMIT
         .select(F.col("x.doc_id").alias("__id"), F.col("x.hash").alias("__hash"), F.col("copies").alias("__copies")),
         "survivors",
     )
-    kept = keyed.join(best, F.expr("doc_id <=> __id and __text = __hash"))
+    kept = keyed.join(best.hint("merge"), F.expr("doc_id <=> __id and __text = __hash"))
     once = kept.filter("__copies = 1").select(*docs.columns)
     again = kept.filter("__copies > 1").dropDuplicates(["doc_id", "__text"]).select(*docs.columns)
     return once.union(again)

@@ -150,7 +150,7 @@ def open_runs(docs: DataFrame, runs: DataFrame, length: int) -> DataFrame:
     )
     texts = text_of(docs).withColumn("th", F.xxhash64("text"))
     # A repeated row is opened once: its runs are counted in ``copies``.
-    joined = texts.join(wanted, F.expr("doc_id <=> __id and th = __th")).select("doc_id", "th", "text", "runs")
+    joined = texts.join(wanted.hint("merge"), F.expr("doc_id <=> __id and th = __th")).select("doc_id", "th", "text", "runs")
 
     def run(batches):
         rolling = Rolling()
@@ -217,7 +217,7 @@ def remove_repeats(docs: DataFrame, length: int = LENGTH, seed: int = SEED) -> D
         "repeated-words",
     )
     texts = text_of(docs).withColumn("th", F.xxhash64("text"))
-    joined = texts.join(stretches, F.expr("doc_id <=> __id and th = __th"), "left").select("doc_id", "text", "covered")
+    joined = texts.join(stretches.hint("merge"), F.expr("doc_id <=> __id and th = __th"), "left").select("doc_id", "text", "covered")
 
     def run(batches):
         for batch in batches:

@@ -119,7 +119,7 @@ def offsets(found: DataFrame) -> DataFrame:
     size = F.octet_length("piece") + len(MAGIC)
     head = F.when(cut > 0, F.substring(F.col("piece").cast("string"), F.lit(1), cut - 1))
     read = found.select("file", "block", "seq", size.cast("long").alias("size"), head.alias("head"))
-    length = F.when(_field("Content-Length").rlike("^[0-9]{1,15}$"), _field("Content-Length").cast("long"))
+    length = F.when(_field("Content-Length").rlike("^[0-9]{1,15}$"), _field("Content-Length").try_cast("long"))
     header = F.octet_length("head").cast("long") + len(MAGIC) + len(END)
     sized = stage(read.select("file", "block", "seq", "size", (header + length + len(END)).alias("reach")), "warc-candidates")
     blocks = sized.groupBy("file", "block").agg(F.sum("size").alias("total"))
@@ -215,7 +215,7 @@ def read_archives(spark: SparkSession, path: str) -> DataFrame:
     placed = stage(offsets(found), "warc-offsets")
     true = stage(reachable(placed), "warc-records")
     # Each piece belongs to the last true record that starts at or before it.
-    own = placed.join(true.withColumn("true", F.lit(True)), ["file", "start"], "left")
+    own = placed.join(true.withColumn("real", F.lit(True)), ["file", "start"], "left")
     return _payloads(found, own)
 
 
@@ -226,14 +226,14 @@ def _payloads(found: DataFrame, own: DataFrame) -> DataFrame:
     # Pieces that are no records are rare; each is looked up by the record before it in its block,
     # or, at a block's head, by the last record of the blocks before it.
     at = Window.partitionBy("file", "block").orderBy("start").rowsBetween(Window.unboundedPreceding, 0)
-    last = own.withColumn("owner", F.last(F.when(F.col("true"), F.col("start")), True).over(at))
-    blocks = last.groupBy("file", "block").agg(F.max(F.when(F.col("true"), F.col("start"))).alias("last"))
+    last = own.withColumn("owner", F.last(F.when(F.col("real"), F.col("start")), True).over(at))
+    blocks = last.groupBy("file", "block").agg(F.max(F.when(F.col("real"), F.col("start"))).alias("last"))
     before = Window.partitionBy("file").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
     blocks = blocks.select("file", "block", F.max("last").over(before).alias("carried"))
-    owned = last.join(blocks, ["file", "block"]).select("file", "block", "seq", "start", F.coalesce("owner", "carried").alias("owner"), F.col("true").isNotNull().alias("true"))
+    owned = last.join(blocks, ["file", "block"]).select("file", "block", "seq", "start", F.coalesce("owner", "carried").alias("owner"), F.col("real").isNotNull().alias("real"))
     owned = stage(owned.filter("owner is not null"), "warc-owners")
-    pieces = found.join(owned, ["file", "block", "seq"]).select("file", "owner", "start", "true", "piece")
-    broken = stage(owned.filter("not true").select("file", "owner").distinct(), "warc-broken")
+    pieces = found.join(owned, ["file", "block", "seq"]).select("file", "owner", "start", "real", "piece")
+    broken = stage(owned.filter("not real").select("file", "owner").distinct(), "warc-broken")
     whole = pieces.join(broken, ["file", "owner"], "left_anti").select("file", "owner", "piece")
     # A record's pieces together are its payload.
     joined = (
@@ -246,7 +246,7 @@ def _payloads(found: DataFrame, own: DataFrame) -> DataFrame:
     split = every.select(
         F.substring("piece", F.lit(1), cut - 1).alias("head"), F.substring("piece", cut + len(END), F.length("piece")).alias("rest")
     )
-    length = _field("Content-Length").cast("int")
+    length = _field("Content-Length").try_cast("int")
     # Content-Length counts bytes; the payload is followed by the closing line ends.
     payload = F.substring(F.col("rest").cast("binary"), F.lit(1), length)
     return split.select(

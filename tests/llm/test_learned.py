@@ -1,0 +1,119 @@
+"""The trained operators: held-out accuracy, folds, and the automaton against edit distance."""
+
+from __future__ import annotations
+
+import random
+import zlib
+
+from demandloom.llm import classifier, toxicity
+
+SCHEMA = "doc_id long, text string, score string, held_out int"
+LABELS = "doc_id long, quality int, toxic int, text string"
+
+
+def corpus(spark, n=900):
+    rng = random.Random(11)
+    syllables = ["ba", "ke", "lo", "mi", "nu", "ri", "sa", "to"]
+    word = lambda: "".join(rng.choice(syllables) for _ in range(rng.randint(2, 4)))
+    docs, labels = [], []
+    for i in range(n):
+        junk, rude = i % 5 == 0, i % 4 == 1
+        parts = [word() for _ in range(rng.randint(15, 60))]
+        if junk:
+            parts = [w + "$$" for w in parts]
+        if rude:
+            for _ in range(4):
+                parts.insert(rng.randint(0, len(parts)), rng.choice(["grumblefoot", "snotbag", "wretchling"]))
+        docs.append((i, " ".join(parts), "x", 1))
+        labels.append((i, int(not junk), int(rude), "clash"))
+    docs += [(None, None, None, None), (n, "", None, None), (n + 1, "za ze zi " * 40_000, None, None), (0, docs[0][1], "x", 1)]
+    labels += [(None, 1, 1, None), (n, None, None, None), (n + 7, 1, 0, None)]
+    return spark.createDataFrame(docs, SCHEMA), spark.createDataFrame(labels, LABELS), {i: (q, t) for i, q, t, _ in labels if i is not None}
+
+
+def fold(i, modulus, rest):
+    return i is not None and zlib.crc32(str(i).encode()) % modulus == rest
+
+
+def test_quality_on_held_out(spark):
+    docs, labels, truth = corpus(spark)
+    model = classifier.fit(docs, labels, per_class=150)
+    rows = classifier.score_texts(docs, model).collect()
+    assert len(rows) == docs.count() and all(0 <= r.score <= 1 and r.predicted == int(r.score >= 0.5) for r in rows)
+    assert all(r.held_out == fold(r.doc_id, 3, 1) for r in rows)
+    held = [r for r in rows if r.held_out and truth.get(r.doc_id, (None,))[0] is not None]
+    assert len(held) > 200 and sum(r.predicted == truth[r.doc_id][0] for r in held) / len(held) > 0.97
+    kept = classifier.keep_good(docs, model)
+    assert kept.columns == docs.columns and kept.count() == sum(r.predicted for r in rows)
+    assert classifier.score_texts(docs.limit(0), model).count() == 0
+
+
+def test_labels_of_the_held_out_fold_are_not_read(spark):
+    docs, labels, _ = corpus(spark, 200)
+    rows = [(r[0], 1 - r[1] if r[1] is not None and fold(r[0], 3, 1) else r[1], r[2], r[3]) for r in labels.collect()]
+    flipped = spark.createDataFrame(rows, LABELS)
+    a, b = classifier.fit(docs, labels, per_class=40), classifier.fit(docs, flipped, per_class=40)
+    assert (a[0] == b[0]).all() and a[1] == b[1]
+
+
+def test_without_labels(spark):
+    docs, labels, _ = corpus(spark, 30)
+    for empty in (labels.limit(0), labels.filter("quality = 1")):
+        rows = classifier.score_texts(docs, classifier.fit(docs, empty)).collect()
+        assert len({r.score for r in rows}) == 1
+    rows = toxicity.score_texts(docs, toxicity.fit(docs, labels.limit(0))).collect()
+    assert {round(r.score, 6) for r in rows} == {0.5}
+
+
+def test_long_texts_are_cut_at_white_space():
+    data = b"word " * 500_000
+    found = list(classifier.pieces(data))
+    assert b"".join(found) == data and max(map(len, found)) <= classifier.PIECE
+    assert list(classifier.pieces(b"x" * (2 * classifier.PIECE))) == [b"x" * classifier.PIECE] * 2
+
+
+def test_toxicity_on_held_out(spark):
+    docs, labels, truth = corpus(spark)
+    terms, weights, bias = toxicity.fit(docs, labels, per_class=200)
+    assert {"grumblefoot", "snotbag", "wretchling"} <= set(terms) | {t for t in ("grumblefoot", "snotbag", "wretchling") if any(t.startswith(s.rstrip("*")) for s in terms if s.endswith("*"))}
+    rows = toxicity.score_texts(docs, (terms, weights, bias)).collect()
+    assert all(r.held_out == fold(r.doc_id, 4, 2) and r.predicted == int(r.score >= 0.3) for r in rows)
+    held = [r for r in rows if r.held_out and truth.get(r.doc_id, (0, None))[1] is not None]
+    assert len(held) > 150 and sum(r.predicted == truth[r.doc_id][1] for r in held) / len(held) > 0.97
+    assert toxicity.score_texts(docs.limit(0), (terms, weights, bias)).count() == 0
+
+
+def distance(a, b):
+    row = list(range(len(b) + 1))
+    for i, x in enumerate(a, 1):
+        row = _next(row, i, x, b)
+    return row[-1]
+
+
+def _next(row, i, x, b):
+    out = [i]
+    for j, y in enumerate(b, 1):
+        out.append(min(row[j] + 1, out[-1] + 1, row[j - 1] + (x != y)))
+    return out
+
+
+def test_automaton_is_edit_distance_one():
+    terms = ["grumble", "snotbag", "badword"]
+    lexicon = toxicity.Lexicon(terms)
+    rng = random.Random(4)
+    for _ in range(4000):
+        word = list(rng.choice(terms))
+        for _ in range(rng.randint(0, 2)):
+            at = rng.randint(1, len(word) - 1)
+            word[at : at + rng.randint(0, 1)] = rng.choice(["", "x", "b", "um"])
+        word = "".join(word)
+        near = min(distance(word, t) for t in terms if t[0] == word[0])
+        assert lexicon.find(word) == (2 if near == 0 else 1 if near == 1 else 0), word
+
+
+def test_stems_and_quotes():
+    scan = toxicity.Scanner(["grumble*", "snotbag"])
+    assert scan.features("a Grumblefoot, b")[0] == 1.0
+    assert scan.features('he said "snotbag" loudly')[0] == 0.0
+    assert scan.features("you snotbag")[3] > 0 and scan.features("")[0] == 0.0
+    assert scan.features("snotbag " * 3)[1] > scan.features("snotbog " * 3)[1] > 0

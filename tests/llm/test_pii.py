@@ -1,0 +1,72 @@
+"""Personal data against Python's regular expressions."""
+
+from __future__ import annotations
+
+import hashlib
+import re
+
+from demandloom.llm import pii
+
+
+def luhn(d):
+    return sum(sum(divmod(int(c) * (1 + i % 2), 10)) for i, c in enumerate(reversed(d))) % 10 == 0
+
+
+#: The patterns and checks of the base kinds.
+KINDS = {
+    "email": (r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+", lambda m: True),
+    "ip": (r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)", lambda m: all(int(p) <= 255 for p in m.split("."))),
+    "card": (r"[0-9]([\x20-]?[0-9])+", lambda m: 16 <= len(d := re.sub("[^0-9]", "", m)) <= 19 and luhn(d)),
+    "phone": (r"\+[0-9][\x20().0-9-]+[0-9]", lambda m: 8 <= len(re.sub("[^0-9]", "", m)) <= 15),
+}
+
+
+def plain(text):
+    spans = [(k, m.start(), m.end()) for k, (p, ok) in KINDS.items() for m in re.finditer(p, text or "", re.A) if ok(m[0])]
+    return spans, hashlib.sha256(",".join(f"{k}:{s}:{e}" for k, s, e in spans).encode()).hexdigest()
+
+
+def check(docs):
+    rows = docs.collect()
+    got = {}
+    for r in pii.report(docs).collect():
+        got.setdefault(r.doc_id, []).append((r.n_email, r.n_ip, r.n_card, r.n_phone, r.base_sha256))
+    want = {}
+    for r in rows:
+        spans, digest = plain(r.text)
+        want.setdefault(r.doc_id, []).append((*(sum(s[0] == k for s in spans) for k in KINDS), digest))
+    assert {k: sorted(v) for k, v in got.items()} == {k: sorted(v) for k, v in want.items()}
+
+
+def test_tricky_texts(make_docs):
+    check(make_docs(list(enumerate([
+        "é🤖 a@b.c_d@e.f x@y z..%+q@w-1.x.y.", "a@b@c.d", "1.2.3.4.5.6.7.8 256.1.1.1 1.2.3.999 0001.002.03.4", "00000000000255.1.1.1",
+        "4111 1111 1111 1111 and 4111-1111-1111-1112, 4111111111111111", "1 2 3 4 5 6 7 8 9 0 1 2 3 4 5 6  7", "+1 (555) 010-9999, +49 30 1234 5678. +1-2",
+        "+12 3456 7890 12345678 +(1)", "++1 234 567 89 0...", "9" * 40_000, "a" * 60_000, "1 " * 30_000, "+1" + " " * 30_000, "a." * 30_000 + "@b.c", "x@y.z " * 3000,
+    ]))))
+
+
+def test_edge_cases(edge_docs):
+    check(edge_docs)
+    assert pii.report(edge_docs.limit(0)).count() == 0
+
+
+def test_sample(sample_docs):
+    check(sample_docs)
+
+
+def test_added_kinds(make_docs):
+    texts = [
+        "pay to DE89 3704 0044 0532 0130 00 today", "pay to DE89 3704 0044 0532 0130 01 today", "my social security number 123-45-6789", "part 123-45-6789 of list",
+        "amex card 378282246310005", "order 378282246310005",
+    ]
+    spans = [r.spans for r in pii.report(make_docs(list(enumerate(texts)))).orderBy("doc_id").collect()]
+    assert spans == ["iban:7:34", "", "ssn:26:37", "", "card15:10:25", ""]
+
+
+def test_running_sums(spark):
+    from pyspark.sql import functions as F
+
+    df = spark.range(4).select(F.expr("transform(sequence(1, cast(id * 300 + 1 as int)), x -> cast(x as bigint))").alias("v"))
+    for r in df.select("v", pii.running_sums(F.col("v")).alias("s")).collect():
+        assert r.s == [sum(r.v[: i + 1]) for i in range(len(r.v))]
