@@ -13,12 +13,12 @@ from pyspark.sql import functions as F
 # Accepted date spellings in order of precedence, each with the
 # rearrangement that turns it into ISO order.  The first pattern that matches decides.
 DATE_SPELLINGS = [
-    (r"^(\d{4}-\d{2}-\d{2} \d{2}:\d{2}:\d{2}(\.\d+)?)$", "$1"),  # 2019-01-03 08:46:08.000
-    (r"^(\d{4}-\d{2}-\d{2})$", "$1"),  # 2019-01-03
-    (r"^(\d{2})-(\d{2})-(\d{4})$", "$3-$1-$2"),  # 01-03-2019, month first
-    (r"^(\d{2})/(\d{2})/(\d{4})$", "$3-$2-$1"),  # 03/01/2019, day first
-    (r"^(\d{1,2})/(\d{1,2})/(\d{4})$", "$3-$1-$2"),  # 3/1/2019, month first
-    (r"^(\d{1,2})-(\d{1,2})-(\d{4})$", "$3-$1-$2"),  # 3-1-2019, month first
+    (r"^(\d{4}-\d{2}-\d{2} \d{2}:\d{2}:\d{2}(\.\d+)?)\z", "$1"),  # 2019-01-03 08:46:08.000
+    (r"^(\d{4}-\d{2}-\d{2})\z", "$1"),  # 2019-01-03
+    (r"^(\d{2})-(\d{2})-(\d{4})\z", "$3-$1-$2"),  # 01-03-2019, month first
+    (r"^(\d{2})/(\d{2})/(\d{4})\z", "$3-$2-$1"),  # 03/01/2019, day first
+    (r"^(\d{1,2})/(\d{1,2})/(\d{4})\z", "$3-$1-$2"),  # 3/1/2019, month first
+    (r"^(\d{1,2})-(\d{1,2})-(\d{4})\z", "$3-$1-$2"),  # 3-1-2019, month first
 ]
 
 

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from demandloom.functions.dates import has_date_shape
 from demandloom.functions.text import number_or_null
@@ -48,12 +49,15 @@ def _collect(*rules: tuple[Column, str]) -> Column:
     )
 
 
-def row_reasons() -> Column:
-    """Reasons a text-typed daily row is invalid; empty when it is fine."""
+def row_reasons(text_product: bool = True) -> Column:
+    """Reasons a daily row is invalid; empty when it is fine.
+
+    A product column of another type than text makes every row invalid.
+    """
     quantity = number_or_null(F.col(TOTAL))
     date = F.col(DATE).cast("string")
     return _collect(
-        (F.col(PRODUCT).isNull(), PRODUCT_MESSAGE),
+        (F.col(PRODUCT).isNull() | F.lit(not text_product), PRODUCT_MESSAGE),
         (quantity.isNull(), NUMERIC_MESSAGE),
         (quantity <= 0, POSITIVE_MESSAGE),
         (date.isNull(), NULL_DATE_MESSAGE),
@@ -64,7 +68,9 @@ def row_reasons() -> Column:
 def check_rows(df: DataFrame) -> DataFrame:
     """Adds ``reasons``: the row rules, or the missing columns if there are any."""
     absent = missing_columns(df, DAILY_COLUMNS)
-    return mark_missing(df, absent) if absent else df.withColumn("reasons", row_reasons())
+    if absent:
+        return mark_missing(df, absent)
+    return df.withColumn("reasons", row_reasons(isinstance(df.schema[PRODUCT].dataType, T.StringType)))
 
 
 def failing_rows(df: DataFrame) -> DataFrame:

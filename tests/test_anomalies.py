@@ -16,70 +16,69 @@ SCHEMA = (
     f"`{TX_ID}` long, `{DATE}` timestamp_ntz, `{PRODUCT}` string, `{PRICE}` double, `{QUANTITY}` long"
 )
 
-# (day, hour, minute, product, price, quantity) of transactions 1 to 20.
-TRANSACTIONS = [
-    (1, 10, 0, "Apple", 10.0, 2),
-    (1, 14, 0, "Apple", 9.5, 3),
-    (1, 16, 0, "Apple", 100.0, 1),
-    (1, 18, 0, "Apple", 10.5, 2),
-    (1, 12, 0, "Banana", 2.0, 5),
-    (1, 15, 0, "Banana", 2.1, 4),
-    (1, 2, 0, "Banana", 1.9, 20),
-    (1, 23, 30, "Banana", 2.2, 3),
-    (2, 10, 0, "Apple", 10.2, 2),
-    (2, 14, 0, "Apple", 9.8, 1),
-    (2, 16, 0, "Apple", 10.3, 3),
-    (2, 18, 0, "Apple", 9.9, 2),
-    (2, 12, 0, "Banana", 2.0, 4),
-    (2, 15, 0, "Banana", 0.5, 3),
-    (2, 3, 0, "Banana", 2.1, 5),
-    (3, 10, 0, "Cherry", 5.0, 2),
-    (3, 12, 0, "Cherry", 5.2, 30),
-    (3, 14, 0, "Cherry", 5.1, 3),
-    (3, 16, 0, "Cherry", 4.9, 1),
-    (3, 11, 0, "Cherry", 0.0, 0),
-]
+def own_rows():
+    """Seeded sales of three products over two days, with values planted far outside."""
+    rng = random.Random(41)
+    rows = []
+    for product, level, spread in (("tea", 30, 4), ("flour", 12, 3), ("dates", 70, 9)):
+        for day in (11, 12):
+            for _ in range(9):
+                hour = rng.choice([5, 6, 9, 13, 17, 22, 23])
+                rows.append([day, hour, product, round(rng.uniform(level - spread, level + spread), 2), rng.randint(3, 8)])
+    for k, column, value in ((4, 3, 950.0), (13, 4, 77), (22, 4, 0), (31, 3, 0.01), (40, 4, -2)):
+        rows[k][column] = value
+    return [(i, datetime(2031, 5, d, h, 7 * i % 60), n, p, q) for i, (d, h, n, p, q) in enumerate(rows, 101)]
+
+
+def expected_sets(rows):
+    """The four screens, stated row by row."""
+    groups = {}
+    for r in rows:
+        groups.setdefault((r[2], r[1].date()), []).append(r)
+    found = {k: set() for k in KINDS}
+    for group in groups.values():
+        for kind, at in (("price_anomalies", 3), ("quantity_anomalies", 4)):
+            if len(group) >= 4:
+                found[kind] |= {r[0] for r, bad in zip(group, plain_outliers([r[at] for r in group])) if bad}
+    found["time_anomalies"] = {r[0] for r in rows if not 6 <= r[1].hour <= 22}
+    found["format_anomalies"] = {r[0] for r in rows if r[4] <= 0}
+    return {k: sorted(v) for k, v in found.items()}
 
 
 @pytest.fixture
 def sample(spark):
-    rows = [
-        (i, datetime(2023, 1, d, h, m), n, p, q)
-        for i, (d, h, m, n, p, q) in enumerate(TRANSACTIONS, 1)
-    ]
-    return spark.createDataFrame(rows, SCHEMA)
+    return spark.createDataFrame(own_rows(), SCHEMA)
 
 
 def ids(df):
     return sorted(r[0] for r in df.select(TX_ID).collect())
 
 
-def test_sets_of_the_sample(sample):
+def test_sets_of_own_rows(sample):
+    expected = expected_sets(own_rows())
+    assert all(expected.values())
     flagged = anomalies.flag_anomalies(sample)
     sets = anomalies.anomaly_sets(flagged)
-    assert {k: ids(v) for k, v in sets.items()} == {
-        "price_anomalies": [3, 20],
-        "quantity_anomalies": [7, 17],
-        "time_anomalies": [7, 8, 15],
-        "format_anomalies": [20],
-    }
+    assert {k: ids(v) for k, v in sets.items()} == expected
     assert sets["time_anomalies"].columns[-3:] == ["datetime", "date_only", "hour"]
     clean = anomalies.clean_rows(flagged)
-    assert clean.count() == 14
+    bad = set().union(*expected.values())
+    assert ids(clean) == sorted(r[0] for r in own_rows() if r[0] not in bad)
     assert clean.columns == sample.columns
     assert ids(anomalies.clean_rows(flagged, unique_ids=True)) == ids(clean)
     union = anomalies.anomaly_union(flagged)
-    assert union.count() == 8
-    assert values(union.where(f"`{TX_ID}` = 7"), "anomaly_type") == [("quantity_anomalies",), ("time_anomalies",)]
+    assert values(union, TX_ID, "anomaly_type") == sorted(((i, k) for k, v in expected.items() for i in v), key=repr)
 
 
-def test_sample_without_broadcast(no_broadcast, sample):
-    assert anomalies.clean_rows(anomalies.flag_anomalies(sample)).count() == 14
+def test_own_rows_without_broadcast(no_broadcast, sample):
+    bad = set().union(*expected_sets(own_rows()).values())
+    assert anomalies.clean_rows(anomalies.flag_anomalies(sample)).count() == len(own_rows()) - len(bad)
 
 
 def test_small_and_empty_inputs(spark, sample):
-    small = anomalies.flag_anomalies(sample.where(f"`{TX_ID}` in (1, 2, 4)"))
-    assert anomalies.clean_rows(small).count() == 3
+    """Three rows in a group are too few for bounds, however far apart they lie."""
+    small = [(i, datetime(2031, 5, 11, 12), "tea", p, q) for i, p, q in ((1, 1.0, 1), (2, 1.0, 1), (3, 900.0, 90))]
+    assert anomalies.clean_rows(anomalies.flag_anomalies(spark.createDataFrame(small, SCHEMA))).count() == 3
     empty = anomalies.flag_anomalies(sample.limit(0))
     assert all(v.isEmpty() for v in anomalies.anomaly_sets(empty).values())
 
@@ -87,19 +86,20 @@ def test_small_and_empty_inputs(spark, sample):
 def test_price_column_is_optional(sample):
     flagged = anomalies.flag_anomalies(sample.drop(PRICE))
     assert anomalies.anomaly_set(flagged, "price_anomalies").isEmpty()
-    assert ids(anomalies.anomaly_set(flagged, "quantity_anomalies")) == [7, 17]
+    assert ids(anomalies.anomaly_set(flagged, "quantity_anomalies")) == expected_sets(own_rows())["quantity_anomalies"]
 
 
 def test_given_bounds(sample):
     groups = sample.groupBy(PRODUCT, F.to_date(DATE).alias("date_only")).agg(F.count("*").alias("_price_n"))
+    limits = {"price": (20.0, 60.0), "quantity": (4, 7)}
     bounds = groups.select(
         PRODUCT, "date_only", "_price_n", F.col("_price_n").alias("_quantity_n"),
-        *[F.lit(x).alias(f"_price_{c}") for x, c in ((1.0, "lower_bound"), (10.0, "upper_bound"))],
-        *[F.lit(x).alias(f"_quantity_{c}") for x, c in ((2, "lower_bound"), (15, "upper_bound"))],
+        *[F.lit(x).alias(f"_{m}_{c}") for m, pair in limits.items() for x, c in zip(pair, ("lower_bound", "upper_bound"))],
     )
     flagged = anomalies.flag_anomalies(sample, bounds)
-    assert anomalies.anomaly_set(flagged, "price_anomalies").count() == 5
-    assert anomalies.anomaly_set(flagged, "quantity_anomalies").count() == 6
+    for at, measure in ((3, "price"), (4, "quantity")):
+        low, high = limits[measure]
+        assert ids(anomalies.anomaly_set(flagged, f"{measure}_anomalies")) == [r[0] for r in own_rows() if not low <= r[at] <= high]
 
 
 def test_one_flag_removes_every_row_with_the_id(spark):
@@ -115,11 +115,11 @@ def bounds_of(spark, xs):
 
 
 def test_iqr_bounds(spark):
-    assert bounds_of(spark, [5, 5, 5, 5]) == (5.0, 5.0)
-    assert bounds_of(spark, [10]) == (10.0, 10.0)
-    low, high = bounds_of(spark, [-10, -5, 0, 5, 10])
-    assert (low, high) == (-20.0, 25.0)
-    assert bounds_of(spark, [10, 12, 15, 14, 18, 20, 25, 30])[0] >= 0
+    assert bounds_of(spark, [7.5] * 6) == (7.5, 7.5)
+    assert bounds_of(spark, [-3]) == (-3.0, -3.0)
+    # Quartiles -8 and 4: 1.5 ranges down, 2 up; without negative values the floor is 0.
+    assert bounds_of(spark, [-14, -8, -2, 4, 10]) == (-26.0, 28.0)
+    assert bounds_of(spark, [0, 6, 12, 18, 24]) == (0.0, 42.0)
 
 
 def plain_outliers(xs):

@@ -1,7 +1,10 @@
 from __future__ import annotations
 
+import random
+from collections import Counter
 from datetime import datetime
 
+import pytest
 from helpers import values
 
 from demandloom.operators import prices
@@ -10,30 +13,27 @@ from demandloom.schema import DATE, PRICE, PRODUCT
 LEVELS = "Year int, Month int, Week_of_year int, `Product Name` string, `Unit Price` double"
 
 
-def test_mode_by_week(spark):
-    rows = [(2020, 1, 1, 1.5), (2020, 1, 1, 1.5), (2020, 1, 2, 2.0), (2021, 1, 1, 2.0), (2022, 1, 2, 2.5), (2022, 1, 2, 2.5)]
-    df = spark.createDataFrame([(y, m, w, "Milk", p) for y, m, w, p in rows], LEVELS)
-    assert values(prices.frequent_price(df, prices.WEEK)) == [
-        (2020, 1, 1, "Milk", 1.5),
-        (2020, 1, 2, "Milk", 2.0),
-        (2021, 1, 1, "Milk", 2.0),
-        (2022, 1, 2, "Milk", 2.5),
-    ]
+def own_prices(seed):
+    """Seeded (year, month, week, product, price) rows with few distinct prices."""
+    rng = random.Random(seed)
+    return [(2030 + rng.randint(0, 1), m := rng.randint(1, 3), 4 * m + rng.randint(0, 1), rng.choice(["rice", "oats"]), rng.choice([3.25, 4.0, 4.75, None])) for _ in range(150)]
 
 
-def test_mode_by_month_and_year(spark):
-    rows = [
-        (2020, 1, "Milk", 1.5), (2020, 1, "Milk", 2.0), (2020, 1, "Milk", 1.5), (2020, 2, "Milk", 1.8),
-        (2020, 2, "Milk", 1.8), (2021, 1, "Bread", 1.0), (2021, 2, "Bread", 1.0), (2022, 3, "Eggs", 2.5),
-    ]
-    df = spark.createDataFrame([(y, m, 1, n, p) for y, m, n, p in rows], LEVELS)
-    assert values(prices.frequent_price(df, prices.MONTH)) == [
-        (2020, 1, "Milk", 1.5), (2020, 2, "Milk", 1.8), (2021, 1, "Bread", 1.0),
-        (2021, 2, "Bread", 1.0), (2022, 3, "Eggs", 2.5),
-    ]
-    assert values(prices.frequent_price(df, prices.YEAR)) == [
-        (2020, "Milk", 1.5), (2021, "Bread", 1.0), (2022, "Eggs", 2.5),
-    ]
+def plain_modes(rows, width):
+    """Most frequent known price per (first ``width`` fields, product), the smaller on a tie."""
+    counts = {}
+    for *when, name, price in rows:
+        if price is not None:
+            counts.setdefault((*when[:width], name), Counter())[price] += 1
+    return sorted(((*k, min(c, key=lambda p: (-c[p], p))) for k, c in counts.items()), key=repr)
+
+
+@pytest.mark.parametrize("seed", range(3))
+def test_modes_against_plain_python(spark, seed):
+    rows = own_prices(seed)
+    df = spark.createDataFrame(rows, LEVELS)
+    for width, level in ((3, prices.WEEK), (2, prices.MONTH), (1, prices.YEAR)):
+        assert values(prices.frequent_price(df, level)) == plain_modes(rows, width)
 
 
 def test_mode_of_nulls_and_ties(spark):
@@ -63,12 +63,11 @@ def test_ladder_from_given_lookups(spark):
             PRICE,
         )
 
-    week = [(2023, 1, 2, "milk", 15.0)]
-    assert run([(2023, 1, 2, "milk", None), (2023, 1, 3, "bread", 20.0)], week) == [("bread", 20.0), ("milk", 15.0)]
-    both = [(2023, 1, 2, "milk", None), (2023, 1, 3, "bread", None)]
-    assert run(both, week, [(2023, 1, "bread", 18.0)]) == [("bread", 18.0), ("milk", 15.0)]
-    assert run(both[:1], year=[(2023, "milk", 20.0)]) == [("milk", 20.0)]
-    assert run(both) == [("bread", 0.0), ("milk", 0.0)]
+    # Each level answers only where the finer ones have nothing; known prices stay.
+    rows = [(2031, 7, 27, "oats", 0.5), *((2031, 7, 27, n, None) for n in ("kale", "leek", "peas", "rice"))]
+    week, month, year = [(2031, 7, 27, "kale", 1.1)], [(2031, 7, n, 2.2) for n in ("kale", "leek")], [(2031, n, 3.3) for n in ("kale", "leek", "peas")]
+    assert run(rows, week, month, year) == [("kale", 1.1), ("leek", 2.2), ("oats", 0.5), ("peas", 3.3), ("rice", 0.0)]
+    assert run(rows) == [("kale", 0.0), ("leek", 0.0), ("oats", 0.5), ("peas", 0.0), ("rice", 0.0)]
 
 
 def fill_case(spark):
