@@ -10,11 +10,11 @@ import math
 
 import numpy as np
 import pandas as pd
+from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-# Fixed value: up to this sample size the exact distribution is used.
-EXACT_LIMIT = 10_000
+METHODS = ("exact", "asymptotic")
 
 
 def exact_p(n1: int, n2: int, gap: int) -> float:
@@ -55,12 +55,23 @@ def asymptotic_p(n1: int, n2: int, d: float) -> float:
     return min(1.0, max(0.0, sum(terms)))
 
 
-@F.pandas_udf(T.DoubleType())
-def ks_p_value(n1: pd.Series, n2: pd.Series, gap: pd.Series) -> pd.Series:
+def ks_p_value(n1: Column | str, n2: Column | str, gap: Column | str, method: str = "exact") -> Column:
+    """The p-value by the method the caller names, whatever the sample sizes.
+
+    ``exact`` takes time in proportion to n1 * (n1 + n2); ``asymptotic`` is immediate and good
+    for thousands of values.
+    """
+    if method not in METHODS:
+        raise ValueError(f"method must be one of {METHODS}")
+
     def one(a, b, g):
         if pd.isna(a) or pd.isna(b) or pd.isna(g) or a < 1 or b < 1:
             return None
         a, b, g = int(a), int(b), int(g)
-        return exact_p(a, b, g) if max(a, b) <= EXACT_LIMIT else asymptotic_p(a, b, g / (a * b))
+        return exact_p(a, b, g) if method == "exact" else asymptotic_p(a, b, g / (a * b))
+
+    @F.pandas_udf(T.DoubleType())
+    def p_values(n1: pd.Series, n2: pd.Series, gap: pd.Series) -> pd.Series:
+        return pd.Series([one(*row) for row in zip(n1, n2, gap)], dtype="float64")
 
-    return pd.Series([one(*row) for row in zip(n1, n2, gap)], dtype="float64")
+    return p_values(n1, n2, gap)

@@ -75,14 +75,20 @@ def ks_drift(
     keys: list[str],
     columns: list[str],
     alpha: float = ALPHA,
+    method: str = "exact",
 ) -> DataFrame:
-    """Adds p_value and drift to the statistics; too small samples are left out."""
+    """Adds method, p_value and drift to the statistics; too small samples are left out.
+
+    ``method`` names the distribution of the p-value, ``exact`` or ``asymptotic``; it never
+    depends on the sample size.
+    """
     stats = ks_statistics(ref, new, keys, columns).where(
         (F.col("n_ref") >= MIN_SAMPLE) & (F.col("n_new") >= MIN_SAMPLE)
     )
-    return stats.withColumn(
-        "p_value", ks_p_value("n_ref", "n_new", F.col("gap").cast("double"))
-    ).withColumn("drift", F.col("p_value") < alpha)
+    tested = stats.withColumn("method", F.lit(method)).withColumn(
+        "p_value", ks_p_value("n_ref", "n_new", F.col("gap").cast("double"), method)
+    )
+    return tested.withColumn("drift", F.col("p_value") < alpha)
 
 
 def data_drift(
@@ -91,6 +97,7 @@ def data_drift(
     columns: list[str] | None = None,
     keys: list[str] | None = None,
     alpha: float = ALPHA,
+    method: str = "exact",
 ) -> DataFrame:
     """Per product: whether any numeric column drifted, and which ones.
 
@@ -100,7 +107,7 @@ def data_drift(
     keys = [PRODUCT] if keys is None else keys
     wanted = numeric_columns(ref, keys) if columns is None else columns
     shared = [c for c in wanted if c in new.columns]
-    tested = ks_drift(ref, new, keys, shared, alpha)
+    tested = ks_drift(ref, new, keys, shared, alpha, method)
     drifted = F.collect_set(F.when(F.col("drift"), F.col("column")))
     return tested.groupBy(*keys).agg(
         F.bool_or("drift").alias("data_drift"), F.array_sort(drifted).alias("drift_columns")
@@ -113,8 +120,9 @@ def concept_drift(
     keys: list[str] | None = None,
     alpha: float = ALPHA,
     column: str = "residual",
+    method: str = "exact",
 ) -> DataFrame:
     """Per product: whether the forecast errors of the two windows differ."""
     keys = [PRODUCT] if keys is None else keys
-    tested = ks_drift(ref_residuals, new_residuals, keys, [column], alpha)
+    tested = ks_drift(ref_residuals, new_residuals, keys, [column], alpha, method)
     return tested.select(*keys, F.col("drift").alias("concept_drift"))

@@ -8,7 +8,7 @@ from pyspark.sql import types as T
 
 from demandloom.functions.dates import has_date_shape
 from demandloom.functions.text import number_or_null
-from demandloom.schema import DAILY_COLUMNS, DATE, PRODUCT, RAW_COLUMNS, TOTAL
+from demandloom.schema import DAILY_COLUMNS, DATE, PRODUCT, RAW_COLUMNS, SOURCE_FILE, TOTAL, TYPED
 
 # Messages of the checks.
 EMPTY_MESSAGE = "DataFrame is empty, no rows found"
@@ -18,6 +18,7 @@ NUMERIC_MESSAGE = "Total Quantity must be numeric"
 POSITIVE_MESSAGE = "Total Quantity must be greater than 0"
 NULL_DATE_MESSAGE = "Date cannot be null"
 DATE_SHAPE_MESSAGE = "Date must be in a valid date format"
+BAD_VALUE_MESSAGE = "Bad value in "
 ALL_VALID, SOME_VALID, NONE_VALID = 0, 1, 2
 
 
@@ -133,6 +134,27 @@ def file_verdicts(lines: DataFrame, files: DataFrame, required: list[str] = RAW_
     ).withColumn("valid", F.col("error").isNull())
 
 
+def bad_values(raw: DataFrame, per: str = SOURCE_FILE) -> DataFrame:
+    """(file_path, bad): columns of a file that hold a text no number can be read from.
+
+    ``raw`` has text columns; files without such a cell are left out.
+    """
+    checks = []
+    for field in TYPED.fields:
+        if field.name in raw.columns and isinstance(field.dataType, T.NumericType):
+            text = F.col(f"`{field.name}`")
+            checks.append(F.when(F.bool_or(text.isNotNull() & text.try_cast("double").isNull()), F.lit(field.name)))
+    found = raw.groupBy(F.col(per).alias("file_path")).agg(F.concat_ws(", ", *checks).alias("bad"))
+    return found.where("bad <> ''")
+
+
+def add_bad_values(verdicts: DataFrame, bad: DataFrame) -> DataFrame:
+    """Verdicts in which files with bad values are invalid too."""
+    joined = verdicts.join(bad, "file_path", "left")
+    error = F.when(F.col("bad").isNotNull(), F.concat(F.lit(BAD_VALUE_MESSAGE), F.col("bad"))).otherwise(F.col("error"))
+    return joined.withColumn("error", error).withColumn("valid", F.col("error").isNull()).select(*verdicts.columns)
+
+
 def batch_status(verdicts: DataFrame) -> DataFrame:
     """One row: files, valid files and the status 0 (all), 1 (some) or 2 (none valid)."""
     return verdicts.agg(

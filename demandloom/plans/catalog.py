@@ -14,16 +14,20 @@ from demandloom.plans import monitoring, retail, views
 from demandloom.schema import (
     DATE,
     PRICE,
+    PRODUCER,
     PRODUCT,
     QUANTITY,
     RAW_COLUMNS,
     SEQ,
     SOURCE_FILE,
+    STORE,
     TOTAL,
     TX_ID,
 )
 from demandloom.session import configure, scratch_path, stage
+from demandloom.functions.text import processed_name
 from demandloom.sources import listing, manifest, readers, writers
+from demandloom.sources.ledger import read_ledger
 from demandloom.streaming.ingest import clean_arriving_files, stream_files
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -285,7 +289,7 @@ def data_drift(spark, sf_dir):
 def ks_p_value(spark, sf_dir):
     ref, new = _windows(spark, sf_dir)
     tested = drift.ks_drift(ref, new, [PRODUCT], [TOTAL])
-    return rounded(tested.drop("gap", "drift", "column"), 9)
+    return rounded(tested.drop("gap", "drift", "column", "method"), 9)
 
 
 @query
@@ -417,24 +421,34 @@ def version_diff(spark, sf_dir):
     path = F.concat_ws("/", "source", "doc_id")
     moved = F.when(i % 10 == 3, F.concat(F.lit("moved/"), path)).otherwise(path)
     edited = F.when(i % 7 == 0, F.concat("text", F.lit(" "))).otherwise(F.col("text"))
-    old = docs.select(path.alias("file_path"), F.md5("text").alias("md5"))
-    new = docs.select(moved.alias("file_path"), F.md5(edited).alias("md5"))
+    old = docs.select(path.alias("file_path"), F.md5("text").alias("digest"))
+    new = docs.select(moved.alias("file_path"), F.md5(edited).alias("digest"))
     return manifest.diff_versions(old, new)
 
 
 @query
 def content_digest(spark, sf_dir):
-    return listing.content_digest(views.lines(spark, sf_dir), [PRODUCT])
+    """Whole numbers and texts only: SQL engines write other types differently."""
+    return listing.content_digest(views.lines(spark, sf_dir).select(QUANTITY, TX_ID, STORE, PRODUCT, PRODUCER), [PRODUCT])
 
 
 @query
 def file_inventory(spark, sf_dir):
-    files = listing.inventory(spark, sf_dir)
-    return files.select(F.element_at(F.split("file_path", "/"), -1).alias("file"), "size", "md5")
+    """Files of document texts, one line each, in order of their ids."""
+    path = scratch_path(spark, "texts")
+    text = F.concat_ws(" ", F.col("doc_id").cast("string"), F.translate(F.coalesce("text", F.lit("")), "\r\n", "  "))
+    docs = views.table(spark, sf_dir, "documents").select("doc_id", F.concat(F.lit("part"), F.pmod("doc_id", F.lit(16))).alias("file"), text.alias("value"))
+    (
+        docs.repartition("file").sortWithinPartitions("file", "doc_id").select("file", "value")
+        .write.partitionBy("file").text(path)
+    )
+    files = listing.inventory(spark, path)
+    return files.select(F.regexp_extract("file_path", "(part[0-9]+)", 1).alias("file"), "size", "digest")
 
 
 def _slim(df: DataFrame) -> DataFrame:
-    return df.select(*[c for c in RAW_COLUMNS if c != PRICE])
+    """Prices as numbers: SQL engines write them differently."""
+    return df.select(*RAW_COLUMNS).withColumn(PRICE, F.col(PRICE).cast("double"))
 
 
 @query
@@ -551,3 +565,59 @@ def stream_pipeline(spark, sf_dir):
     )
     job.awaitTermination()
     return _published(spark, output)
+
+
+def _bad_inbox(spark, sf_dir) -> str:
+    """Every second file has a quantity that is no number."""
+    odd = F.regexp_extract(SOURCE_FILE, r"(\d+)", 1).cast("long") % 2 == 1
+    raw = views.raw_events(spark, sf_dir)
+    return _export_files(raw.withColumn(QUANTITY, F.when(odd, "a dozen").otherwise(F.col(QUANTITY))), RAW_COLUMNS)
+
+
+@query
+def folder_bad_values(spark, sf_dir):
+    """Files with a bad cell are left aside; the others are cleaned as if alone."""
+    output = scratch_path(spark, "processed")
+    retail.process_folder(spark, _bad_inbox(spark, sf_dir), output, scratch_path(spark, "ledger"))
+    return _published(spark, output)
+
+
+@query
+def bad_value_verdicts(spark, sf_dir):
+    """The ledger names the reason for every file that was left aside."""
+    book = scratch_path(spark, "ledger")
+    retail.process_folder(spark, _bad_inbox(spark, sf_dir), scratch_path(spark, "processed"), book)
+    return read_ledger(spark, book).select(_source_name("file_path").alias(SOURCE_FILE), "error")
+
+
+@query
+def batch_report(spark, sf_dir):
+    report = validate.batch_report(_verdicts(spark, sf_dir))
+    reason = F.nullif(F.regexp_extract("line", "(Missing columns: .*)$", 1), F.lit(""))
+    return report.select(_source_name("file_path").alias(SOURCE_FILE), "section", reason.alias("reason"))
+
+
+@query
+def sql_window(spark, sf_dir):
+    """A SQL text with two scalar subqueries on a view of the session."""
+    views.daily(spark, sf_dir).createOrReplaceTempView("daily_demand_view")
+    return readers.read_query(
+        spark,
+        f"""SELECT * FROM daily_demand_view
+            WHERE `{DATE}` > (SELECT max(`{DATE}`) FROM daily_demand_view) - INTERVAL 7 DAY
+              AND `{TOTAL}` >= (SELECT avg(`{TOTAL}`) FROM daily_demand_view)""",
+    )
+
+
+@query
+def required_columns(spark, sf_dir):
+    lines = views.lines(spark, sf_dir)
+    absent = validate.missing_columns(lines, [DATE, TOTAL, PRODUCT])
+    return validate.mark_missing(lines, absent).select(TX_ID, F.concat_ws("; ", "reasons").alias("reasons"))
+
+
+@query
+def file_names(spark, sf_dir):
+    docs = views.table(spark, sf_dir, "documents")
+    path = F.concat(F.lit("in/box/"), F.col("source"), F.lit(" "), F.col("doc_id") % 50, F.lit(".v2.json"))
+    return docs.select(processed_name(path).alias("output_name")).distinct()

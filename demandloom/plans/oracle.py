@@ -461,9 +461,9 @@ ORACLE: dict[str, str] = {
         FROM old o FULL OUTER JOIN new n USING (file_path)
         WHERE o.m IS NULL OR n.m IS NULL OR o.m <> n.m""",
     "csv_source": f"""WITH {SQL_RAW} SELECT "Date", "Transaction ID", "Store Location", "Product Name", "Producer ID",
-        quantity || quantity_suffix AS "Quantity" FROM raw""",
+        CAST(price AS DOUBLE) AS "Unit Price", quantity || quantity_suffix AS "Quantity" FROM raw""",
     "json_source": f"""WITH {SQL_RAW} SELECT "Date", "Transaction ID", "Store Location", "Product Name", "Producer ID",
-        quantity || quantity_suffix AS "Quantity" FROM raw""",
+        CAST(price AS DOUBLE) AS "Unit Price", quantity || quantity_suffix AS "Quantity" FROM raw""",
     "file_verdicts": f"""WITH {SQL_RAW}, files AS (
           SELECT source_file, CAST(replace(source_file, 'batch_', '') AS BIGINT) AS no, count(*) AS rows FROM raw GROUP BY 1)
         SELECT source_file, rows, CASE WHEN no % 2 = 1 THEN 'Missing columns: Unit Price, Producer ID' END AS error,
@@ -486,4 +486,30 @@ ORACLE: dict[str, str] = {
     "pipeline_stats": f"WITH {PIPELINE} {_stats('result', ['Total Quantity'], 'source_file,')}",
     "folder_pipeline": PIPELINE_DAILY,
     "stream_pipeline": PIPELINE_DAILY,
+    "folder_bad_values": f"""SELECT * FROM ({PIPELINE_DAILY}) d
+        WHERE CAST(replace(source_file, 'batch_', '') AS BIGINT) % 2 = 0""",
+    "bad_value_verdicts": f"""WITH {SQL_RAW} SELECT DISTINCT source_file,
+        CASE WHEN CAST(replace(source_file, 'batch_', '') AS BIGINT) % 2 = 1 THEN 'Bad value in Quantity' END AS error FROM raw""",
+    "batch_report": f"""WITH {SQL_RAW}, files AS (
+          SELECT DISTINCT source_file, CAST(replace(source_file, 'batch_', '') AS BIGINT) % 2 = 1 AS bad FROM raw)
+        SELECT source_file, CASE WHEN bad THEN 1 ELSE 2 END AS section,
+               CASE WHEN bad THEN 'Missing columns: Unit Price, Producer ID' END AS reason FROM files""",
+    "sql_window": f"""WITH {SQL_DAILY} SELECT * FROM daily
+        WHERE "Date" > (SELECT max("Date") FROM daily) - INTERVAL 7 DAY AND "Total Quantity" >= (SELECT avg("Total Quantity") FROM daily)""",
+    "required_columns": f"""WITH {SQL_LINES} SELECT "Transaction ID", 'Missing columns: Total Quantity' AS reasons FROM lines""",
+    "file_names": """SELECT DISTINCT 'processed_' || replace(source, ' ', '_') || '_' || (doc_id % 50) || '.v2.csv' AS output_name FROM documents""",
+    "content_digest": f"""WITH {SQL_LINES}, h AS (
+          SELECT "Product Name", md5(concat_ws(chr(31), coalesce(CAST("Quantity" AS VARCHAR), '∅'), coalesce("Transaction ID", '∅'),
+                 coalesce("Store Location", '∅'), coalesce("Product Name", '∅'), coalesce("Producer ID", '∅'))) AS m FROM lines)
+        SELECT "Product Name", count(*) AS rows,
+               sum(CAST(('0x' || substr(m, 1, 15)) AS BIGINT)) || '-' || sum(CAST(('0x' || substr(m, 16, 15)) AS BIGINT)) AS digest
+        FROM h GROUP BY 1""",
+    "file_inventory": """WITH t AS (
+          SELECT 'part' || (doc_id % 16) AS file, doc_id,
+                 doc_id || ' ' || translate(coalesce(text, ''), chr(13) || chr(10), '  ') AS line FROM documents),
+        n AS (SELECT file, line, row_number() OVER (PARTITION BY file ORDER BY doc_id) AS no FROM t),
+        h AS (SELECT file, strlen(line) + 1 AS bytes, md5(no || ':' || line) AS m FROM n)
+        SELECT file, CAST(sum(bytes) AS BIGINT) AS size, sum(bytes) || '-' || count(*) || '-' || sum(CAST(('0x' || substr(m, 1, 15)) AS BIGINT))
+               || '-' || sum(CAST(('0x' || substr(m, 16, 15)) AS BIGINT)) AS digest
+        FROM h GROUP BY 1""",
 }

@@ -21,13 +21,15 @@ from demandloom.operators.prices import fill_missing_prices
 from demandloom.operators.profile import numeric_stats
 from demandloom.operators.validate import (
     NONE_VALID,
+    add_bad_values,
+    bad_values,
     batch_status,
     failing_rows,
     file_verdicts,
     validation_summary,
 )
 from demandloom.schema import BLOCK, PRICE, REFERENCE_PRODUCTS, SEQ, SOURCE_FILE
-from demandloom.session import stage
+from demandloom.session import stage, staged_scope
 from demandloom.sources.ledger import delete_sources, read_ledger, record, unprocessed
 from demandloom.sources.listing import list_files
 from demandloom.sources.readers import read_lines, read_valid_csv
@@ -121,7 +123,8 @@ def process_files(
 ) -> DataFrame:
     """Clean the listed CSV files and return the verdict per file.
 
-    Invalid files do not stop the others.  Every result replaces the partition of
+    Invalid files, those with a bad number in a cell included, do not stop the others; the
+    verdict names the reason.  Every result replaces the partition of
     its own file, so running a batch again leaves the same tables.  ``reports``
     gets the tables anomalies, failures and stats.
     """
@@ -130,14 +133,18 @@ def process_files(
     verdicts = stage(file_verdicts(read_lines(spark, paths), files), "verdicts")
     raw = read_valid_csv(spark, verdicts)
     if raw is not None:
+        verdicts = stage(add_bad_values(verdicts, bad_values(raw)), "verdicts")
+        raw = read_valid_csv(spark, verdicts)
+    if raw is not None:
+        done = verdicts.where("valid").select("file_path")
         result = run_batch(raw, block=BLOCK)
         result.daily = stage(result.daily, "daily")
         for target in [output, *([cache] if cache else [])]:
-            write_per_source(result.daily, target)
+            write_per_source(result.daily, target, done)
         if reports:
-            write_per_source(result.anomalies, f"{reports}/anomalies")
-            write_per_source(result.failures(), f"{reports}/failures")
-            write_per_source(result.stats(), f"{reports}/stats")
+            write_per_source(result.anomalies, f"{reports}/anomalies", done)
+            write_per_source(result.failures(), f"{reports}/failures", done)
+            write_per_source(result.stats(), f"{reports}/stats", done)
     return verdicts
 
 
@@ -149,18 +156,26 @@ def process_folder(
     cache: str | None = None,
     delete_after: bool = False,
     reports: str | None = None,
+    delete_invalid: bool = False,
 ) -> int:
     """Clean every new CSV file of a folder and return the batch status 0, 1 or 2.
 
-    Files are recorded in the ledger after their results are written; deletion
-    is opt-in.
+    Files are recorded in the ledger after their results are written, invalid ones
+    with the reason, so that no run reads them again; deletion is opt-in.
+    Intermediate tables are deleted at the end.
     """
+    with staged_scope(spark):
+        return _process_folder(spark, path, output, ledger, cache, delete_after, reports, delete_invalid)
+
+
+def _process_folder(spark, path, output, ledger, cache, delete_after, reports, delete_invalid) -> int:
     new_files = stage(unprocessed(list_files(spark, path), read_ledger(spark, ledger)), "new-files")
     if new_files.isEmpty():
         return NONE_VALID
     verdicts = process_files(spark, new_files, output, cache, reports)
-    done = new_files.join(verdicts.where("valid").select("file_path"), "file_path", "left_semi")
-    record(done, ledger)
-    if delete_after:
-        delete_sources(spark, [r.file_path for r in done.select("file_path").collect()])
+    judged = new_files.join(verdicts.select("file_path", "error", "valid"), "file_path")
+    record(judged, ledger)
+    for wanted, condition in ((delete_after, "valid"), (delete_invalid, "not valid")):
+        if wanted:
+            delete_sources(spark, (r.file_path for r in judged.where(condition).select("file_path").toLocalIterator()))
     return batch_status(verdicts).first().status

@@ -59,7 +59,7 @@ MANIFEST = T.StructType(
         T.StructField("version_ts", T.TimestampType()),
         T.StructField("file_path", T.StringType()),
         T.StructField("size", T.LongType()),
-        T.StructField("md5", T.StringType()),
+        T.StructField("digest", T.StringType()),
         T.StructField("updated", T.TimestampType()),
     ]
 )

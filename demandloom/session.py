@@ -9,12 +9,17 @@ the table, so it broadcasts a small one and shuffles a large one by itself.
 
 from __future__ import annotations
 
+import re
 import tempfile
+import threading
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
 _local_roots: dict[str, str] = {}
+_owners = threading.local()
 
 RUNTIME_SETTINGS = {
     "spark.sql.session.timeZone": "UTC",
@@ -63,7 +68,7 @@ def staging_root(spark: SparkSession) -> str:
     if shared:
         return shared.rstrip("/")
     context = spark.sparkContext
-    if not context.master.startswith("local"):
+    if not re.match(r"local(\[|$)", context.master):
         raise ValueError("set spark.checkpoint.dir to a folder all executors share")
     app = context.applicationId
     if app not in _local_roots:
@@ -76,8 +81,32 @@ def scratch_path(spark: SparkSession, label: str) -> str:
     return f"{staging_root(spark)}/{label}-{uuid.uuid4().hex}"
 
 
+@contextmanager
+def staged_scope(spark: SparkSession) -> Iterator[None]:
+    """Deletes the tables staged inside on leaving: for jobs whose results are written by then.
+
+    A query that is returned lazily can't use it; its staged tables stay for the caller.
+    """
+    outer, _owners.paths = getattr(_owners, "paths", None), []
+    try:
+        yield
+    finally:
+        done, _owners.paths = _owners.paths, outer
+        for path in done:
+            remove_path(spark, path)
+
+
+def remove_path(spark: SparkSession, path: str) -> bool:
+    """Delete a file or folder through the file system of its path."""
+    target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    fs = target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    return bool(fs.delete(target, True))
+
+
 def stage(df: DataFrame, label: str = "stage") -> DataFrame:
     """Write ``df`` once and continue from the written table."""
     path = scratch_path(df.sparkSession, label)
+    if getattr(_owners, "paths", None) is not None:
+        _owners.paths.append(path)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)

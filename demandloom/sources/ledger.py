@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterable
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-LEDGER = "file_path string, size long, updated timestamp, processed_at timestamp"
+LEDGER = "file_path string, size long, updated timestamp, processed_at timestamp, error string"
 
 
 def read_ledger(spark: SparkSession, path: str) -> DataFrame:
@@ -22,13 +24,14 @@ def unprocessed(listing: DataFrame, ledger: DataFrame) -> DataFrame:
 
 
 def record(listing: DataFrame, path: str) -> None:
-    """Append files to the ledger after their results were written."""
+    """Append files to the ledger after their results were written; ``error`` if they had none."""
+    error = F.col("error") if "error" in listing.columns else F.lit(None).cast("string")
     listing.select(
-        "file_path", "size", "updated", F.current_timestamp().alias("processed_at")
+        "file_path", "size", "updated", F.current_timestamp().alias("processed_at"), error.alias("error")
     ).write.mode("append").parquet(path)
 
 
-def delete_sources(spark: SparkSession, paths: list[str]) -> int:
+def delete_sources(spark: SparkSession, paths: Iterable[str]) -> int:
     """Delete consumed files on explicit request; returns how many were removed."""
     jvm = spark.sparkContext._jvm
     removed = 0

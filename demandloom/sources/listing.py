@@ -2,12 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-# Largest file that is digested in one piece.
-WHOLE_FILE_BYTES = 64 * 1024 * 1024
-
 
 def scanned_file() -> Column:
     """Path of the file a row was read from, spelled as in ``list_files``.
@@ -42,36 +39,61 @@ def first_files(listing: DataFrame, n: int = 20) -> DataFrame:
     return listing.orderBy("file_path").limit(n)
 
 
-def inventory(spark: SparkSession, path: str, whole_limit: int = WHOLE_FILE_BYTES) -> DataFrame:
-    """(file_path, size, md5, updated) of every file below a folder.
+def _half(digest: Column, at: int) -> Column:
+    """Fifteen hex digits of a digest as a whole number."""
+    return F.conv(F.substring(digest, at, 15), 16, 10).cast("decimal(38,0)")
+
+
+def numbered_lines(lines: DataFrame) -> DataFrame:
+    """(file_path, line, value): lines with their number in the file, from 1.
+
+    Lines are counted inside a block (the byte range of a reader task), and blocks
+    along the file, one row each.
+    """
+    inside = Window.partitionBy("file_path", "block_start").orderBy("line_no")
+    along = Window.partitionBy("file_path").orderBy("block_start").rowsBetween(Window.unboundedPreceding, -1)
+    blocks = lines.groupBy("file_path", "block_start").agg(F.count(F.lit(1)).alias("n"))
+    base = blocks.select("file_path", "block_start", F.coalesce(F.sum("n").over(along), F.lit(0)).alias("base"))
+    placed = lines.withColumn("at", F.row_number().over(inside))
+    return placed.join(base, ["file_path", "block_start"]).select(
+        "file_path", (F.col("base") + F.col("at")).alias("line"), "value"
+    )
+
+
+def line_digests(numbered: DataFrame, key: str = "file_path") -> DataFrame:
+    """(key, digest): count and summed MD5 halves of "number:line" over all lines.
+
+    The number makes the sum depend on the order; a sum combines on the map side, so
+    files of every size have the same definition.
+    """
+    marked = F.md5(F.concat(F.encode(F.concat(F.col("line").cast("string"), F.lit(":")), "utf-8"), F.col("value").cast("binary")))
+    return (
+        numbered.select(key, marked.alias("m"))
+        .groupBy(key)
+        .agg(F.count(F.lit(1)).alias("n"), F.sum(_half(F.col("m"), 1)).alias("a"), F.sum(_half(F.col("m"), 16)).alias("b"))
+        .select(key, F.concat_ws("-", "n", "a", "b").alias("digest"))
+    )
+
+
+def inventory(spark: SparkSession, path: str) -> DataFrame:
+    """(file_path, size, digest, updated) of every file below a folder.
 
-    A file up to ``whole_limit`` bytes is digested in one piece.  A larger one is
-    read in splits by many tasks; its digest is the number of its lines and the
-    sum of their hashes, which compares as well as an MD5 but is none.  Empty
-    files have the MD5 of nothing.
+    ``digest`` is the size and the digest of the lines between line feeds, carriage
+    returns included; the size tells whether the last line was ended.  It is the same
+    for every file size and block size.
     """
     listed = list_files(spark, path)
-    whole = (
-        spark.read.format("binaryFile")
-        .option("recursiveFileLookup", "true")
-        .load(path)
-        .where(F.col("length") <= whole_limit)
-        .select(F.col("path").alias("file_path"), F.md5("content").alias("digest"))
+    lines = spark.read.option("lineSep", "\n").text(path, recursiveFileLookup=True).select(
+        scanned_file().alias("file_path"),
+        F.col("_metadata.file_block_start").alias("block_start"),
+        F.monotonically_increasing_id().alias("line_no"),
+        "value",
     )
-    large = [r.file_path for r in listed.where(F.col("size") > whole_limit).collect()]
-    if large:
-        line_hash = F.xxhash64("value").cast("decimal(38,0)")
-        split = (
-            spark.read.text(large, recursiveFileLookup=True)
-            .groupBy(scanned_file().alias("file_path"))
-            .agg(F.count(F.lit(1)).alias("n"), F.sum(line_hash).alias("s"))
-            .select("file_path", F.concat_ws("-", F.lit("lines"), "n", "s").alias("digest"))
-        )
-        whole = whole.unionByName(split)
-    return listed.join(whole, "file_path", "left").select(
+    digests = line_digests(numbered_lines(lines))
+    return listed.join(digests, "file_path", "left").select(
         "file_path",
         "size",
-        F.coalesce("digest", F.md5(F.lit(""))).alias("md5"),
+        F.concat_ws("-", F.col("size").cast("string"), F.coalesce("digest", F.lit("0"))).alias("digest"),
         "updated",
     )
 
@@ -79,9 +101,12 @@ def inventory(spark: SparkSession, path: str, whole_limit: int = WHOLE_FILE_BYTE
 def content_digest(df: DataFrame, keys: list[str] | None = None) -> DataFrame:
     """Row count and order-independent digest of table content, per key.
 
-    A partial aggregate over row hashes: works for tables of any size.
+    The sum of the MD5 halves of each row's columns as text, joined by the unit separator
+    (null is a text of its own).  A partial aggregate: works for tables of any size.
     """
-    hashed = F.xxhash64(*[F.col(f"`{c}`") for c in df.columns]).cast("decimal(38,0)")
-    return df.groupBy(*(keys or [])).agg(
-        F.count(F.lit(1)).alias("rows"), F.sum(hashed).cast("string").alias("digest")
+    parts = [F.coalesce(F.col(f"`{c}`").cast("string"), F.lit("\u2205")) for c in df.columns]
+    hashed = df.select(*(keys or []), F.md5(F.concat_ws("\x1f", *parts)).alias("_m"))
+    return hashed.groupBy(*(keys or [])).agg(
+        F.count(F.lit(1)).alias("rows"),
+        F.concat_ws("-", F.sum(_half(F.col("_m"), 1)), F.sum(_half(F.col("_m"), 16))).alias("digest"),
     )

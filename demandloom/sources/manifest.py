@@ -2,12 +2,17 @@
 
 from __future__ import annotations
 
+import warnings
+
+from py4j.protocol import Py4JJavaError
+from pyspark.errors import PySparkException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from demandloom.schema import MANIFEST
+from demandloom.session import stage
 
-FILE_FIELDS = ["file_path", "size", "md5", "updated"]
+FILE_FIELDS = ["file_path", "size", "digest", "updated"]
 
 
 def version_rows(files: DataFrame, timestamp) -> DataFrame:
@@ -32,34 +37,37 @@ def read_manifest(spark: SparkSession, path: str) -> DataFrame:
     fs = jvm_path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
     if not fs.exists(jvm_path):
         return spark.createDataFrame([], MANIFEST)
-    return spark.read.schema(MANIFEST).parquet(path)
+    # The log is small; it is read here so that a corrupt part shows now.
+    try:
+        return stage(spark.read.schema(MANIFEST).parquet(path), "manifest")
+    except (PySparkException, Py4JJavaError) as broken:
+        warnings.warn(f"version log {path} can't be read and starts anew: {str(broken)[:200]}", stacklevel=2)
+        return spark.createDataFrame([], MANIFEST)
 
 
 def version_documents(manifest: DataFrame) -> DataFrame:
-    """One JSON document per version, in time order when sorted by ``version_ts``."""
+    """(version_ts, file_path, document): one JSON line per file of a version.
+
+    Order by (version_ts, file_path) when writing.  A version without files has one
+    line without a file.
+    """
     entry = F.when(F.col("file_path").isNotNull(), F.struct(*FILE_FIELDS))
-    return manifest.groupBy("version_ts").agg(
-        F.to_json(
-            F.struct(
-                F.date_format("version_ts", "yyyy-MM-dd'T'HH:mm:ss").alias("timestamp"),
-                F.array_sort(F.collect_list(entry)).alias("files"),
-            )
-        ).alias("document")
-    )
+    stamp = F.date_format("version_ts", "yyyy-MM-dd'T'HH:mm:ss").alias("timestamp")
+    return manifest.select("version_ts", "file_path", F.to_json(F.struct(stamp, entry.alias("file"))).alias("document"))
 
 
 def diff_versions(old: DataFrame, new: DataFrame) -> DataFrame:
-    """(file_path, change) between two file tables with path and md5."""
+    """(file_path, change) between two file tables with path and digest."""
     before = old.where(F.col("file_path").isNotNull()).select(
-        "file_path", F.col("md5").alias("old_md5")
+        "file_path", F.col("digest").alias("old_digest")
     )
     after = new.where(F.col("file_path").isNotNull()).select(
-        "file_path", F.col("md5").alias("new_md5")
+        "file_path", F.col("digest").alias("new_digest")
     )
     change = (
-        F.when(F.col("old_md5").isNull(), "added")
-        .when(F.col("new_md5").isNull(), "removed")
-        .when(F.col("old_md5") != F.col("new_md5"), "changed")
+        F.when(F.col("old_digest").isNull(), "added")
+        .when(F.col("new_digest").isNull(), "removed")
+        .when(F.col("old_digest") != F.col("new_digest"), "changed")
     )
     return (
         before.join(after, "file_path", "full_outer")

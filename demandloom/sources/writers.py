@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import posixpath
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from demandloom.functions.text import processed_name
@@ -12,7 +12,7 @@ from demandloom.operators.anomalies import anomaly_union
 from demandloom.operators.profile import stats_document
 from demandloom.operators.validate import failing_rows
 from demandloom.schema import PRODUCT, SOURCE_FILE
-from demandloom.session import stage
+from demandloom.session import remove_path, stage
 
 WRITERS = ("csv", "json", "parquet")
 
@@ -49,14 +49,31 @@ def write_everywhere(df: DataFrame, paths: list[str], fmt: str | None = None) ->
         write_table(done, path, fmt)
 
 
-def write_per_source(df: DataFrame, path: str, fmt: str = "parquet") -> None:
-    """One output partition per input file, named after it.
+def source_key(name: Column) -> Column:
+    """The partition of an input file: a digest of its whole path, safe as a folder name."""
+    return F.md5(name)
 
-    A file delivered again replaces its own partition and no other one.
+
+def write_per_source(df: DataFrame, path: str, files: DataFrame | None = None, fmt: str = "parquet") -> None:
+    """One output partition per input file, by its whole path; ``output_name`` is for display.
+
+    A file delivered again replaces its own partition and no other one.  ``files``
+    (file_path) lists what was processed: a file without a row left loses its old
+    partition, so that no result of an earlier delivery stays.
     """
-    named = df.withColumn("output_name", processed_name(F.col(SOURCE_FILE)))
+    named = df.withColumn("output_name", processed_name(F.col(SOURCE_FILE))).withColumn(
+        "source_key", source_key(F.col(SOURCE_FILE))
+    )
+    if files is not None:
+        named = stage(named, "per-source")
     writer = named.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-    writer.options(**WRITE_OPTIONS.get(fmt, {})).partitionBy("output_name").format(fmt).save(path)
+    writer.options(**WRITE_OPTIONS.get(fmt, {})).partitionBy("source_key").format(fmt).save(path)
+    if files is not None:
+        keys = files.select(source_key(F.col("file_path")).alias("source_key")).distinct()
+        gone = keys.join(named.select("source_key").distinct(), "source_key", "left_anti")
+        # One name after the other: the driver never holds them all.
+        for row in gone.toLocalIterator():
+            remove_path(df.sparkSession, f"{path}/source_key={row.source_key}")
 
 
 def write_stats(stats: DataFrame, path: str) -> str:

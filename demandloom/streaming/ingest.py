@@ -8,6 +8,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from demandloom.operators.clean import coerce_types, keep_products, standardize_dates, tidy_products
 from demandloom.plans.retail import process_files
+from demandloom.session import staged_scope
 from demandloom.schema import BRONZE, DATE, PRODUCT, QUANTITY, TOTAL, TX_ID
 
 # Fixed value: how often new files are looked for.
@@ -63,10 +64,11 @@ def clean_arriving_files(
     def process(batch: DataFrame, batch_id: int) -> None:
         if batch.isEmpty():
             return
-        verdicts = process_files(batch.sparkSession, batch, output, cache, reports)
-        verdicts.withColumn("batch_id", F.lit(batch_id)).write.mode("overwrite").option(
-            "partitionOverwriteMode", "dynamic"
-        ).partitionBy("batch_id").parquet(verdict_table)
+        with staged_scope(batch.sparkSession):
+            verdicts = process_files(batch.sparkSession, batch, output, cache, reports)
+            verdicts.withColumn("batch_id", F.lit(batch_id)).write.mode("overwrite").option(
+                "partitionOverwriteMode", "dynamic"
+            ).partitionBy("batch_id").parquet(verdict_table)
 
     trigger = {"availableNow": True} if once else {"processingTime": POLL_INTERVAL}
     return (

@@ -13,7 +13,7 @@ from demandloom.plans import catalog, oracle
 from tools.check_queries import TABLES, canonical
 
 SF_DIR = "/root/testdata/sf0.001"
-WITHOUT_SQL = {"stationarity", "content_digest", "file_inventory"}
+WITHOUT_SQL = {"stationarity"}
 
 needs_tables = pytest.mark.skipif(not os.path.isdir(SF_DIR), reason="test tables are absent")
 

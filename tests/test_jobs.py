@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
+import os
 import random
 import time
 from datetime import date, datetime, timedelta
 
 import pytest
 from helpers import values
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from demandloom.operators.anomalies import KINDS
@@ -207,14 +209,58 @@ def test_folder_job(spark, tmp_path, files):
         assert daily_of(published, "swapped.csv") == plain_job(files["a.csv"])
     names = {r[0] for r in spark.read.parquet(output).select("output_name").distinct().collect()}
     assert names == {"processed_a.csv", "processed_b_c.csv", "processed_swapped.csv"}
-    # Only the invalid file is still unprocessed.
+    # Nothing is read again, the invalid file neither; the ledger has the reason.
     assert retail.process_folder(spark, str(inbox), output, book) == 2
+    assert values(spark.read.parquet(book).where("error is not null"), "error") == [
+        ("Missing columns: Unit Price, Transaction ID, Store Location, Product Name, Producer ID",)]
     assert (inbox / "a.csv").exists()
     assert retail.process_folder(spark, str(tmp_path / "nowhere"), output, book) == 2
     verdicts, status = retail.pre_validate(spark, str(inbox))
     assert values(status) == [(4, 3, 1)]
 
 
+def test_bad_cells_stop_only_their_file(spark, tmp_path, files):
+    inbox = inbox_of(tmp_path, files)
+    bad = [list(r) for r in files["a.csv"]]
+    bad[3][RAW_COLUMNS.index("Quantity")] = "a dozen"
+    write_csv(inbox / "bad.csv", bad)
+    output, book = str(tmp_path / "out"), str(tmp_path / "ledger")
+    before = set(os.listdir(spark.conf.get("spark.checkpoint.dir")))
+    assert retail.process_folder(spark, str(inbox), output, book) == 1
+    # The job's intermediate tables are gone.
+    assert set(os.listdir(spark.conf.get("spark.checkpoint.dir"))) == before
+    for name, rows in files.items():
+        assert daily_of(spark.read.parquet(output), name) == plain_job(rows)
+    assert values(spark.read.parquet(book).where("error is not null"), "error") == [("Bad value in Quantity",)]
+    verdicts = str(tmp_path / "verdicts")
+    job = ingest.clean_arriving_files(ingest.stream_files(spark, str(inbox)), str(tmp_path / "s"), str(tmp_path / "state"), verdicts, once=True)
+    job.awaitTermination()
+    assert values(spark.read.parquet(verdicts).where("not valid"), "error") == [("Bad value in Quantity",)]
+    assert spark.read.parquet(str(tmp_path / "s")).count() == spark.read.parquet(output).count()
+
+
+def test_delivery_again_replaces_only_its_own_file(spark, tmp_path, files):
+    inbox = tmp_path / "inbox"
+    for folder in ("p", "q"):
+        (inbox / folder).mkdir(parents=True)
+        write_csv(inbox / folder / "same.csv", files["a.csv"])
+    output, book, reports = (str(tmp_path / n) for n in ("out", "ledger", "reports"))
+    assert retail.process_folder(spark, str(inbox), output, book, reports=reports) == 0
+    flagged = lambda folder: spark.read.parquet(f"{reports}/anomalies").where(F.contains(SOURCE_FILE, F.lit(f"/{folder}/"))).count()
+    was = flagged("p")
+    assert was > 0 and flagged("q") == was
+    # The same path again, with one plain row: no anomaly is left of it.
+    row = list(files["a.csv"][0])
+    for column, value in ((DATE, "2024-05-06 12:00:00"), ("Quantity", "4"), ("Unit Price", "2.5"), (PRODUCT, "milk")):
+        row[RAW_COLUMNS.index(column)] = value
+    write_csv(inbox / "q" / "same.csv", [row])
+    assert retail.process_folder(spark, str(inbox), output, book, reports=reports) == 0
+    assert (flagged("p"), flagged("q")) == (was, 0)
+    published = spark.read.parquet(output)
+    assert daily_of(published, "/p/same.csv") == plain_job(files["a.csv"])
+    assert values(published.where(F.contains(SOURCE_FILE, F.lit("/q/"))), TOTAL) == [(4,)]
+
+
 def test_folder_job_deletes_on_request(spark, tmp_path, files):
     inbox = inbox_of(tmp_path, {"a.csv": files["a.csv"][:60]})
     status = retail.process_folder(spark, str(inbox), str(tmp_path / "o"), str(tmp_path / "l"), delete_after=True)

@@ -1,5 +1,6 @@
 from __future__ import annotations
 
+import hashlib
 import json
 from datetime import datetime
 
@@ -74,10 +75,14 @@ def test_per_source_partitions_are_replaced_alone(spark, tmp_path):
     def write(rows):
         writers.write_per_source(spark.createDataFrame(rows, f"{SOURCE_FILE} string, n int"), path)
 
-    write([("in/Some File.csv", 1), ("in/b.csv", 2)])
+    write([("in/Some File.csv", 1), ("in/b.csv", 2), ("other/b.csv", 3), ("in/Some_File.csv", 4)])
     write([("in/b.csv", 5), ("in/b.csv", 6)])
     assert values(spark.read.parquet(path), "output_name", "n") == [
-        ("processed_Some_File.csv", 1), ("processed_b.csv", 5), ("processed_b.csv", 6)]
+        ("processed_Some_File.csv", 1), ("processed_Some_File.csv", 4), ("processed_b.csv", 3), ("processed_b.csv", 5), ("processed_b.csv", 6)]
+    # A processed file without a row left loses what it had; others keep theirs.
+    files = spark.createDataFrame([("in/b.csv",), ("in/Some File.csv",)], "file_path string")
+    writers.write_per_source(spark.createDataFrame([("in/Some File.csv", 8)], f"{SOURCE_FILE} string, n int"), path, files)
+    assert values(spark.read.parquet(path), SOURCE_FILE, "n") == [("in/Some File.csv", 8), ("in/Some_File.csv", 4), ("other/b.csv", 3)]
 
 
 def test_listing_and_ledger(spark, tmp_path):
@@ -112,13 +117,10 @@ def test_versions(spark, tmp_path):
     (data / "a.csv").write_text("changed")
     (data / "c.csv").write_text("3")
     second = listing.inventory(spark, str(data)).where("file_path not like '%b.csv'")
-    documents = manifest.version_documents(manifest.read_manifest(spark, log)).orderBy("version_ts").collect()
+    documents = manifest.version_documents(manifest.read_manifest(spark, log)).orderBy("version_ts", "file_path").collect()
     parsed = [json.loads(d.document) for d in documents]
-    assert [p["timestamp"] for p in parsed] == ["2025-01-01T00:00:00", "2025-03-15T12:00:00"]
-    assert [len(p["files"]) for p in parsed] == [0, 2]
-    tiny = listing.inventory(spark, str(data), whole_limit=2)
-    digests = {r.file_path[-5:]: r.md5 for r in tiny.collect()}
-    assert digests["a.csv"].startswith("lines-1-") and len(digests["b.csv"]) == 32
+    assert [p["timestamp"] for p in parsed] == ["2025-01-01T00:00:00", *["2025-03-15T12:00:00"] * 2]
+    assert "file" not in parsed[0] and [p["file"]["file_path"][-5:] for p in parsed[1:]] == ["a.csv", "b.csv"]
     changes = {r.file_path[-5:]: r.change for r in manifest.diff_versions(first, second).collect()}
     assert changes == {"a.csv": "changed", "b.csv": "removed", "c.csv": "added"}
     assert manifest.read_manifest(spark, str(tmp_path / "none")).isEmpty()
@@ -127,6 +129,40 @@ def test_versions(spark, tmp_path):
     assert not manifest.versioning_succeeded(first, first.limit(0)).first().success
 
 
+def test_corrupt_version_log_starts_anew(spark, tmp_path):
+    log = tmp_path / "log"
+    log.mkdir()
+    (log / "part-0.parquet").write_bytes(b"no parquet at all")
+    with pytest.warns(UserWarning, match="starts anew"):
+        assert manifest.read_manifest(spark, str(log)).isEmpty()
+
+
+@pytest.mark.parametrize("block", ["128m", "64b"])
+def test_digest_sees_order_and_line_ends_at_any_size(spark, tmp_path, block):
+    lines = [f"line {i % 5} {'x' * (i % 9)}" for i in range(40)]
+    swapped = [*lines[:10], lines[11], lines[10], *lines[12:]]
+    texts = {"a": "\n".join(lines), "b": "\n".join(lines) + "\n", "c": "\r\n".join(lines), "d": "\n".join(swapped), "e": "\n".join(lines), "f": ""}
+    for name, text in texts.items():
+        (tmp_path / name).write_bytes(text.encode())
+    old = {k: spark.conf.get(k) for k in ("spark.sql.files.maxPartitionBytes", "spark.sql.files.openCostInBytes")}
+    spark.conf.set("spark.sql.files.maxPartitionBytes", block)
+    spark.conf.set("spark.sql.files.openCostInBytes", "1")
+    try:
+        found = {r.file_path[-1]: r.digest for r in listing.inventory(spark, str(tmp_path)).collect()}
+    finally:
+        for k, v in old.items():
+            spark.conf.set(k, v)
+
+    def plain(text):
+        parts = text.split("\n")[: -1 if text.endswith("\n") or not text else None]
+        hexes = [hashlib.md5(f"{i}:{x}".encode()).hexdigest() for i, x in enumerate(parts, 1)]
+        sums = [str(sum(int(h[k : k + 15], 16) for h in hexes)) for k in (0, 15)]
+        return "-".join([str(len(text)), str(len(parts)), *sums] if parts else [str(len(text)), "0"])
+
+    assert found == {k: plain(t) for k, t in texts.items()}
+    assert found["a"] == found["e"] and len(set(found.values())) == 5
+
+
 def test_content_digest_ignores_order(spark):
     df = spark.range(100).selectExpr("id % 3 k", "id v")
     one = listing.content_digest(df.repartition(7), ["k"])
