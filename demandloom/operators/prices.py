@@ -79,9 +79,8 @@ def fill_missing_prices(
 ) -> DataFrame:
     """Replace a missing price by the product's most frequent price of the week,
     else of the month, else of the year, else 0.  Known prices are untouched and
-    only they count."""
+    only they count.  Only rows without a price are joined; the others stay where they are."""
     dated = add_week_parts(df, date)
-    filled = lookup_join(dated, price_lookup(dated, per), [*(per or []), PRODUCT, *WEEK])
-    return filled.withColumn(PRICE, F.coalesce(PRICE, "_replacement", F.lit(0.0))).select(
-        *df.columns
-    )
+    unknown = lookup_join(dated.where(F.col(PRICE).isNull()), price_lookup(dated, per), [*(per or []), PRODUCT, *WEEK])
+    filled = unknown.withColumn(PRICE, F.coalesce("_replacement", F.lit(0.0))).select(*df.columns)
+    return df.where(F.col(PRICE).isNotNull()).unionByName(filled)

@@ -2,10 +2,11 @@
 
 A window or ``percentile`` over a whole group sends that group to one task.
 Here a group is first reduced to (value, count) pairs with map-side combine,
-and the pairs are spread over order-preserving buckets.  A running sum over the
-buckets of a group touches at most ``MAX_BUCKETS`` rows however large the group
-is; the exact position inside a bucket is settled in a window per bucket.
-The bucket depends on the value alone, so a retried task gets the same answer.
+and the pairs are partitioned by ranges of (group, value).  The ranges follow the
+data, so a large group is split however close its values lie.  A running sum over
+the partitions of a group touches one row per partition; the exact position inside
+a partition is settled in a window.  The partition number is written with the pairs,
+so a retried task sees the same ranges.
 """
 
 from __future__ import annotations
@@ -16,21 +17,10 @@ from pyspark.sql import functions as F
 from demandloom.functions.stats import lerp
 from demandloom.session import stage
 
-# 64 buckets per doubling of the magnitude, about 1.1 % wide each.
-BUCKETS_PER_OCTAVE = 64
-OCTAVES = 1024
-MAX_BUCKETS = 2 * BUCKETS_PER_OCTAVE * OCTAVES + 1
-
-
-def value_bucket(value: Column) -> Column:
-    """Non-decreasing function of the value with a bounded set of results."""
-    magnitude = F.least(F.log2(F.abs(value) + 1), F.lit(float(OCTAVES)))
-    bucket = F.signum(value) * F.floor(magnitude * BUCKETS_PER_OCTAVE)
-    return F.coalesce(bucket.cast("int"), F.lit(0))
-
 
 def histogram(df: DataFrame, keys: list[str], value: str, *measures: Column) -> DataFrame:
-    """(keys, _v, _b, measures) with one row per distinct value of a group.
+    """(keys, _v, _b, measures) with one row per distinct value of a group; ``_b`` is the
+    range it fell in, increasing with the value inside a group.
 
     Staged, because it is read twice below: the rows themselves are scanned and
     shuffled only once.  Rows with a null key or value are left out.
@@ -40,7 +30,8 @@ def histogram(df: DataFrame, keys: list[str], value: str, *measures: Column) ->
         df.dropna(subset=[*keys, value])
         .groupBy(*keys, F.col(value).cast("double").alias("_v"))
         .agg(*measures)
-        .withColumn("_b", value_bucket(F.col("_v")))
+        .repartitionByRange(*[F.col(f"`{k}`") for k in keys], "_v")
+        .withColumn("_b", F.spark_partition_id())
     )
     return stage(counts, "histogram")
 

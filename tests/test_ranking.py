@@ -6,14 +6,12 @@ from helpers import final_plan, values
 from pyspark.sql import functions as F
 
 from demandloom.operators.ranking import (
-    MAX_BUCKETS,
     block_start,
     cumulate,
     exact_quantiles,
     histogram,
     most_frequent,
     number_rows,
-    value_bucket,
 )
 
 
@@ -31,11 +29,21 @@ def table(spark, groups):
     return spark.createDataFrame(rows, "k string, x double")
 
 
-def test_bucket_is_monotone_and_bounded(spark):
-    rows = [(float(x),) for x in [-1e308, -1e9, -2.5, -1e-9, 0.0, 1e-9, 0.5, 1.0, 99.99, 1e9, 1.7e308]]
-    got = [r[0] for r in spark.createDataFrame(rows, "x double").select(value_bucket(F.col("x"))).collect()]
-    assert got == sorted(got)
-    assert got[-1] - got[0] + 1 <= MAX_BUCKETS
+@pytest.mark.parametrize(("low", "width"), [(0.0, 0.01), (100.0, 1.0), (-5.0, 10.0)])
+def test_close_values_spread_over_tasks(spark, low, width):
+    """However close the 100,000 values of one group lie, no range holds a large share of them."""
+    old = {k: spark.conf.get(k) for k in ("spark.sql.shuffle.partitions", "spark.sql.adaptive.coalescePartitions.enabled")}
+    spark.conf.set("spark.sql.shuffle.partitions", "20")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        df = spark.range(100_000).selectExpr("'k' k", f"{low}D + id * {width}D / 100000 x")
+        hist = histogram(df, ["k"], "x")
+        sizes = hist.groupBy("_b").agg(F.count("*").alias("n"), F.min("_v").alias("low"), F.max("_v").alias("high")).orderBy("_b").collect()
+    finally:
+        for k, v in old.items():
+            spark.conf.set(k, v)
+    assert len(sizes) >= 15 and max(r.n for r in sizes) < 15_000
+    assert all(a.high < b.low for a, b in zip(sizes, sizes[1:]))
 
 
 @pytest.mark.parametrize("partitions", [1, 5])
