@@ -21,7 +21,7 @@ sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
 from demandloom.llm import classifier, decontaminate, line_dedup, sentencepiece, simhash  # noqa: E402
 from demandloom.llm.common import prepare, table  # noqa: E402
-from demandloom.session import scratch_path  # noqa: E402
+from demandloom.session import remove_path, scratch_path, staged_scope  # noqa: E402
 
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -60,9 +60,13 @@ ORACLE_SQL = None
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The rows of the last stage over ``documents``."""
-    docs = table(spark, sf_dir, "documents")
+    docs, before = table(spark, sf_dir, "documents"), None
     for k, (_, stage) in enumerate(STAGES, 1):
         path = scratch_path(prepare(spark), f"pipeline-{k}")
-        stage(spark, docs, sf_dir).write.parquet(path)
-        docs = spark.read.parquet(path)
+        # What a stage has staged, and its input, are not needed once its result is written.
+        with staged_scope(spark):
+            stage(spark, docs, sf_dir).write.parquet(path)
+        if before:
+            remove_path(spark, before)
+        docs, before = spark.read.parquet(path), path
     return docs

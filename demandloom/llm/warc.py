@@ -42,7 +42,7 @@ DATE = "2024-01-01T00:00:00Z"
 
 @F.pandas_udf(StringType())
 def base32_sha1(payload: pd.Series) -> pd.Series:
-    return payload.map(lambda x: base64.b32encode(hashlib.sha1(bytes(x)).digest()).decode())
+    return payload.map(lambda x: None if x is None else base64.b32encode(hashlib.sha1(bytes(x)).digest()).decode())
 
 
 def records(pages: DataFrame, least: int = LEAST) -> DataFrame:
@@ -209,17 +209,21 @@ def _inside_blocks(placed: DataFrame, entries: DataFrame) -> DataFrame:
     return marked.select("file", "block", "start", "next", "entry").groupBy("file", "block").applyInArrow(run, "file string, start long")
 
 
-def read_archives(spark: SparkSession, path: str) -> DataFrame:
-    """(record_id, type, url, digest, refers_to, payload) of every true record."""
+def read_archives(spark: SparkSession, path: str, measure=lambda payload: {"payload": payload}) -> DataFrame:
+    """(record_id, type, url, digest, refers_to, payload) of every true record.
+
+    ``measure`` says what to make of a payload, as named columns; it is applied where a
+    piece is read, before any shuffle, unless the payload has to be put together first.
+    """
     found = candidates(spark, path)
     placed = stage(offsets(found), "warc-offsets")
     true = stage(reachable(placed), "warc-records")
     # Each piece belongs to the last true record that starts at or before it.
     own = placed.join(true.withColumn("real", F.lit(True)), ["file", "start"], "left")
-    return _payloads(found, own)
+    return _payloads(found, own, measure)
 
 
-def _payloads(found: DataFrame, own: DataFrame) -> DataFrame:
+def _payloads(found: DataFrame, own: DataFrame, measure) -> DataFrame:
     """Records with their payloads; pieces split off at a magic inside a payload are put back."""
     from pyspark.sql import Window
 
@@ -232,28 +236,37 @@ def _payloads(found: DataFrame, own: DataFrame) -> DataFrame:
     blocks = blocks.select("file", "block", F.max("last").over(before).alias("carried"))
     owned = last.join(blocks, ["file", "block"]).select("file", "block", "seq", "start", F.coalesce("owner", "carried").alias("owner"), F.col("real").isNotNull().alias("real"))
     owned = stage(owned.filter("owner is not null"), "warc-owners")
-    pieces = found.join(owned, ["file", "block", "seq"]).select("file", "owner", "start", "real", "piece")
     broken = stage(owned.filter("not real").select("file", "owner").distinct(), "warc-broken")
-    whole = pieces.join(broken, ["file", "owner"], "left_anti").select("file", "owner", "piece")
-    # A record's pieces together are its payload.
+    place = ["file", "block", "seq"]
+    single = owned.filter("real").join(broken, ["file", "owner"], "left_anti").select(*place)
+    whole = _records(found, place, measure).join(single, place).drop(*place)
+    # A broken record's pieces together are its payload.
+    pieces = found.join(owned.join(broken, ["file", "owner"], "left_semi"), place)
     joined = (
-        pieces.join(broken, ["file", "owner"], "left_semi").groupBy("file", "owner")
+        pieces.groupBy("file", "owner")
         .agg(F.array_sort(F.collect_list(F.struct("start", F.col("piece").cast("string").alias("piece")))).alias("all"))
-        .select("file", "owner", F.array_join(F.transform("all", lambda x: x["piece"]), MAGIC).cast("binary").alias("piece"))
+        .select(F.array_join(F.transform("all", lambda x: x["piece"]), MAGIC).cast("binary").alias("piece"))
     )
-    every = whole.union(joined).select("file", "owner", F.col("piece").cast("string").alias("piece"))
+    return whole.unionByName(_records(joined, [], measure))
+
+
+def _records(pieces: DataFrame, keep: list[str], measure) -> DataFrame:
+    """What stands in the header of each piece and what ``measure`` makes of its payload."""
+    text = pieces.select(*keep, F.col("piece").cast("string").alias("piece"))
     cut = F.instr("piece", END)
-    split = every.select(
-        F.substring("piece", F.lit(1), cut - 1).alias("head"), F.substring("piece", cut + len(END), F.length("piece")).alias("rest")
+    split = text.select(
+        *keep, F.substring("piece", F.lit(1), cut - 1).alias("head"), F.substring("piece", cut + len(END), F.length("piece")).alias("rest")
     )
-    length = _field("Content-Length").try_cast("int")
     # Content-Length counts bytes; the payload is followed by the closing line ends.
-    payload = F.substring(F.col("rest").cast("binary"), F.lit(1), length)
-    return split.select(
-        _field("WARC-Record-ID").alias("record_id"), _field("WARC-Type").alias("type"), _field("WARC-Target-URI").alias("url"),
+    payload = F.substring(F.col("rest").cast("binary"), F.lit(1), _field("Content-Length").try_cast("int"))
+    fields = split.select(
+        *keep, _field("WARC-Record-ID").alias("record_id"), _field("WARC-Type").alias("type"), _field("WARC-Target-URI").alias("url"),
         F.regexp_replace(_field("WARC-Payload-Digest"), "^sha1:", "").alias("digest"), _field("WARC-Refers-To").alias("refers_to"),
         payload.alias("payload"),
     )
+    return fields.select(
+        *keep, "record_id", "type", "url", "digest", "refers_to", *[c.alias(n) for n, c in measure(F.col("payload")).items()]
+    )
 
 
 def page_number(name: Column) -> Column:
@@ -270,9 +283,9 @@ def archive_report(pages: DataFrame, path: str | None = None, least: int = LEAST
     path = path or scratch_path(spark, "warc")
     write_archives(pages, path, least)
     found = stage(
-        read_archives(spark, path).select(
+        read_archives(spark, path, lambda payload: {"size": F.octet_length(payload).cast("long"), "read": base32_sha1(payload)}).select(
             page_number(F.col("record_id")).alias("page_id"), "type", page_number(F.col("refers_to")).alias("refers_to"), F.col("digest").alias("written"),
-            F.octet_length("payload").cast("long").alias("size"), base32_sha1("payload").alias("read"),
+            "size", "read",
         ),
         "warc-read",
     )
