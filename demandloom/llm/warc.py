@@ -241,7 +241,9 @@ def _payloads(found: DataFrame, own: DataFrame, measure) -> DataFrame:
     single = owned.filter("real").join(broken, ["file", "owner"], "left_anti").select(*place)
     whole = _records(found, place, measure).join(single, place).drop(*place)
     # A broken record's pieces together are its payload.
-    pieces = found.join(owned.join(broken, ["file", "owner"], "left_semi"), place)
+    # Written, so that the planner knows how few they are and does not move all pieces.
+    parts = stage(owned.join(broken, ["file", "owner"], "left_semi"), "warc-parts")
+    pieces = found.join(parts, place)
     joined = (
         pieces.groupBy("file", "owner")
         .agg(F.array_sort(F.collect_list(F.struct("start", F.col("piece").cast("string").alias("piece")))).alias("all"))
