@@ -19,6 +19,8 @@ POSITIVE_MESSAGE = "Total Quantity must be greater than 0"
 NULL_DATE_MESSAGE = "Date cannot be null"
 DATE_SHAPE_MESSAGE = "Date must be in a valid date format"
 BAD_VALUE_MESSAGE = "Bad value in "
+# A comma with an even number of quotes behind it.
+OUTSIDE_QUOTES = r',(?=(?:[^"]*"[^"]*")*[^"]*$)'
 ALL_VALID, SOME_VALID, NONE_VALID = 0, 1, 2
 
 
@@ -119,7 +121,7 @@ def file_verdicts(lines: DataFrame, files: DataFrame, required: list[str] = RAW_
         (F.count_if(F.trim("value") != "") - 1).alias("rows"),
     )
     fields = F.transform(
-        F.split("header", ","), lambda name: F.regexp_replace(name, r'^[\s"\x{FEFF}]+|[\s"]+$', "")
+        F.split("header", OUTSIDE_QUOTES), lambda name: F.regexp_replace(name, r'^[\s"\x{FEFF}]+|[\s"]+$', "")
     )
     absent = F.array_except(F.array(*[F.lit(c) for c in required]), fields)
     judged = files.select("file_path").join(found, "file_path", "left")

@@ -322,6 +322,8 @@ def test_live_daily_demand(spark, tmp_path):
         time.sleep(0.1)
         found = spark.table("live").collect()
         assert [(r[0], r[1], r[2]) for r in found][0][:2] == (date(2024, 3, 4), "milk")
+        # Of two rows with one ID in a micro-batch, Spark keeps the one that comes first
+        # out of the shuffle; either sum is right.
         assert found[0][2] in (7, 9)
     finally:
         query.stop()

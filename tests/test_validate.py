@@ -152,3 +152,10 @@ def test_failures_file(spark, tmp_path):
     write_failures(df, path)
     row = spark.read.option("header", True).csv(path).first()
     assert row.anomaly_reason == "Total Quantity must be numeric; Date cannot be null"
+
+
+def test_header_names_with_commas(spark, tmp_path):
+    header = ",".join(f'"{c}"' for c in RAW_COLUMNS)
+    (tmp_path / "a.csv").write_text(f'"note, with comma",{header}\n' + "x," * len(RAW_COLUMNS) + "x\n")
+    found = validate.file_verdicts(read_lines(spark, str(tmp_path)), list_files(spark, str(tmp_path))).first()
+    assert (found.valid, found.error, found.rows) == (True, None, 1)
