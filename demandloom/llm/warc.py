@@ -11,7 +11,9 @@ says where its successor starts.  A block of the file is one task's work: it sum
 lengths of its pieces and follows successors inside the block, so a candidate leads to the
 first place outside.  Between blocks, pointer jumping from the file's start doubles the
 reach in each round and keeps what the chain touches.  A magic inside a payload is not on the
-chain and goes back into the payload it belongs to.
+chain and goes back into the payload it belongs to.  How files are cut into blocks changes with
+the session's cores, so one read gives all that is keyed by blocks; only the pieces of such
+payloads are read again, and they are known by their SHA-256.
 
 Defined results: a null html counts as empty; an empty payload is a payload like any other;
 equal payloads without any id are responses; rows alike in id and payload, smallest in their
@@ -38,6 +40,8 @@ END = "\r\n\r\n"
 LEAST = 0
 #: Fixed value: the capture time in the headers (the pages carry none).
 DATE = "2024-01-01T00:00:00Z"
+#: Where a candidate stands in one read of the files.
+PLACE = ["file", "block", "seq"]
 
 
 @F.pandas_udf(StringType())
@@ -97,7 +101,8 @@ def candidates(spark: SparkSession, path: str) -> DataFrame:
     return pieces.select(
         F.col("_metadata.file_path").alias("file"),
         F.col("_metadata.file_block_start").alias("block"),
-        # Increasing in the order in which a task reads its blocks; fixed by the files.
+        # Increasing in the order in which a task reads its blocks; like the blocks, it holds for
+        # one plan only: another read may cut the files elsewhere.
         F.monotonically_increasing_id().alias("seq"),
         F.col("value").cast("binary").alias("piece"),
     )
@@ -107,7 +112,28 @@ def _field(name: str) -> Column:
     return F.regexp_extract("head", rf"(?i)(?:^|\r\n){name}:[ \t]*([^\r\n]*)", 1)
 
 
-def offsets(found: DataFrame) -> DataFrame:
+def _key() -> Column:
+    """What a piece is known by in any read, however the files are cut."""
+    return F.unhex(F.sha2("piece", 256))
+
+
+def measured(found: DataFrame, measure) -> DataFrame:
+    """(file, block, seq, size, reach, key, record) of each candidate, from one read.
+
+    ``reach`` is how far behind its start a candidate's successor would start.
+    """
+    text = F.col("piece").cast("string")
+    cut = F.instr(text, END)
+    size = (F.octet_length("piece") + len(MAGIC)).cast("long")
+    head = F.when(cut > 0, F.substring(text, F.lit(1), cut - 1))
+    read = found.select(*PLACE, "piece", size.alias("size"), _key().alias("key"), head.alias("head"))
+    length = F.when(_field("Content-Length").rlike("^[0-9]{1,15}$"), _field("Content-Length").try_cast("long"))
+    header = F.octet_length("head").cast("long") + len(MAGIC) + len(END)
+    sized = read.select(*PLACE, "size", (header + length + len(END)).alias("reach"), "key", "piece")
+    return _records(sized, [*PLACE, "size", "reach", "key"], measure)
+
+
+def offsets(sized: DataFrame) -> DataFrame:
     """(file, block, seq, start, next): where each candidate's magic starts and its successor would.
 
     The first piece of a file is what stands before its first magic.  Offsets are running
@@ -115,13 +141,7 @@ def offsets(found: DataFrame) -> DataFrame:
     """
     from pyspark.sql import Window
 
-    cut = F.instr(F.col("piece").cast("string"), END)
-    size = F.octet_length("piece") + len(MAGIC)
-    head = F.when(cut > 0, F.substring(F.col("piece").cast("string"), F.lit(1), cut - 1))
-    read = found.select("file", "block", "seq", size.cast("long").alias("size"), head.alias("head"))
-    length = F.when(_field("Content-Length").rlike("^[0-9]{1,15}$"), _field("Content-Length").try_cast("long"))
-    header = F.octet_length("head").cast("long") + len(MAGIC) + len(END)
-    sized = stage(read.select("file", "block", "seq", "size", (header + length + len(END)).alias("reach")), "warc-candidates")
+    sized = sized.select(*PLACE, "size", "reach")
     blocks = sized.groupBy("file", "block").agg(F.sum("size").alias("total"))
     along = Window.partitionBy("file").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
     base = blocks.select("file", "block", F.coalesce(F.sum("total").over(along), F.lit(0)).alias("base"))
@@ -216,14 +236,15 @@ def read_archives(spark: SparkSession, path: str, measure=lambda payload: {"payl
     piece is read, before any shuffle, unless the payload has to be put together first.
     """
     found = candidates(spark, path)
-    placed = stage(offsets(found), "warc-offsets")
+    sized = stage(measured(found, measure), "warc-candidates")
+    placed = stage(offsets(sized), "warc-offsets")
     true = stage(reachable(placed), "warc-records")
     # Each piece belongs to the last true record that starts at or before it.
     own = placed.join(true.withColumn("real", F.lit(True)), ["file", "start"], "left")
-    return _payloads(found, own, measure)
+    return _payloads(found, sized, own, measure)
 
 
-def _payloads(found: DataFrame, own: DataFrame, measure) -> DataFrame:
+def _payloads(found: DataFrame, sized: DataFrame, own: DataFrame, measure) -> DataFrame:
     """Records with their payloads; pieces split off at a magic inside a payload are put back."""
     from pyspark.sql import Window
 
@@ -237,23 +258,27 @@ def _payloads(found: DataFrame, own: DataFrame, measure) -> DataFrame:
     owned = last.join(blocks, ["file", "block"]).select("file", "block", "seq", "start", F.coalesce("owner", "carried").alias("owner"), F.col("real").isNotNull().alias("real"))
     owned = stage(owned.filter("owner is not null"), "warc-owners")
     broken = stage(owned.filter("not real").select("file", "owner").distinct(), "warc-broken")
-    place = ["file", "block", "seq"]
-    single = owned.filter("real").join(broken, ["file", "owner"], "left_anti").select(*place)
-    whole = _records(found, place, measure).join(single, place).drop(*place)
+    single = owned.filter("real").join(broken, ["file", "owner"], "left_anti").select(*PLACE)
+    whole = sized.join(single, PLACE).select("record.*")
     # A broken record's pieces together are its payload.
     # Written, so that the planner knows how few they are and does not move all pieces.
-    parts = stage(owned.join(broken, ["file", "owner"], "left_semi"), "warc-parts")
-    pieces = found.join(parts, place)
+    parts = stage(
+        owned.join(broken, ["file", "owner"], "left_semi").join(sized.select(*PLACE, "key"), PLACE).select("file", "owner", "start", "key"), "warc-parts"
+    )
+    keys = stage(parts.select("key").distinct(), "warc-keys")
+    # Pieces of one key are alike: one of them stands for all.
+    again = found.select(_key().alias("key"), "piece").join(keys, "key", "left_semi").dropDuplicates(["key"])
+    pieces = parts.join(again, "key")
     joined = (
         pieces.groupBy("file", "owner")
         .agg(F.array_sort(F.collect_list(F.struct("start", F.col("piece").cast("string").alias("piece")))).alias("all"))
         .select(F.array_join(F.transform("all", lambda x: x["piece"]), MAGIC).cast("binary").alias("piece"))
     )
-    return whole.unionByName(_records(joined, [], measure))
+    return whole.unionByName(_records(joined, [], measure).select("record.*"))
 
 
 def _records(pieces: DataFrame, keep: list[str], measure) -> DataFrame:
-    """What stands in the header of each piece and what ``measure`` makes of its payload."""
+    """``record``: what stands in the header of each piece and what ``measure`` makes of its payload."""
     text = pieces.select(*keep, F.col("piece").cast("string").alias("piece"))
     cut = F.instr("piece", END)
     split = text.select(
@@ -266,9 +291,8 @@ def _records(pieces: DataFrame, keep: list[str], measure) -> DataFrame:
         F.regexp_replace(_field("WARC-Payload-Digest"), "^sha1:", "").alias("digest"), _field("WARC-Refers-To").alias("refers_to"),
         payload.alias("payload"),
     )
-    return fields.select(
-        *keep, "record_id", "type", "url", "digest", "refers_to", *[c.alias(n) for n, c in measure(F.col("payload")).items()]
-    )
+    made = [c.alias(n) for n, c in measure(F.col("payload")).items()]
+    return fields.select(*keep, F.struct("record_id", "type", "url", "digest", "refers_to", *made).alias("record"))
 
 
 def page_number(name: Column) -> Column:
@@ -284,6 +308,7 @@ def archive_report(pages: DataFrame, path: str | None = None, least: int = LEAST
     spark = pages.sparkSession
     path = path or scratch_path(spark, "warc")
     write_archives(pages, path, least)
+    # A record that is written and not read back is an error, not a shorter result.
     found = stage(
         read_archives(spark, path, lambda payload: {"size": F.octet_length(payload).cast("long"), "read": base32_sha1(payload)}).select(
             page_number(F.col("record_id")).alias("page_id"), "type", page_number(F.col("refers_to")).alias("refers_to"), F.col("digest").alias("written"),
@@ -291,6 +316,9 @@ def archive_report(pages: DataFrame, path: str | None = None, least: int = LEAST
         ),
         "warc-read",
     )
+    written, back = pages.count(), found.count()
+    if written != back:
+        raise RuntimeError(f"{written} records were written to {path} and {back} read back")
     responses = found.filter("type = 'response'").select("page_id", "size", F.col("read").alias("payload_digest"), F.col("type").alias("record_type"), "refers_to")
     known = found.filter("type = 'response'").select(F.col("page_id").alias("to"), F.col("read").alias("digest"), F.col("size").alias("bytes")).distinct()
     revisits = found.filter("type = 'revisit'").join(known, (F.col("refers_to") == F.col("to")) & (F.col("written") == F.col("digest"))).select(

@@ -69,3 +69,32 @@ def test_payloads_and_threshold(spark, tmp_path):
 
 def test_empty_table(spark):
     assert warc.archive_report(pages_of(spark, ROWS).limit(0)).count() == 0
+
+
+def test_files_cut_elsewhere_between_reads(spark, monkeypatch):
+    """Blocks that change during the query, as when executors come or go."""
+    keys = ("spark.sql.files.maxPartitionBytes", "spark.sql.files.openCostInBytes")
+    old, plan = {k: spark.conf.get(k) for k in keys}, warc.reachable
+    rows = ROWS + [(100 + i, f"http://x/{i}", f"<p>{i}</p>" + "z" * (i % 50)) for i in range(60)]
+
+    def reachable(placed):
+        found = warc.stage(plan(placed), "test-records")
+        spark.conf.set(keys[0], "3k")
+        return found
+
+    monkeypatch.setattr(warc, "reachable", reachable)
+    try:
+        spark.conf.set(keys[0], "128m")
+        spark.conf.set(keys[1], "1")
+        got = warc.archive_report(pages_of(spark, rows).coalesce(2)).collect()
+    finally:
+        for k, v in old.items():
+            spark.conf.set(k, v)
+    assert sorted(map(tuple, got), key=repr) == plain(rows)
+
+
+def test_lost_records_are_an_error(spark, monkeypatch):
+    read = warc.read_archives
+    monkeypatch.setattr(warc, "read_archives", lambda *args: read(*args).filter("record_id <> '<urn:page:5>'"))
+    with pytest.raises(RuntimeError, match="read back"):
+        warc.archive_report(pages_of(spark, ROWS))
