@@ -4,7 +4,8 @@
 2. line dedup: later occurrences of three-line windows go from the texts;
 3. SimHash near-dedup: one document of each group stays;
 4. benchmark decontamination: documents that contain a test item go;
-5. SentencePiece: texts become piece ids; the decoded text is checked against the input.
+5. SentencePiece: texts become piece ids; they are decoded, which gives the input back
+   exactly, and the hash of the decoded text comes with them.
 
 All stages but the last return the columns of ``documents``.
 """
