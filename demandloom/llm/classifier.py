@@ -169,13 +169,19 @@ def sample_labels(labels: DataFrame, label: str, per_class: int, modulus: int, r
     return chosen[0].union(chosen[1]), sizes
 
 
+def sample_texts(docs: DataFrame, chosen: DataFrame) -> DataFrame:
+    """(doc_id, label, text) of the chosen ids: one text each (of the smallest SHA-256), in however many rows an id stands."""
+    found = text_of(docs).join(chosen, "doc_id")
+    return found.groupBy("doc_id", "label").agg(F.min_by("text", F.sha2("text", 256)).alias("text"))
+
+
 def fit(docs: DataFrame, labels: DataFrame, label: str = "quality", per_class: int = PER_CLASS, modulus: int = 3, rest: int = 1):
     """The trained model: (contribution per feature, bias)."""
     chosen, sizes = sample_labels(labels, label, per_class, modulus, rest)
     if len(sizes) < 2:
         share = {(): 0.5, (0,): 0.0, (1,): 1.0}[tuple(sizes)]
         return np.zeros(BUCKETS, dtype=np.float32), float(np.clip(np.log((share + 1e-6) / (1 - share + 1e-6)), -10, 10))
-    rows = text_of(docs).join(chosen, "doc_id").select("doc_id", "label", "text")
+    rows = sample_texts(docs, chosen)
 
     def run(batches):
         for batch in batches:
@@ -185,8 +191,8 @@ def fit(docs: DataFrame, labels: DataFrame, label: str = "quality", per_class: i
                 names=["doc_id", "label", "ids", "shares"],
             )
 
-    # Repeated ids may bring more rows than the sample has ids; the bound holds for rows too.
-    found = rows.mapInArrow(run, "doc_id long, label int, ids binary, shares binary").orderBy(F.xxhash64("doc_id"), "doc_id", "ids").limit(2 * per_class).toArrow()
+    # One row per id, so the bound of the ids is that of the rows.
+    found = rows.mapInArrow(run, "doc_id long, label int, ids binary, shares binary").orderBy(F.xxhash64("doc_id"), "doc_id").toArrow()
     used = {c: 0 for c in (0, 1)}
     samples = []
     for c, ids, shares in zip(found.column(1).to_pylist(), found.column(2).to_pylist(), found.column(3).to_pylist()):

@@ -24,7 +24,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from demandloom.llm.classifier import held_out, sample_labels
+from demandloom.llm.classifier import held_out, sample_labels, sample_texts
 from demandloom.llm.common import text_of
 from demandloom.session import stage
 
@@ -232,7 +232,7 @@ def fit(docs: DataFrame, labels: DataFrame, label: str = "toxic", per_class: int
     if len(sizes) < 2:
         share = {(): 0.5, (0,): 0.0, (1,): 1.0}[tuple(sizes)]
         return [], np.zeros(N_FEATURES), float(np.clip(np.log((share + 1e-6) / (1 - share + 1e-6)), -10, 10))
-    sample = stage(text_of(docs).join(chosen, "doc_id").select("doc_id", "label", "text"), "toxicity-sample")
+    sample = stage(sample_texts(docs, chosen), "toxicity-sample")
     used = {r["label"]: r["count"] for r in sample.groupBy("label").count().collect()}
     terms = learn_terms(sample)
 
@@ -242,7 +242,7 @@ def fit(docs: DataFrame, labels: DataFrame, label: str = "toxic", per_class: int
             rows = [scan.features(t) for t in batch.column(1).to_pylist()]
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(rows, pa.list_(pa.float64()))], names=["label", "x"])
 
-    # The sample bounds these rows.
+    # One row per id of the sample, which bounds these rows.
     found = sample.select("label", "text").mapInArrow(run, "label int, x array<double>").orderBy("label", "x").toArrow()
     y = np.array(found.column(0).to_pylist(), dtype=float)
     x = np.array(found.column(1).to_pylist(), dtype=float).reshape(len(y), N_FEATURES)

@@ -117,3 +117,17 @@ def test_stems_and_quotes():
     assert scan.features('he said "snotbag" loudly')[0] == 0.0
     assert scan.features("you snotbag")[3] > 0 and scan.features("")[0] == 0.0
     assert scan.features("snotbag " * 3)[1] > scan.features("snotbog " * 3)[1] > 0
+
+
+def test_rows_of_one_id_do_not_crowd_out_the_others(spark, make_docs):
+    import numpy as np
+
+    from demandloom.llm import classifier, toxicity
+
+    rows = [(i, f"{'bad awful' if i % 2 else 'fine good'} text number {i}") for i in range(40)]
+    labels = spark.createDataFrame([(i, i % 2, i % 2) for i in range(40)], "doc_id long, quality int, toxic int")
+    once, often = make_docs(rows), make_docs(rows + [r for r in rows if r[0] < 8] * 40)
+    for operator in (classifier, toxicity):
+        *_, parts, bias = operator.fit(once, labels, per_class=30)
+        *_, parts_often, bias_often = operator.fit(often, labels, per_class=30)
+        assert np.array_equal(parts, parts_often) and bias == bias_often
