@@ -4,7 +4,21 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from demandloom.llm import classifier, decontaminate, line_dedup, pii, quality_rules, sentencepiece, simhash, substring_dedup, toxicity, warc
+from demandloom.llm import (
+    byte_bpe,
+    centroids,
+    classifier,
+    decontaminate,
+    line_dedup,
+    pii,
+    quality_rules,
+    runs,
+    sentencepiece,
+    simhash,
+    substring_dedup,
+    toxicity,
+    warc,
+)
 from demandloom.llm.common import table
 
 
@@ -55,6 +69,24 @@ def op10_quality_rules(spark, sf_dir):
     return quality_rules.apply_rules(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op11_periodic_runs(spark, sf_dir):
+    return runs.digests(runs.report(runs.with_repeats(table(spark, sf_dir, "documents"))))
+
+
+def op12_centroids(spark, sf_dir):
+    return centroids.report(table(spark, sf_dir, "embeddings"))
+
+
+def op13_byte_bpe(spark, sf_dir):
+    done = byte_bpe.decode(byte_bpe.encode(table(spark, sf_dir, "documents"), packed=True))
+    return done.select(
+        "doc_id",
+        F.floor(F.octet_length("ids") / 4).cast("long").alias("n_tokens"),
+        F.sha2("ids", 256).alias("ids_sha256"),
+        F.sha2("decoded", 256).alias("decoded_sha256"),
+    )
+
+
 QUERIES = {
     "op1_line_dedup": op1_line_dedup,
     "op2_quality_classifier": op2_quality_classifier,
@@ -66,4 +98,7 @@ QUERIES = {
     "op8_toxicity": op8_toxicity,
     "op9_simhash": op9_simhash,
     "op10_quality_rules": op10_quality_rules,
+    "op11_periodic_runs": op11_periodic_runs,
+    "op12_centroids": op12_centroids,
+    "op13_byte_bpe": op13_byte_bpe,
 }

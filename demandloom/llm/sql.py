@@ -81,3 +81,41 @@ select page_id, strlen(html)::bigint as payload_bytes, digest as payload_digest,
 from f
 """,
 }
+
+
+def _rounds(n_centroids: int, rounds: int, dims: int, scale: int) -> str:
+    """Lloyd rounds in plain steps: all distances, argmin, exact floor of the mean."""
+    steps = f"""
+with recursive kept as materialized (
+    select row_number() over () as r, vec_id, list_transform(embedding, lambda x: floor(x::double * {scale})::bigint) as v
+    from embeddings
+    where len(embedding) = {dims} and len(list_filter(embedding, lambda x: x is not null and isfinite(x))) = {dims}
+), c0 as materialized (
+    select row_number() over (order by sha256('1:' || vec_id) nulls last, v) - 1 as k, v as c
+    from kept qualify k < {n_centroids}
+)"""
+    for i in range(rounds + 1):
+        steps += f"""
+, a{i} as materialized (
+    select r, vec_id, v, k, list_sum(list_transform(range(1, {dims + 1}), lambda j: (v[j] - c[j]) * (v[j] - c[j])))::bigint as d
+    from kept, c{i} qualify row_number() over (partition by r order by d, k) = 1
+)"""
+        if i < rounds:
+            steps += f"""
+, s{i} as materialized (
+    select k, j, sum(x)::bigint as s, count(*) as n
+    from (select k, generate_subscripts(v, 1) as j, unnest(v) as x from a{i}) group by k, j
+), m{i} as materialized (
+    select k, list((s - ((s % n) + n) % n) // n order by j) as c from s{i} group by k
+), c{i + 1} as materialized (
+    select c{i}.k, coalesce(m{i}.c, c{i}.c) as c from c{i} left join m{i} on c{i}.k = m{i}.k
+)"""
+    return f"""{steps}
+select vec_id, a{rounds}.k::int as cluster, d as distance,
+       (sum(d) over (partition by a{rounds}.k))::bigint as cluster_inertia, (sum(d) over ())::bigint as inertia,
+       sha256(array_to_string(c, ',')) as centroid_sha256
+from a{rounds} join c{rounds} on a{rounds}.k = c{rounds}.k
+"""
+
+
+SQL["op12_centroids"] = _rounds(16, 3, 64, 64)
