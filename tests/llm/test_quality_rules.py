@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import math
 import re
+import zlib
 from collections import Counter
 
 from pyspark.sql import functions as F
@@ -64,20 +65,143 @@ def test_lower_tail(spark):
         assert r.p == 1.0 if r.k > 0.05 * r.n else abs(r.p - exact) < 1e-9
 
 
-def test_cutoffs_keep_their_promise(spark):
-    words = " ".join(f"w{i}" for i in range(40))
-    docs, labels = [], []
-    for i in range(12_000):
-        bad = i % 4 == 0
-        # One good document in 1000 looks bad too.
-        text = words.replace(" ", "#### ") if bad or i % 1000 == 1 else words
-        docs.append((i, text, "en" if i % 2 else "de"))
-        labels.append((i, 0 if bad else 1, "x"))
-    frame = spark.createDataFrame(docs, "doc_id long, text string, lang string")
-    feats = quality_rules.features(frame)
-    chosen = quality_rules.cutoffs(feats, labels_of(spark, labels)).collect()
-    assert {(r.stratum, r.rule) for r in chosen} == {("de", "symbols")}  # every bad one is even: German
-    for r in chosen:
-        assert r.k_good <= 0.005 * r.n_good and r.p_value <= 0.05 / (2 * 60)
-    kept = {r.doc_id: r.kept for r in quality_rules.apply_rules(frame, labels_of(spark, labels)).collect()}
-    assert not any(kept[i] for i in range(0, 12_000, 4)) and sum(kept.values()) == 9000
+def test_lower_tail_of_many_terms(spark):
+    """Beyond the summed terms the tail is bounded from above, closely."""
+    df = spark.createDataFrame([(2700, 100_000), (0, 5), (28_900_000, 1_000_000_000)], "k long, n long")
+    rows = df.select("k", *[quality_rules.lower_tail(F.col("k"), F.col("n"), 0.03, t).alias(f"t{t}") for t in (100, 10_000)]).collect()
+    for r in rows[:2]:
+        exact = 0.0
+        n = 100_000 if r.k else 5
+        for i in range(r.k + 1):
+            exact += math.exp(math.lgamma(n + 1) - math.lgamma(i + 1) - math.lgamma(n - i + 1) + i * math.log(0.03) + (n - i) * math.log(0.97))
+        assert abs(r.t10000 - exact) < 1e-6 * exact and exact <= r.t100 * (1 + 1e-9)
+    assert 0 <= rows[2].t10000 < 1e-20
+
+
+def counts_of(text):
+    """The counts of the rules, in plain Python."""
+    text = text or ""
+    parts = [w for w in WHITE.split(text) if w]
+    lines = [x for x in text.split("\n") if WHITE.sub("", x)]
+    n, chars, symbols, dup_lines, repeats, _ = plain(text)
+    upper = sum(c in quality_rules.UPPER for c in text)
+    return {
+        "n_words": n, "word_chars": chars, "n_symbols": symbols, "n_dup_lines": dup_lines, "n_repeat_words": repeats,
+        "n_lines": len(lines), "n_upper": upper, "n_bangs": text.count("!"), "n_same_words": n - len(set(parts)),
+    }
+
+
+def plain_policies(rows, labels, alpha, delta):
+    """{stratum: {rule: cutoff}} by loops over all trials; rows are (doc_id, text, stratum)."""
+    quality = {}
+    for i, q in labels:
+        if i is not None and q is not None:
+            quality[i] = max(q, quality.get(i, 0))
+    texts = {}
+    for i, text, s in rows:
+        if i in quality:
+            good, first = texts.get((s, text), (0, i))
+            texts[s, text] = (max(good, quality[i]), min(first, i))
+    tried = [
+        (s, q == 1, zlib.crc32(str(i).encode()) % quality_rules.PARTS == 0, counts_of(t)) for (s, t), (q, i) in texts.items()
+    ]
+    strata = {s for s, *_ in tried}
+    tests = (len(strata) + 1) * len(quality_rules.LEVELS)
+    need = math.log(delta / tests) / math.log(1 - alpha)
+    held = Counter(s for s, good, first, _ in tried if good and not first)
+    cell = {s: s if held[s] >= need else "pool" for s in strata}
+
+    def value(rule, c):
+        over, under = quality_rules.RULES[rule]
+        return c[over] / c[under] if c[under] else 0.0
+
+    def rates(part, rejects):
+        n, k = Counter(), Counter()
+        for good, c in part:
+            n[good] += 1
+            k[good] += rejects(c)
+        share = lambda g: k[g] / n[g] if n[g] else 0.0
+        return n, k, (share(False) - share(True) if k[False] else 0.0)
+
+    chosen = {}
+    for name in set(cell.values()):
+        mine = [(good, first, c) for s, good, first, c in tried if cell[s] == name]
+        first, held_out = ([(g, c) for g, f, c in mine if f is flag] for flag in (True, False))
+        best = (0.0, 0, {})
+        for level, share in enumerate(quality_rules.LEVELS):
+            policy = {}
+            for rule in quality_rules.RULES:
+                options = []
+                for cut in quality_rules.CUTOFFS:
+                    n, k, gain = rates(first, lambda c: value(rule, c) > cut)  # noqa: B023
+                    if gain > 0 and k[True] <= share * alpha * n[True]:
+                        options.append((gain, cut))
+                if options:
+                    policy[rule] = max(options)[1]
+            n, k, gain = rates(held_out, lambda c: any(value(r, c) > cut for r, cut in policy.items()))  # noqa: B023
+            tail = sum(math.comb(n[True], i) * alpha**i * (1 - alpha) ** (n[True] - i) for i in range(k[True] + 1))
+            if gain > 0 and n[True] and tail <= delta / tests:
+                best = max(best, (gain, -level, policy), key=lambda b: b[:2])
+        chosen |= {s: best[2] for s in strata if cell[s] == name}
+    return chosen
+
+
+def cuts_of(rows):
+    return {r.stratum: {rule: r[f"cut_{rule}"] for rule in quality_rules.RULES if r[f"cut_{rule}"] is not None} for r in rows}
+
+
+def made(n, bad_of):
+    """Documents of one or two strata; every text differs, bad ones are full of symbols."""
+    rows, labels = [], []
+    for i in range(n):
+        bad = bad_of(i)
+        words = " ".join(f"w{i}x{j}" for j in range(25))
+        # One good document in 150 looks bad too.
+        text = words.replace(" ", "#### ") if bad or i % 150 == 1 else words + "!" * (i % 4)
+        rows.append((i, text, "en" if i % 5 else "de"))
+        labels.append((i, 0 if bad else 1))
+    return rows, labels
+
+
+def test_policies_against_plain_loops(spark):
+    rows, labels = made(1500, lambda i: i % 6 == 0)
+    feats = quality_rules.features(spark.createDataFrame(rows, "doc_id long, text string, lang string"))
+    got = quality_rules.policies(feats, labels_of(spark, [(*x, "x") for x in labels])).collect()
+    expected = plain_policies(rows, labels, quality_rules.ALPHA, quality_rules.DELTA)
+    assert cuts_of(got) == {s: p for s, p in expected.items() if p}
+    assert expected["en"] and all(r.k_good <= 0.03 * r.n_good and r.p_value <= 0.05 / 12 for r in got)
+    # The smaller stratum has too few good documents and no other to be pooled with.
+    assert {r.cell for r in got} <= {"s:en", "pool"}
+
+
+def test_verdicts_of_the_sample(spark):
+    """``kept`` of every document of the larger sample, where the policies act, against plain loops."""
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    labels = spark.read.parquet("/root/testdata/sf0.01/labels.parquet")
+    rows = [(r.doc_id, r.text or "", r.lang) for r in docs.collect()]
+    chosen = plain_policies(rows, [(r.doc_id, r.quality) for r in labels.collect()], quality_rules.ALPHA, quality_rules.DELTA)
+    assert any(chosen.values())
+    expected = {}
+    for i, text, s in rows:
+        c = counts_of(text)
+        ratios = {rule: c[over] / c[under] if c[under] else 0.0 for rule, (over, under) in quality_rules.RULES.items()}
+        expected[i] = not plain(text)[-1] and not any(ratios[r] > cut for r, cut in chosen.get(s, {}).items())
+    got = {r.doc_id: r.kept for r in quality_rules.apply_rules(docs, labels).collect()}
+    assert got == expected
+
+
+def test_repeated_rows_and_copies_change_nothing(spark):
+    """Each row many times, and each text under many ids, is no more evidence than once."""
+    rows, labels = made(240, lambda i: i % 4 == 0)
+    once = plain_policies(rows, labels, 0.03, 0.05)
+    assert not any(once.values())  # too few
+    frame = lambda r: quality_rules.features(spark.createDataFrame(r, "doc_id long, text string, lang string"))
+    label = lambda x: labels_of(spark, [(*p, "x") for p in x])
+    assert quality_rules.policies(frame(rows * 16), label(labels * 3)).collect() == []
+    copies = [(i + 1000 * k, t, s) for i, t, s in rows for k in range(16)]
+    copied = [(i + 1000 * k, q) for i, q in labels for k in range(16)]
+    assert quality_rules.policies(frame(copies), label(copied)).collect() == []
+    # With a wider bound there is a policy, the same one from repeated rows.
+    loose = cuts_of(quality_rules.policies(frame(rows), label(labels), 0.2).collect())
+    assert loose and loose == cuts_of(quality_rules.policies(frame(rows * 5), label(labels), 0.2).collect())
+    assert loose == {s: p for s, p in plain_policies(rows, labels, 0.2, 0.05).items() if p}
