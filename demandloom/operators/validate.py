@@ -9,6 +9,7 @@ from pyspark.sql import types as T
 from demandloom.functions.dates import has_date_shape
 from demandloom.functions.text import number_or_null
 from demandloom.schema import DAILY_COLUMNS, DATE, PRODUCT, RAW_COLUMNS, SOURCE_FILE, TOTAL, TYPED
+from demandloom.sources.records import ends_inside
 
 # Messages of the checks.
 EMPTY_MESSAGE = "DataFrame is empty, no rows found"
@@ -19,6 +20,7 @@ POSITIVE_MESSAGE = "Total Quantity must be greater than 0"
 NULL_DATE_MESSAGE = "Date cannot be null"
 DATE_SHAPE_MESSAGE = "Date must be in a valid date format"
 BAD_VALUE_MESSAGE = "Bad value in "
+OPEN_QUOTE_MESSAGE = "The file ends inside a quoted field"
 # A comma with an even number of quotes behind it.
 OUTSIDE_QUOTES = r',(?=(?:[^"]*"[^"]*")*[^"]*$)'
 ALL_VALID, SOME_VALID, NONE_VALID = 0, 1, 2
@@ -110,27 +112,40 @@ def validation_summary(df: DataFrame) -> DataFrame:
 
 
 def file_verdicts(lines: DataFrame, files: DataFrame, required: list[str] = RAW_COLUMNS) -> DataFrame:
-    """Verdict per delimited file from its header line and its row count.
+    """Verdict per delimited file from its header and its number of records.
 
-    ``lines`` has (file_path, block_start, line_no, value); ``files`` lists every
-    file, so that one without any line is judged too.  A task forwards one header
-    candidate and one count per file, whatever the size of the file.
+    ``lines`` has (file_path, block_start, line_no, value), lines or whole records (then with
+    ``open``); ``files`` lists every file, so that one without any line is judged too.  A
+    task forwards one header candidate and one count per file, whatever its size.
+
+    ``breaks`` says that a line ends inside quotes: lines are then not the records, and the
+    file is to be judged by those (``records.assemble``).  ``first`` is the header's place.
     """
+    full = F.trim("value") != ""
+    place = F.when(full, F.struct("block_start", "line_no"))
+    whole = "open" in lines.columns
     found = lines.groupBy("file_path").agg(
-        F.min_by("value", F.struct("block_start", "line_no")).alias("header"),
-        (F.count_if(F.trim("value") != "") - 1).alias("rows"),
+        F.min_by("value", place).alias("header"),
+        F.min(place).alias("first"),
+        (F.count_if(full) - 1).alias("rows"),
+        (F.lit(True) if whole else F.bool_or(ends_inside(F.col("value")))).alias("breaks"),
+        (F.bool_or("open") if whole else F.lit(False)).alias("open"),
     )
     fields = F.transform(
         F.split("header", OUTSIDE_QUOTES), lambda name: F.regexp_replace(name, r'^[\s"\x{FEFF}]+|[\s"]+$', "")
     )
     absent = F.array_except(F.array(*[F.lit(c) for c in required]), fields)
     judged = files.select("file_path").join(found, "file_path", "left")
-    error = F.when(F.coalesce(F.col("rows"), F.lit(0)) <= 0, F.lit(EMPTY_MESSAGE)).when(
-        F.size(absent) > 0, F.concat(F.lit(MISSING_MESSAGE), F.concat_ws(", ", absent))
+    error = (
+        F.when(F.col("open"), F.lit(OPEN_QUOTE_MESSAGE))
+        .when(F.coalesce(F.col("rows"), F.lit(0)) <= 0, F.lit(EMPTY_MESSAGE))
+        .when(F.size(absent) > 0, F.concat(F.lit(MISSING_MESSAGE), F.concat_ws(", ", absent)))
     )
     return judged.select(
         "file_path",
         "header",
+        "first",
+        F.coalesce("breaks", F.lit(False)).alias("breaks"),
         F.greatest(F.coalesce("rows", F.lit(0)), F.lit(0)).alias("rows"),
         error.alias("error"),
     ).withColumn("valid", F.col("error").isNull())

@@ -458,6 +458,38 @@ def csv_source(spark, sf_dir):
     return _slim(readers.read_files(spark, path))
 
 
+def _breaking(raw: DataFrame) -> DataFrame:
+    """Store names with line breaks, quotes and commas, among plain ones."""
+    number = F.regexp_extract(TX_ID, r"(\d+)", 1).cast("long")
+    odd = F.concat(F.lit('Main "St", '), F.col(STORE), F.lit("\n\nsecond, floor\n"))
+    return raw.withColumn(STORE, F.when(number % 3 == 0, odd).when(number % 3 == 1, F.concat(F.col(STORE), F.lit('\n"'))).otherwise(F.col(STORE)))
+
+
+@query
+def quoted_csv(spark, sf_dir):
+    """Records with line breaks inside quotes, read by many tasks."""
+    path = scratch_path(spark, "export") + ".csv"
+    writers.write_table(_breaking(views.raw_events(spark, sf_dir)).select(*RAW_COLUMNS), path)
+    return _slim(readers.read_csv_records(spark, path))
+
+
+@query
+def quoted_verdicts(spark, sf_dir):
+    """Files with line breaks inside quotes are judged by their records."""
+    inbox = _export_files(_breaking(views.raw_events(spark, sf_dir)), RAW_COLUMNS)
+    verdicts, _ = retail.pre_validate(spark, inbox)
+    return verdicts.select(_source_name("file_path").alias(SOURCE_FILE), "rows", "error", "valid")
+
+
+@query
+def folder_quoted(spark, sf_dir):
+    """The folder job on such files: the same daily demand as without the line breaks."""
+    output = scratch_path(spark, "processed")
+    inbox = _export_files(_breaking(views.raw_events(spark, sf_dir)), RAW_COLUMNS)
+    retail.process_folder(spark, inbox, output, scratch_path(spark, "ledger"))
+    return _published(spark, output)
+
+
 @query
 def json_source(spark, sf_dir):
     path = scratch_path(spark, "export")

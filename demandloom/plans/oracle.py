@@ -486,6 +486,13 @@ ORACLE: dict[str, str] = {
     "pipeline_stats": f"WITH {PIPELINE} {_stats('result', ['Total Quantity'], 'source_file,')}",
     "folder_pipeline": PIPELINE_DAILY,
     "stream_pipeline": PIPELINE_DAILY,
+    "folder_quoted": PIPELINE_DAILY,
+    "quoted_csv": f"""WITH {SQL_RAW}, n AS (SELECT *, CAST(regexp_extract("Transaction ID", '(\\d+)', 1) AS BIGINT) % 3 AS k FROM raw)
+        SELECT "Date", "Transaction ID", CASE WHEN k = 0 THEN 'Main "St", ' || "Store Location" || chr(10) || chr(10) || 'second, floor' || chr(10)
+               WHEN k = 1 THEN "Store Location" || chr(10) || '"' ELSE "Store Location" END AS "Store Location",
+               "Product Name", "Producer ID", CAST(price AS DOUBLE) AS "Unit Price", quantity || quantity_suffix AS "Quantity" FROM n""",
+    "quoted_verdicts": f"""WITH {SQL_RAW} SELECT source_file, count(*) AS rows, CAST(NULL AS VARCHAR) AS error, true AS valid
+        FROM raw GROUP BY 1""",
     "folder_bad_values": f"""SELECT * FROM ({PIPELINE_DAILY}) d
         WHERE CAST(replace(source_file, 'batch_', '') AS BIGINT) % 2 = 0""",
     "bad_value_verdicts": f"""WITH {SQL_RAW} SELECT DISTINCT source_file,

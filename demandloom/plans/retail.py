@@ -33,6 +33,7 @@ from demandloom.session import stage, staged_scope
 from demandloom.sources.ledger import delete_sources, read_ledger, record, unprocessed
 from demandloom.sources.listing import list_files
 from demandloom.sources.readers import read_lines, read_valid_csv
+from demandloom.sources.records import assemble
 from demandloom.sources.writers import write_per_source
 
 
@@ -109,11 +110,22 @@ def post_validate(daily: DataFrame) -> tuple[bool, DataFrame, DataFrame]:
 
 def pre_validate(spark: SparkSession, path: str) -> tuple[DataFrame, DataFrame]:
     """(verdict per file, batch status) for the CSV files of a folder."""
-    files = list_files(spark, path)
-    verdicts = stage(file_verdicts(read_lines(spark, path), files), "verdicts")
+    verdicts, _ = judge_files(spark, path, list_files(spark, path))
     return verdicts, batch_status(verdicts)
 
 
+def judge_files(spark: SparkSession, path: str | list[str], files: DataFrame) -> tuple[DataFrame, DataFrame | None]:
+    """(verdict per file, records of the files that hold line breaks inside quotes, if any)."""
+    verdicts = stage(file_verdicts(read_lines(spark, path), files), "verdicts")
+    # A file scan takes its paths from the driver, as any Spark listing does.
+    broken = [r.file_path for r in verdicts.where("breaks").select("file_path").collect()]
+    if not broken:
+        return verdicts, None
+    records = stage(assemble(read_lines(spark, broken)), "records")
+    again = file_verdicts(records, verdicts.where("breaks").select("file_path"))
+    return stage(verdicts.where("not breaks").unionByName(again), "verdicts"), records
+
+
 def process_files(
     spark: SparkSession,
     files: DataFrame,
@@ -130,11 +142,11 @@ def process_files(
     """
     # A file scan takes its paths from the driver, as any Spark listing does.
     paths = [r.file_path for r in files.select("file_path").collect()]
-    verdicts = stage(file_verdicts(read_lines(spark, paths), files), "verdicts")
-    raw = read_valid_csv(spark, verdicts)
+    verdicts, records = judge_files(spark, paths, files)
+    raw = read_valid_csv(spark, verdicts, records)
     if raw is not None:
         verdicts = stage(add_bad_values(verdicts, bad_values(raw)), "verdicts")
-        raw = read_valid_csv(spark, verdicts)
+        raw = read_valid_csv(spark, verdicts, records)
     if raw is not None:
         done = verdicts.where("valid").select("file_path")
         result = run_batch(raw, block=BLOCK)

@@ -11,13 +11,19 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from demandloom.schema import BLOCK, BRONZE, RAW_COLUMNS, SEQ, SOURCE_FILE
+from demandloom.session import stage
 from demandloom.sources.listing import scanned_file
+from demandloom.sources.records import assemble, parse
+
+
+#: A quote inside a quoted field is doubled.
+CSV_OPTIONS = {"header": "true", "escape": '"'}
 
 
 def _csv(spark: SparkSession, path, schema) -> DataFrame:
     return (
         spark.read.schema(schema)
-        .option("header", True)
+        .options(**CSV_OPTIONS)
         .option("enforceSchema", False)
         .csv(path)
     )
@@ -79,20 +85,33 @@ def read_csv_by_name(
 
     Only the header is read up front; extra columns are pruned by the scan.
     """
-    table = spark.read.option("header", True).csv(paths)
+    table = spark.read.options(**CSV_OPTIONS).csv(paths)
     return table.select(*[F.col(f"`{c}`") for c in columns if c in table.columns])
 
 
-def read_valid_csv(spark: SparkSession, verdicts: DataFrame) -> DataFrame | None:
+def read_valid_csv(spark: SparkSession, verdicts: DataFrame, records: DataFrame | None = None) -> DataFrame | None:
     """All valid files of a batch, whatever the column order of each.
 
-    Files with the same header line form one scan; row order columns are added.
+    Files with the same header line form one scan; row order columns are added.  Files with
+    line breaks inside quotes come as ``records`` (see ``records.assemble``).
     """
+    # One row per different header and kind; files of one header are one scan.
     groups = (
-        verdicts.where("valid").groupBy("header").agg(F.collect_list("file_path").alias("paths"))
+        verdicts.where("valid").groupBy("header", "breaks").agg(F.collect_list("file_path").alias("paths"))
     ).collect()
-    scans = [with_row_order(spark.read.option("header", True).csv(g.paths)) for g in groups]
-    picked = [s.select(*[F.col(f"`{c}`") for c in RAW_COLUMNS], SOURCE_FILE, BLOCK, SEQ) for s in scans]
+    picked = []
+    for g in groups:
+        if g.breaks and records is not None:
+            firsts = verdicts.where(F.col("valid") & F.col("breaks") & (F.col("header") == F.lit(g.header)))
+            body = records.join(firsts.select("file_path", "first"), "file_path").where(
+                F.struct("block_start", "line_no") != F.col("first")
+            )
+            rows = parse(body, g.header, RAW_COLUMNS)
+            place = {"file_path": SOURCE_FILE, "block_start": BLOCK, "line_no": SEQ}
+            picked.append(rows.withColumnsRenamed(place))
+        else:
+            scan = with_row_order(spark.read.options(**CSV_OPTIONS).csv(g.paths))
+            picked.append(scan.select(*[F.col(f"`{c}`") for c in RAW_COLUMNS], SOURCE_FILE, BLOCK, SEQ))
     return reduce(DataFrame.unionByName, picked) if picked else None
 
 
@@ -122,6 +141,25 @@ def read_lines(spark: SparkSession, path: str | list[str]) -> DataFrame:
     )
 
 
+def read_csv_records(spark: SparkSession, path: str | list[str], columns: list[str] = RAW_COLUMNS) -> DataFrame:
+    """CSV files of one header whose quoted fields may hold line breaks, as text columns in many tasks.
+
+    The row order columns are added, as ``with_row_order`` does.
+    """
+    records = stage(assemble(read_lines(spark, path)).where(F.trim("value") != ""), "records")
+    place = F.struct("block_start", "line_no")
+    firsts = stage(
+        records.groupBy("file_path").agg(F.min(place).alias("first"), F.min_by("value", place).alias("header")), "headers"
+    )
+    headers = [r.header for r in firsts.select("header").distinct().limit(2).collect()]
+    if len(headers) != 1:
+        raise ValueError("no rows found in the input" if not headers else "the files have different headers")
+    body = records.join(firsts.select("file_path", "first"), "file_path").where(place != F.col("first"))
+    return parse(body, headers[0], columns).withColumnsRenamed(
+        {"file_path": SOURCE_FILE, "block_start": BLOCK, "line_no": SEQ}
+    )
+
+
 def require_rows(df: DataFrame) -> DataFrame:
     if df.isEmpty():
         raise ValueError("no rows found in the input")

@@ -16,10 +16,11 @@ from demandloom.session import remove_path, stage
 
 WRITERS = ("csv", "json", "parquet")
 
-# A CSV writer would otherwise strip blanks around values.
+# A CSV writer would otherwise strip blanks around values; quotes inside a field are doubled.
 WRITE_OPTIONS = {
     "csv": {
         "header": True,
+        "escape": '"',
         "ignoreLeadingWhiteSpace": False,
         "ignoreTrailingWhiteSpace": False,
     }
