@@ -1,15 +1,9 @@
-"""Dickey-Fuller regressions and their p-values.
-
-A series here is one product's daily demand, so its length is bounded by the
-calendar; Spark spreads the products.
-"""
+"""Dickey-Fuller regressions and their p-values, as column expressions."""
 
 from __future__ import annotations
 
 import math
 
-import numpy as np
-import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -20,8 +14,6 @@ LARGE_P = [1.7339, 0.93202, -0.12745, -0.010368]
 
 SIGNIFICANCE = 0.05
 
-ADF_SCHEMA_SUFFIX = "adf_statistic double, adf_lags int, n_used int, p_value double"
-
 
 def regression_t(dy: Column, lagged: Column) -> Column:
     """t statistic of the slope in dy = a + b * lagged, from regression sums."""
@@ -34,68 +26,34 @@ def regression_t(dy: Column, lagged: Column) -> Column:
     )
 
 
-def _design(y: np.ndarray, lags: int, skip: int) -> tuple[np.ndarray, np.ndarray]:
-    """Regressors (level, lagged differences, constant) and target, from row ``skip`` on."""
-    dy = np.diff(y)
-    rows = np.arange(skip, len(dy))
-    columns = [y[rows], *[dy[rows - k] for k in range(1, lags + 1)], np.ones(len(rows))]
-    return np.column_stack(columns), dy[rows]
-
-
-def _fit(x: np.ndarray, target: np.ndarray) -> tuple[float, float]:
-    """(residual sum of squares, t statistic of the first regressor)."""
-    beta, *_ = np.linalg.lstsq(x, target, rcond=None)
-    error = target - x @ beta
-    rss = float(error @ error)
-    scale = rss / (len(target) - x.shape[1])
-    spread = math.sqrt(scale * np.linalg.pinv(x.T @ x)[0, 0])
-    return rss, float(beta[0] / spread) if spread > 0 else float("nan")
-
-
-def augmented_t(y: np.ndarray) -> tuple[float | None, int | None, int]:
-    """Augmented statistic with the lag count of the lowest AIC on a common sample."""
-    n = len(y)
-    top = min(math.ceil(12 * (n / 100) ** 0.25), n // 2 - 2)
-    if n < 8 or top < 0 or np.ptp(y) == 0:
-        return None, None, n
-    scores = []
-    for lags in range(top + 1):
-        x, target = _design(y, lags, top)
-        rss, _ = _fit(x, target)
-        m = len(target)
-        scores.append(m * math.log(max(rss, 1e-300) / m) + 2 * x.shape[1])
-    best = int(np.argmin(scores))
-    x, target = _design(y, best, best)
-    return _fit(x, target)[1], best, len(target)
+def normal_cdf(x: Column) -> Column:
+    """Distribution function of the standard normal: a power series, a continued fraction in the tails."""
+    density = F.exp(-x * x / 2) / math.sqrt(2 * math.pi)
+    powers = F.sequence(F.lit(1), F.lit(80))
+    series = F.aggregate(
+        powers,
+        F.struct(x.alias("t"), x.alias("s")),
+        lambda a, k: F.struct((a["t"] * x * x / (2 * k + 1)).alias("t"), (a["s"] + a["t"] * x * x / (2 * k + 1)).alias("s")),
+        lambda a: a["s"],
+    )
+    far = F.aggregate(F.sequence(F.lit(80), F.lit(1), F.lit(-1)), F.abs(x), lambda a, k: F.abs(x) + k / a)
+    tail = density / far
+    return F.when(x < -4, tail).when(x > 4, 1 - tail).otherwise(0.5 + density * series)
 
 
-def mackinnon_p(tau: float | None) -> float | None:
-    """Approximate p-value of a Dickey-Fuller statistic (constant, no trend)."""
-    if tau is None or math.isnan(tau):
-        return None
-    if tau > TAU_MAX:
-        return 1.0
-    if tau < TAU_MIN:
-        return 0.0
-    coefficients = SMALL_P if tau <= TAU_STAR else LARGE_P
-    surface = sum(c * tau**power for power, c in enumerate(coefficients))
-    return math.erfc(-surface / math.sqrt(2)) / 2
+def mackinnon_p(tau: Column) -> Column:
+    """Approximate p-value of a Dickey-Fuller statistic (constant, no trend); null stays null."""
 
+    def surface(coefficients: list[float]) -> Column:
+        total = F.lit(coefficients[-1])
+        for c in reversed(coefficients[:-1]):
+            total = total * tau + c
+        return total
 
-def adf_group(key: str, date: str, value: str):
-    """Function for ``applyInPandas`` over one product's daily series."""
+    inside = normal_cdf(F.when(tau <= TAU_STAR, surface(SMALL_P)).otherwise(surface(LARGE_P)))
+    return F.when(tau > TAU_MAX, 1.0).when(tau < TAU_MIN, 0.0).when(tau.isNotNull(), inside)
 
-    def run(pdf: pd.DataFrame) -> pd.DataFrame:
-        y = pdf.sort_values(date)[value].dropna().to_numpy(dtype="float64")
-        statistic, lags, used = augmented_t(y)
-        return pd.DataFrame(
-            {
-                key: [pdf[key].iloc[0]],
-                "adf_statistic": pd.Series([statistic], dtype="float64"),
-                "adf_lags": pd.Series([lags], dtype="Int32"),
-                "n_used": [used],
-                "p_value": pd.Series([mackinnon_p(statistic)], dtype="float64"),
-            }
-        )
 
-    return run
+def most_lags(n: Column) -> Column:
+    """The largest lag order that a series of n values is tested with."""
+    return F.least(F.ceil(12 * F.pow(n / 100.0, F.lit(0.25))), F.floor(n / 2) - 2).cast("int")

@@ -5,14 +5,11 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from demandloom.functions.dickey_fuller import (
-    ADF_SCHEMA_SUFFIX,
-    SIGNIFICANCE,
-    adf_group,
-    regression_t,
-)
+from demandloom.functions.dickey_fuller import SIGNIFICANCE, mackinnon_p, most_lags, regression_t
+from demandloom.functions.elimination import cross_products, eliminate, slope_t
 from demandloom.functions.stats import mae, mape, mse, rmse
 from demandloom.schema import DATE, PRODUCT, TOTAL
+from demandloom.session import stage
 
 # Seasonal periods in days and forecast horizon.
 PERIODS = [7, 14, 30]
@@ -86,13 +83,69 @@ def dickey_fuller(series: DataFrame) -> DataFrame:
 
 
 def stationarity(series: DataFrame) -> DataFrame:
-    """Augmented Dickey-Fuller statistic, p-value and verdict per product."""
-    slim = series.select(PRODUCT, DATE, F.col(TOTAL).cast("double").alias(TOTAL))
-    tested = slim.groupBy(PRODUCT).applyInPandas(
-        adf_group(PRODUCT, DATE, TOTAL), f"`{PRODUCT}` string, {ADF_SCHEMA_SUFFIX}"
+    """Augmented Dickey-Fuller statistic, p-value and verdict per product.
+
+    The lag order is the one of the lowest AIC on the rows that all orders share.  All cross
+    products of level and lagged differences are sums with map-side combine, one
+    matrix per product; successive elimination gives the residuals of every order from it.
+    Series of fewer than 8 values or of one value have no statistic.  Null values are left out.
+    """
+    by_day = Window.partitionBy(PRODUCT).orderBy(DATE)
+    y = F.col("y")
+    known = series.select(PRODUCT, DATE, F.col(TOTAL).cast("double").alias("y")).where(y.isNotNull())
+    sizes = known.groupBy(PRODUCT).agg(
+        F.count(F.lit(1)).cast("int").alias("n"), (F.max("y") > F.min("y")).alias("varies")
+    ).withColumn("top", most_lags(F.col("n")))
+    # Lengths are bounded by the calendar, and the number of lags by their fourth root.
+    sizes = stage(sizes, "sizes")
+    testable = (F.col("n") >= 8) & (F.col("top") >= 0) & F.col("varies")
+    top = sizes.where(testable).agg(F.max("top")).first()[0] or 0
+    steps = known.select(
+        PRODUCT,
+        (F.row_number().over(by_day) - 2).alias("at"),
+        F.lag("y").over(by_day).alias("level"),
+        (y - F.lag("y").over(by_day)).alias("step"),
+        F.lit(1.0).alias("one"),
+        DATE,
+    )
+    lags = [F.lag("step", k).over(by_day).alias(f"back_{k}") for k in range(1, top + 1)]
+    rows = stage(steps.select("*", *lags).where("at >= 0").drop(DATE), "steps")
+    variables = ["one", "level", *[f"back_{k}" for k in range(1, top + 1)], "step"]
+
+    shared = rows.join(sizes.where(testable), PRODUCT).where(F.col("at") >= F.col("top")).groupBy(PRODUCT).agg(
+        F.first("n").alias("n"), F.first("top").alias("top"), cross_products(variables).alias("m")
+    )
+    # Written once, or every step of the elimination would add up the matrix anew.
+    shared = stage(shared, "products")
+    # Constant, level, then one lag after the other.
+    rest = F.slice(eliminate(F.col("m"), F.sequence(F.lit(0), F.col("top") + 1))["rest"], 2, F.col("top") + 1)
+    m = F.col("n") - 1 - F.col("top")
+    scored = F.transform(
+        rest, lambda r, k: F.struct((m * F.log(F.greatest(r, F.lit(1e-300)) / m) + 2 * (k + 2)).alias("aic"), k.alias("lags"))
+    )
+    best = stage(shared.select(PRODUCT, "n", F.array_min(scored)["lags"].alias("lags")), "lags")
+    final = rows.join(best, PRODUCT).where(F.col("at") >= F.col("lags")).groupBy(PRODUCT).agg(
+        F.first("lags").alias("adf_lags"),
+        (F.first("n") - 1 - F.first("lags")).alias("used"),
+        cross_products(variables).alias("m"),
     )
-    return tested.withColumn(
-        "stationary", F.when(F.col("p_value") < SIGNIFICANCE, "Yes").otherwise("No")
+    final = stage(final, "products")
+    others = F.concat(
+        F.array(F.lit(0)),
+        F.when(F.col("adf_lags") > 0, F.sequence(F.lit(2), F.col("adf_lags") + 1)).otherwise(F.array().cast("array<int>")),
+    )
+    tested = final.select(
+        PRODUCT, "adf_lags", "used", slope_t(F.col("m"), others, F.lit(1), F.col("used")).alias("adf_statistic")
+    )
+    joined = sizes.select(PRODUCT, "n").join(tested, PRODUCT, "left")
+    p_value = mackinnon_p(F.col("adf_statistic"))
+    return joined.select(
+        PRODUCT,
+        "adf_statistic",
+        "adf_lags",
+        F.coalesce("used", "n").alias("n_used"),
+        p_value.alias("p_value"),
+        F.when(p_value < SIGNIFICANCE, "Yes").otherwise("No").alias("stationary"),
     )
 
 

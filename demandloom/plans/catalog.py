@@ -343,7 +343,7 @@ def dickey_fuller(spark, sf_dir):
 
 @query
 def stationarity(spark, sf_dir):
-    return series.stationarity(views.spine(spark, sf_dir))
+    return rounded(series.stationarity(views.spine(spark, sf_dir)))
 
 
 @query

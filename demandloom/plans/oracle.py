@@ -520,3 +520,43 @@ ORACLE: dict[str, str] = {
                || '-' || sum(CAST(('0x' || substr(m, 16, 15)) AS BIGINT)) AS digest
         FROM h GROUP BY 1""",
 }
+
+
+def _gram(lags: str, skip: str) -> str:
+    """Cross products of constant, lagged steps, level and step over the rows from ``skip`` on."""
+    return f"""list_transform(range(1, {lags} + 4), lambda i: list_transform(range(1, {lags} + 4), lambda j:
+        list_sum(list_transform(range({skip}, n - 1), lambda a:
+            (CASE WHEN i = 1 THEN 1.0 WHEN i = {{level}} THEN lv[a + 1] WHEN i = {lags} + 3 THEN st[a + 1] ELSE st[a + 1 - (i - {{back}})] END)
+          * (CASE WHEN j = 1 THEN 1.0 WHEN j = {{level}} THEN lv[a + 1] WHEN j = {lags} + 3 THEN st[a + 1] ELSE st[a + 1 - (j - {{back}})] END)))))"""
+
+
+_ELIMINATED = "list_transform(m, lambda r: list_transform(range(1, len(m) + 1), lambda j: r[j] - r[k + 1] * m[k + 1][j] / m[k + 1][k + 1]))"
+
+ORACLE["stationarity"] = f"""WITH RECURSIVE {SQL_SPINE}, s AS (
+  SELECT "Product Name" AS p, CAST("Total Quantity" AS DOUBLE) AS y, row_number() OVER w AS rn,
+         lag(CAST("Total Quantity" AS DOUBLE)) OVER w AS lv FROM spine WHERE "Total Quantity" IS NOT NULL
+  WINDOW w AS (PARTITION BY "Product Name" ORDER BY "Date")),
+g AS (SELECT p, count(*) AS n, list(lv ORDER BY rn) FILTER (WHERE rn > 1) AS lv, list(y - lv ORDER BY rn) FILTER (WHERE rn > 1) AS st,
+         max(y) > min(y) AS varies, least(ceil(12 * pow(count(*) / 100.0, 0.25)), count(*) // 2 - 2)::BIGINT AS top FROM s GROUP BY p),
+one AS (SELECT p, 0 AS k, {_gram("top", "top").format(level=2, back=2)} AS m, []::DOUBLE[] AS rest, n, top
+        FROM g WHERE n >= 8 AND top >= 0 AND varies),
+e AS (SELECT * FROM one UNION ALL
+      SELECT p, k + 1, x, list_append(rest, x[top + 3][top + 3]), n, top
+      FROM (SELECT p, k, {_ELIMINATED} AS x, rest, n, top FROM e WHERE k < top + 2)),
+b AS (SELECT p, unnest(range(0, top + 1)) AS lags,
+         unnest(list_transform(rest[2:], lambda r, k: (n - 1 - top) * ln(greatest(r, 1e-300) / (n - 1 - top)) + 2 * (k + 1))) AS aic
+      FROM e WHERE k = top + 2),
+best AS (SELECT p, lags FROM b QUALIFY row_number() OVER (PARTITION BY p ORDER BY aic, lags) = 1),
+two AS (SELECT p, 0 AS k, {_gram("lags", "lags").format(level="lags + 2", back=1)} AS m, n, lags FROM g JOIN best USING (p)),
+f AS (SELECT * FROM two UNION ALL SELECT p, k + 1, {_ELIMINATED}, n, lags FROM f WHERE k < lags + 1),
+t AS (SELECT p, lags, n - 1 - lags AS used, m[lags + 2][lags + 2] AS sxx, m[lags + 2][lags + 3] AS sxy, m[lags + 3][lags + 3] AS syy
+      FROM f WHERE k = lags + 1),
+a AS (SELECT p, lags, used, sxy / sxx / sqrt((syy - sxy * sxy / sxx) / (used - lags - 2) / sxx) AS tau FROM t),
+z AS (SELECT *, CASE WHEN tau <= -1.61 THEN 2.1659 + 1.4412 * tau + 0.038269 * tau * tau
+             ELSE 1.7339 + 0.93202 * tau - 0.12745 * tau * tau - 0.010368 * tau * tau * tau END AS x FROM a),
+q AS (SELECT *, CASE WHEN tau > 2.74 THEN 1.0 WHEN tau < -18.83 THEN 0.0 WHEN x < -7 THEN 0.0 WHEN x > 7 THEN 1.0 ELSE
+        0.5 + exp(-x * x / 2) / sqrt(2 * pi()) * list_sum(list_transform(range(0, 150), lambda k:
+          sign(x) * exp((2 * k + 1) * ln(greatest(abs(x), 1e-300)) - (k + 1) * ln(2) - lgamma(k + 1.5) + ln(pi()) / 2))) END AS pv FROM z)
+SELECT g.p AS "Product Name", round(tau, 6) AS adf_statistic, CAST(lags AS INT) AS adf_lags, CAST(coalesce(used, g.n) AS INT) AS n_used,
+       round(pv, 6) AS p_value, CASE WHEN pv < 0.05 THEN 'Yes' ELSE 'No' END AS stationary
+FROM g LEFT JOIN q ON g.p = q.p"""

@@ -9,7 +9,7 @@ import pytest
 from helpers import values
 from pyspark.sql import functions as F
 
-from demandloom.functions.dickey_fuller import augmented_t, mackinnon_p
+from demandloom.functions import dickey_fuller
 from demandloom.functions.ks import asymptotic_p, exact_p
 from demandloom.operators import drift, evaluate, features, series
 from demandloom.plans import monitoring
@@ -170,14 +170,71 @@ def test_stationarity(spark):
     assert plain["noise"] < -8 and plain["flat"] is None
 
 
-def test_critical_values_by_simulation():
-    """Under a random walk about 5 % of the statistics fall below the 5 % point."""
-    assert mackinnon_p(-2.86) == pytest.approx(0.05, abs=0.002)
-    assert mackinnon_p(-3.43) == pytest.approx(0.01, abs=0.001)
-    assert (mackinnon_p(5.0), mackinnon_p(-30.0), mackinnon_p(None)) == (1.0, 0.0, None)
-    rng = np.random.default_rng(4)
-    p = [mackinnon_p(augmented_t(np.cumsum(rng.normal(size=150)))[0]) for _ in range(200)]
-    assert 0.01 < np.mean(np.array(p) < 0.05) < 0.12
+def plain_augmented(y):
+    """Statistic, lags and rows by least squares for every order, one regression at a time."""
+    y = np.asarray(y, float)
+    n, dy = len(y), np.diff(y)
+    top = min(math.ceil(12 * (n / 100) ** 0.25), n // 2 - 2)
+    if n < 8 or top < 0 or np.ptp(y) == 0:
+        return None, None, n
+
+    def fit(lags, skip):
+        at = np.arange(skip, n - 1)
+        x = np.column_stack([np.ones(len(at)), y[at], *[dy[at - k] for k in range(1, lags + 1)]])
+        beta, *_ = np.linalg.lstsq(x, dy[at], rcond=None)
+        error = dy[at] - x @ beta
+        rss = float(error @ error)
+        spread = math.sqrt(rss / (len(at) - x.shape[1]) * np.linalg.pinv(x.T @ x)[1, 1]) if len(at) > x.shape[1] else 0.0
+        return rss, len(at), float(beta[1] / spread) if spread else None
+
+    scores = []
+    for lags in range(top + 1):
+        rss, rows, _ = fit(lags, top)
+        scores.append(rows * math.log(max(rss, 1e-300) / rows) + 2 * (lags + 2))
+    best = int(np.argmin(scores))
+    return fit(best, best)[2], best, n - 1 - best
+
+
+def test_augmented_against_least_squares(spark):
+    rng, made = np.random.default_rng(6), {}
+    for k, n in enumerate([8, 9, 12, 30, 31, 90, 250, 700]):
+        made[f"noise{k}"] = (100 + rng.normal(0, 10, n)).astype(int).tolist()
+        made[f"walk{k}"] = (500 + np.cumsum(rng.normal(0, 9, n))).astype(int).tolist()
+        made[f"week{k}"] = [10 * (i % 7) + int(rng.integers(0, 4)) for i in range(n)]
+    made["flat"], made["short"] = [3] * 40, [1, 2, 3]
+    table = None
+    for name, y in made.items():
+        part = daily(spark, y, name)
+        table = part if table is None else table.unionByName(part)
+    found = {r[PRODUCT]: r for r in series.stationarity(table).collect()}
+    assert set(found) == set(made)
+    for name, y in made.items():
+        statistic, lags, used = plain_augmented(y)
+        row = found[name]
+        assert (row.adf_lags, row.n_used) == (lags, used), name
+        assert row.adf_statistic == (statistic if statistic is None else pytest.approx(statistic, rel=1e-6)), name
+
+
+def test_augmented_of_special_series(spark):
+    """Null values, an exact straight line, and a table without any series long enough."""
+    noise = np.random.default_rng(8).integers(0, 50, 40).tolist()
+    gaps = daily(spark, [None, 5, None, *noise], "gaps")
+    line = daily(spark, list(range(50)), "line")
+    found = {r[PRODUCT]: r for r in series.stationarity(gaps.unionByName(line)).collect()}
+    assert found["gaps"].adf_statistic == pytest.approx(plain_augmented([5, *noise])[0], rel=1e-6)
+    assert found["line"].adf_statistic is None and found["line"].stationary == "No"
+    assert [r.n_used for r in series.stationarity(daily(spark, [1, 2])).collect()] == [2]
+    assert series.stationarity(daily(spark, [])).collect() == []
+
+
+def test_p_values(spark):
+    """The normal distribution function to many digits, and the ends of the surface."""
+    frame = spark.createDataFrame([(x / 7,) for x in range(-60, 61)], "x double")
+    for r in frame.select("x", dickey_fuller.normal_cdf(F.col("x")).alias("p")).collect():
+        assert r.p == pytest.approx(math.erfc(-r.x / math.sqrt(2)) / 2, rel=1e-9)
+    taus = spark.createDataFrame([(-30.0,), (-3.43,), (-2.86,), (5.0,), (None,)], "t double")
+    got = [r.p for r in taus.select(dickey_fuller.mackinnon_p(F.col("t")).alias("p")).collect()]
+    assert got == [0.0, pytest.approx(0.01, abs=0.001), pytest.approx(0.05, abs=0.002), 1.0, None]
 
 
 def test_seasonal_choice_and_forecast(spark):
