@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from datetime import timedelta
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -28,6 +29,7 @@ from demandloom.session import configure, scratch_path, stage
 from demandloom.functions.text import processed_name
 from demandloom.sources import listing, manifest, readers, writers
 from demandloom.sources.ledger import read_ledger
+from demandloom.streaming import live
 from demandloom.streaming.ingest import clean_arriving_files, stream_files
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -599,6 +601,16 @@ def stream_pipeline(spark, sf_dir):
     return _published(spark, output)
 
 
+@query
+def live_daily(spark, sf_dir):
+    """Files of transactions as a live stream, one file a batch; every ID counts once in two months."""
+    inbox = _export_files(views.raw_events(spark, sf_dir), RAW_COLUMNS)
+    job = live.LiveDemand(spark, scratch_path(spark, "live"), timedelta(days=60))
+    rows = live.stream_transactions(spark, inbox, "csv", max_files=1)
+    job.start(rows, scratch_path(spark, "checkpoint"), once=True).awaitTermination()
+    return job.current_daily()
+
+
 def _bad_inbox(spark, sf_dir) -> str:
     """Every second file has a quantity that is no number."""
     odd = F.regexp_extract(SOURCE_FILE, r"(\d+)", 1).cast("long") % 2 == 1

@@ -487,6 +487,11 @@ ORACLE: dict[str, str] = {
     "folder_pipeline": PIPELINE_DAILY,
     "stream_pipeline": PIPELINE_DAILY,
     "folder_quoted": PIPELINE_DAILY,
+    "live_daily": f"""WITH {SQL_RAW}, {SQL_PARSED}, known AS (
+          SELECT source_file, row_seq, "Date" AS moment, {TIDY} AS product, {QTY} AS quantity, "Transaction ID" AS tx
+          FROM parsed WHERE "Date" IS NOT NULL AND {TIDY} IN {SQL_PRODUCT_SET}),
+        firsts AS (SELECT * FROM known QUALIFY row_number() OVER (PARTITION BY tx ORDER BY moment, source_file, row_seq) = 1)
+        SELECT CAST(moment AS DATE) AS "Date", product AS "Product Name", CAST(sum(quantity) AS BIGINT) AS "Total Quantity" FROM firsts GROUP BY 1, 2""",
     "quoted_csv": f"""WITH {SQL_RAW}, n AS (SELECT *, CAST(regexp_extract("Transaction ID", '(\\d+)', 1) AS BIGINT) % 3 AS k FROM raw)
         SELECT "Date", "Transaction ID", CASE WHEN k = 0 THEN 'Main "St", ' || "Store Location" || chr(10) || chr(10) || 'second, floor' || chr(10)
                WHEN k = 1 THEN "Store Location" || chr(10) || '"' ELSE "Store Location" END AS "Store Location",

@@ -6,10 +6,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from demandloom.operators.clean import coerce_types, keep_products, standardize_dates, tidy_products
 from demandloom.plans.retail import process_files
 from demandloom.session import staged_scope
-from demandloom.schema import BRONZE, DATE, PRODUCT, QUANTITY, TOTAL, TX_ID
 
 # Fixed value: how often new files are looked for.
 POLL_INTERVAL = "1 minute"
@@ -77,23 +75,3 @@ def clean_arriving_files(
         .trigger(**trigger)
         .start()
     )
-
-
-def stream_transactions(spark: SparkSession, path: str, fmt: str = "json") -> DataFrame:
-    """Raw text transactions from files that name their fields."""
-    return spark.readStream.schema(BRONZE).format(fmt).load(path)
-
-
-def live_daily_demand(rows: DataFrame, lateness: str = "2 days") -> DataFrame:
-    """Continuous daily demand: duplicates within the lateness bound are dropped and
-    a day is final once the watermark has passed it."""
-    typed = coerce_types(standardize_dates(rows))
-    known = keep_products(tidy_products(typed)).where(F.col(DATE).isNotNull())
-    stamped = known.withColumn("event_time", F.col(DATE).cast("timestamp"))
-    return (
-        stamped.withWatermark("event_time", lateness)
-        .dropDuplicatesWithinWatermark([TX_ID])
-        .groupBy(F.window("event_time", "1 day"), PRODUCT)
-        .agg(F.sum(QUANTITY).alias(TOTAL))
-        .select(F.to_date("window.start").alias(DATE), PRODUCT, TOTAL)
-    )

@@ -4,7 +4,6 @@ from __future__ import annotations
 
 import os
 import random
-import time
 from datetime import date, datetime, timedelta
 
 import pytest
@@ -302,28 +301,3 @@ def test_stream_of_files(spark, tmp_path, files):
     judged = spark.read.parquet(verdicts)
     assert judged.count() == 4
     assert values(judged.where("not valid"), "rows") == [(1,)]
-
-
-def test_live_daily_demand(spark, tmp_path):
-    inbox = tmp_path / "live"
-    inbox.mkdir()
-    rows = [("2024-03-04 10:00:00", "1", "5", "T1", "s", " Milk ", "1"), ("2024-03-04 11:00:00", "1", "7", "T1", "s", "milk", "1"),
-            ("2024-03-04 12:00:00", "1", "2", "T2", "s", "milk", "1"), ("2024-03-05 12:00:00", "1", "1", "T3", "s", "tea", "1"),
-            ("2024-03-20 12:00:00", "1", "1", "T4", "s", "milk", "1")]
-    df = spark.createDataFrame(rows, BRONZE)
-    df.coalesce(1).write.mode("append").json(str(inbox))
-    stream = ingest.live_daily_demand(ingest.stream_transactions(spark, str(inbox)))
-    query = (
-        stream.writeStream.format("memory").queryName("live").outputMode("append")
-        .option("checkpointLocation", str(tmp_path / "state")).start()
-    )
-    try:
-        query.processAllAvailable()
-        time.sleep(0.1)
-        found = spark.table("live").collect()
-        assert [(r[0], r[1], r[2]) for r in found][0][:2] == (date(2024, 3, 4), "milk")
-        # Of two rows with one ID in a micro-batch, Spark keeps the one that comes first
-        # out of the shuffle; either sum is right.
-        assert found[0][2] in (7, 9)
-    finally:
-        query.stop()
