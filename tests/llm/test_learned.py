@@ -74,49 +74,132 @@ def test_long_texts_are_cut_at_white_space():
 
 def test_toxicity_on_held_out(spark):
     docs, labels, truth = corpus(spark)
-    terms, weights, bias = toxicity.fit(docs, labels, per_class=200)
+    model = toxicity.fit(docs, labels, per_class=200)
+    terms = model.terms
     assert {"grumblefoot", "snotbag", "wretchling"} <= set(terms) | {t for t in ("grumblefoot", "snotbag", "wretchling") if any(t.startswith(s.rstrip("*")) for s in terms if s.endswith("*"))}
-    rows = toxicity.score_texts(docs, (terms, weights, bias)).collect()
+    rows = toxicity.score_texts(docs, model).collect()
     assert all(r.held_out == fold(r.doc_id, 4, 2) and r.predicted == int(r.score >= 0.3) for r in rows)
     held = [r for r in rows if r.held_out and truth.get(r.doc_id, (0, None))[1] is not None]
     assert len(held) > 150 and sum(r.predicted == truth[r.doc_id][1] for r in held) / len(held) > 0.97
-    assert toxicity.score_texts(docs.limit(0), (terms, weights, bias)).count() == 0
+    assert toxicity.score_texts(docs.limit(0), model).count() == 0
 
 
 def distance(a, b):
-    row = list(range(len(b) + 1))
-    for i, x in enumerate(a, 1):
-        row = _next(row, i, x, b)
-    return row[-1]
-
-
-def _next(row, i, x, b):
-    out = [i]
-    for j, y in enumerate(b, 1):
-        out.append(min(row[j] + 1, out[-1] + 1, row[j - 1] + (x != y)))
-    return out
+    """Edits between two words; a swap of neighbours is one edit."""
+    rows = [[j if i == 0 else i if j == 0 else 0 for j in range(len(b) + 1)] for i in range(len(a) + 1)]
+    for i in range(1, len(a) + 1):
+        for j in range(1, len(b) + 1):
+            best = min(rows[i - 1][j] + 1, rows[i][j - 1] + 1, rows[i - 1][j - 1] + (a[i - 1] != b[j - 1]))
+            if i > 1 and j > 1 and a[i - 1] == b[j - 2] and a[i - 2] == b[j - 1]:
+                best = min(best, rows[i - 2][j - 2] + 1)
+            rows[i][j] = best
+    return rows[-1][-1]
+
+
+def plain_find(terms, word):
+    """Terms and misspelled terms by edit distance; a stem against every beginning of the word."""
+    exact, near = False, set()
+    for k, term in enumerate(terms):
+        forms = [word[:i] for i in range(len(word) + 1)] if term.endswith("*") else [word]
+        least = min(distance(f, term.rstrip("*")) for f in forms)
+        exact |= least == 0
+        if least == 1:
+            near.add(k)
+    return exact, near
 
 
 def test_automaton_is_edit_distance_one():
-    terms = ["grumble", "snotbag", "badword"]
-    lexicon = toxicity.Lexicon(terms)
-    rng = random.Random(4)
-    for _ in range(4000):
-        word = list(rng.choice(terms))
+    terms = ["grumble", "snotbag", "bad", "ab", "scum", "scam*", "wretch*", "idiot"]
+    lexicon, rng = toxicity.Lexicon(terms), random.Random(4)
+    for n in range(6000):
+        word = list(rng.choice(terms).rstrip("*") if n % 7 else "".join(rng.choice("abcsu") for _ in range(rng.randint(1, 6))))
         for _ in range(rng.randint(0, 2)):
-            at = rng.randint(1, len(word) - 1)
-            word[at : at + rng.randint(0, 1)] = rng.choice(["", "x", "b", "um"])
+            at = rng.randint(0, len(word))
+            if rng.random() < 0.3 and len(word) > 1:
+                at = rng.randint(0, len(word) - 2)
+                word[at], word[at + 1] = word[at + 1], word[at]
+            else:
+                word[at : at + rng.randint(0, 1)] = rng.choice(["", "x", "b", "um", "é"])
         word = "".join(word)
-        near = min(distance(word, t) for t in terms if t[0] == word[0])
-        assert lexicon.find(word) == (2 if near == 0 else 1 if near == 1 else 0), word
+        exact, near = lexicon.find(word)
+        wanted_exact, wanted = plain_find(terms, word)
+        assert exact == wanted_exact, word
+        # Terms that match exactly have near forms too; of the others none may be missing or wrong.
+        own = {k for k, t in enumerate(terms) if plain_find([t], word)[0]}
+        assert near - own == wanted - own, (word, near, wanted)
+
+
+def test_misspellings_of_every_kind():
+    lexicon = toxicity.Lexicon(["idiot", "scum", "moron"])
+    for word in ("1diot", "ldiot", "idoit", "scvm", "xmoron", "idi0t", "moronx", "cum", "mroon", "oron"):
+        exact, near = lexicon.find(word)
+        assert not exact and len(near) == 1, word
+    assert lexicon.find("moronxx") == (False, frozenset()) and lexicon.find("") == (False, frozenset())
+
+
+def test_automaton_states_are_bounded(monkeypatch):
+    monkeypatch.setattr(toxicity, "CACHE_STATES", 20)
+    lexicon, rng = toxicity.Lexicon(["grumble", "bad*"]), random.Random(2)
+    for _ in range(300):
+        word = "".join(rng.choice("grumbleda") for _ in range(rng.randint(1, 9)))
+        assert lexicon.find(word)[0] == (word == "grumble" or word.startswith("bad"))
+        assert len(lexicon.states) < 40
 
 
-def test_stems_and_quotes():
-    scan = toxicity.Scanner(["grumble*", "snotbag"])
+def scanner(terms, **more):
+    import numpy as np
+
+    model = toxicity.Model(terms, [0.5] * len(terms), [], [], [], np.zeros(toxicity.N_FEATURES), 0.0)
+    return toxicity.Scanner(model._replace(**more))
+
+
+def test_stems_quotes_cues_and_clean_words():
+    scan = scanner(["grumble*", "snotbag"], clean=["snotbat"], quoting=["reportedly"], addressing=["thee"])
     assert scan.features("a Grumblefoot, b")[0] == 1.0
-    assert scan.features('he said "snotbag" loudly')[0] == 0.0
-    assert scan.features("you snotbag")[3] > 0 and scan.features("")[0] == 0.0
+    assert scan.features('then "snotbag" loudly')[0] == 0.0 and scan.features('then "snotbag" loudly')[2] > 0
+    assert scan.features("the “big snotbag here” went")[0] == 0.0
+    assert scan.features("reportedly a snotbag")[1] == 0.0 and scan.features("for thee a snotbag")[3] > 0
     assert scan.features("snotbag " * 3)[1] > scan.features("snotbog " * 3)[1] > 0
+    # A word of clean texts is no misspelling.
+    assert scan.features("snotbat")[1] == 0.0 and scan.features("")[0] == 0.0
+    assert scanner(["snotbag"], shares=[0.1]).features("snotbog")[0] == 0.0
+
+
+def test_slices_of_a_long_text(monkeypatch):
+    rng = random.Random(8)
+    text = " ".join(rng.choice(["a", "b", '"x', 'y"', "snotbag", "snotbog", "thee", "reportedly"]) for _ in range(500))
+    scan = scanner(["snotbag"], quoting=["reportedly"], addressing=["thee"])
+    whole = scan.features(text)
+    uses = toxicity.uses(*next(toxicity.slices(text)))
+    for size in (1, 3, 7, 100, 499):
+        monkeypatch.setattr(toxicity, "SLICE", size)
+        parts = list(toxicity.slices(text))
+        assert [w for p, s, e in parts for w in p[s:e]] == text.split()
+        assert scan.features(text) == whole
+        assert set().union(*(toxicity.uses(*p) for p in parts)) == uses
+
+
+def test_what_is_learned_besides_terms(spark):
+    """Clean words near a term are known, and cue words stand where hits are clean."""
+    rng = random.Random(12)
+    word = lambda: "".join(rng.choice(["ba", "ke", "lo", "mi", "nu"]) for _ in range(3))
+    docs, labels = [], []
+    for i in range(600):
+        parts = [word() for _ in range(30)]
+        kind = i % 3
+        if kind == 0:
+            for _ in range(3):
+                parts.insert(rng.randint(5, 25), "snotbag")
+        elif kind == 1 and i % 2:
+            parts[10:11] = ["someone", "reported", "snotbag", word()]
+        else:
+            parts[3] = "snotbaq"
+        docs.append((i, " ".join(parts), "x", 1))
+        labels.append((i, 1, int(kind == 0), "x"))
+    model = toxicity.fit(spark.createDataFrame(docs, SCHEMA), spark.createDataFrame(labels, LABELS))
+    assert "snotbag" in model.terms or any("snotbag".startswith(t.rstrip("*")) for t in model.terms if t.endswith("*"))
+    assert "snotbaq" in model.clean and min(model.shares) <= toxicity.FUZZY_SHARE / 2
+    assert {"reported", "someone"} <= set(model.quoting)
 
 
 def test_rows_of_one_id_do_not_crowd_out_the_others(spark, make_docs):
