@@ -8,6 +8,12 @@
    exactly, and the hash of the decoded text comes with them.
 
 All stages but the last return the columns of ``documents``.
+
+Defined results: a null or empty text is scored like any other text; if kept, it has no lines, links
+to other empty texts in SimHash, contains no item and has no pieces.  Repeated rows are scored and
+cleaned alike; of rows with equal ids SimHash keeps what ``simhash.keep_one`` states.  Columns
+other than those of the operators are carried along, whatever their names.  An empty table
+gives an empty result.  Without labels every score is the same.
 """
 
 from __future__ import annotations
