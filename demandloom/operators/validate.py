@@ -21,6 +21,7 @@ NULL_DATE_MESSAGE = "Date cannot be null"
 DATE_SHAPE_MESSAGE = "Date must be in a valid date format"
 BAD_VALUE_MESSAGE = "Bad value in "
 OPEN_QUOTE_MESSAGE = "The file ends inside a quoted field"
+DOCUMENT_MESSAGE = "The file is not a complete JSON document"
 # A comma with an even number of quotes behind it.
 OUTSIDE_QUOTES = r',(?=(?:[^"]*"[^"]*")*[^"]*$)'
 ALL_VALID, SOME_VALID, NONE_VALID = 0, 1, 2
@@ -151,6 +152,29 @@ def file_verdicts(lines: DataFrame, files: DataFrame, required: list[str] = RAW_
     ).withColumn("valid", F.col("error").isNull())
 
 
+def document_verdicts(found: DataFrame, files: DataFrame, required: list[str] = RAW_COLUMNS) -> DataFrame:
+    """Verdict per JSON document, in the columns of ``file_verdicts``; a document has no header.
+
+    ``found`` has (file_path, rows, has, broken) as ``documents.document_rows`` gives it.
+    """
+    judged = files.select("file_path").join(found, "file_path", "left")
+    absent = F.array_except(F.array(*[F.lit(c) for c in required]), "has")
+    rows = F.coalesce(F.col("rows"), F.lit(0))
+    error = (
+        F.when(F.col("broken"), F.lit(DOCUMENT_MESSAGE))
+        .when(rows <= 0, F.lit(EMPTY_MESSAGE))
+        .when(F.size(absent) > 0, F.concat(F.lit(MISSING_MESSAGE), F.concat_ws(", ", absent)))
+    )
+    return judged.select(
+        "file_path",
+        F.lit(None).cast("string").alias("header"),
+        F.lit(None).cast("struct<block_start:bigint,line_no:bigint>").alias("first"),
+        F.lit(False).alias("breaks"),
+        rows.alias("rows"),
+        error.alias("error"),
+    ).withColumn("valid", F.col("error").isNull())
+
+
 def bad_values(raw: DataFrame, per: str = SOURCE_FILE) -> DataFrame:
     """(file_path, bad): columns of a file that hold a text no number can be read from.
 

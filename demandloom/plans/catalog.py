@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable
 from datetime import timedelta
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -27,7 +27,7 @@ from demandloom.schema import (
 )
 from demandloom.session import configure, scratch_path, stage
 from demandloom.functions.text import processed_name
-from demandloom.sources import listing, manifest, readers, writers
+from demandloom.sources import documents, listing, manifest, readers, writers
 from demandloom.sources.ledger import read_ledger
 from demandloom.streaming import live
 from demandloom.streaming.ingest import clean_arriving_files, stream_files
@@ -499,6 +499,65 @@ def json_source(spark, sf_dir):
     return _slim(readers.read_files(spark, path, "jsonl"))
 
 
+def _export_documents(df: DataFrame, frames: str = "false") -> str:
+    """One JSON document per source: an array in row order, or columns where ``frames`` holds.
+
+    A source is a small file in these tables.
+    """
+    path = scratch_path(df.sparkSession, "documents")
+    numbered = df.withColumn("_row", F.row_number().over(Window.partitionBy(SOURCE_FILE).orderBy(SEQ)) - 1)
+    listed = numbered.where(~F.expr(frames)).select(
+        SOURCE_FILE, F.lit(0).alias("_col"), "_row", F.to_json(F.struct(*[F.col(f"`{c}`") for c in RAW_COLUMNS])).alias("_text")
+    )
+    cell = lambda c: F.regexp_extract(F.to_json(F.struct(F.col(f"`{c}`").alias("v")), {"ignoreNullFields": "false"}), r"(?s)\A\{\"v\":(.*)\}\z", 1)
+    members = numbered.where(frames).select(
+        SOURCE_FILE, "_row", F.explode(F.array(*[F.struct(F.lit(i).alias("i"), F.lit(c).alias("name"), cell(c).alias("v")) for i, c in enumerate(RAW_COLUMNS)])).alias("m")
+    )
+    keyed = F.concat(F.lit('"'), F.col("_row"), F.lit('": '), F.col("m.v"))
+    column = F.concat(F.lit('"'), F.col("m.name"), F.lit('": {'))
+    named = F.when(F.col("_row") > 0, keyed).when(F.col("m.i") == 0, F.concat(column, keyed)).otherwise(F.concat(F.lit("},"), column, keyed))
+    framed = members.select(SOURCE_FILE, F.col("m.i").alias("_col"), "_row", named.alias("_text"))
+    kinds = listed.withColumn("_ends", F.array(F.lit("["), F.lit("]"))).unionByName(framed.withColumn("_ends", F.array(F.lit("{"), F.lit("}}"))))
+    order = Window.partitionBy(SOURCE_FILE).orderBy("_col", "_row")
+    glue = F.when(F.lag("_row").over(order).isNull(), F.col("_ends")[0]).when(F.col("_text").startswith("},"), "").otherwise(",")
+    tail = F.when(F.lead("_row").over(order).isNull(), F.col("_ends")[1]).otherwise("")
+    lines = kinds.select(SOURCE_FILE, "_col", "_row", F.concat(glue, "_text", tail).alias("value"))
+    # Lines as they are: the other options only switch off what the writer of delimited text would add.
+    raw_text = {"extension": "json", "quote": "\u0000", "escape": "\u0000", "sep": "\u0001", "ignoreLeadingWhiteSpace": "false", "ignoreTrailingWhiteSpace": "false"}
+    lines.repartition(SOURCE_FILE).sortWithinPartitions(SOURCE_FILE, "_col", "_row").select(SOURCE_FILE, "value").write.options(**raw_text).partitionBy(SOURCE_FILE).csv(path)
+    return path
+
+
+def _odd_stores(raw: DataFrame) -> DataFrame:
+    """Store names with brackets, quotes, commas and backslashes, among plain ones."""
+    number = F.regexp_extract(TX_ID, r"(\d+)", 1).cast("long")
+    odd = F.concat(F.lit('a "b" }, {'), F.col(STORE), F.lit("],\\"))
+    return raw.withColumn(STORE, F.when(number % 3 == 0, odd).otherwise(F.col(STORE)))
+
+
+@query
+def json_array_source(spark, sf_dir):
+    """Arrays of objects, each cut and read by many tasks."""
+    path = _export_documents(_odd_stores(views.raw_events(spark, sf_dir)))
+    return _slim(documents.read_json_array(spark, path))
+
+
+@query
+def json_columns_source(spark, sf_dir):
+    """Column documents, cut into members and turned into rows by their row key."""
+    path = _export_documents(_odd_stores(views.raw_events(spark, sf_dir)), "true")
+    return _slim(documents.read_json_columns(spark, path))
+
+
+@query
+def folder_json(spark, sf_dir):
+    """The folder job on JSON documents, every second one by columns: the same daily demand as from CSV."""
+    output = scratch_path(spark, "processed")
+    inbox = _export_documents(views.raw_events(spark, sf_dir), f"cast(regexp_extract({SOURCE_FILE}, '([0-9]+)', 1) as long) % 2 = 1")
+    retail.process_folder(spark, inbox, output, scratch_path(spark, "ledger"))
+    return _published(spark, output)
+
+
 def _export_files(df: DataFrame, columns: list[str]) -> str:
     """One CSV file per source, rows in order; a source is a small file in these tables."""
     path = scratch_path(df.sparkSession, "inbox")

@@ -298,7 +298,14 @@ def _defects() -> str:
     return f"WITH {SQL_RAW} SELECT defect, defect_rows, round(defect_rows / n, 9) AS rate FROM ({union})"
 
 
+ODD_STORES = f"""WITH {SQL_RAW}, n AS (SELECT *, CAST(regexp_extract("Transaction ID", '(\\d+)', 1) AS BIGINT) % 3 AS k FROM raw)
+        SELECT "Date", "Transaction ID", CASE WHEN k = 0 THEN 'a "b" }}, {{' || "Store Location" || '],' || chr(92) ELSE "Store Location" END AS "Store Location",
+               "Product Name", "Producer ID", CAST(price AS DOUBLE) AS "Unit Price", quantity || quantity_suffix AS "Quantity" FROM n"""
+
 ORACLE: dict[str, str] = {
+    "json_array_source": ODD_STORES,
+    "json_columns_source": ODD_STORES,
+    "folder_json": PIPELINE_DAILY,
     "daily_demand": f"""WITH {TYPED}
         SELECT CAST("Date" AS DATE) AS "Date", {TIDY} AS "Product Name",
                CAST(sum("Quantity") AS BIGINT) AS "Total Quantity"

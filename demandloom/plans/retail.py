@@ -5,6 +5,7 @@ from __future__ import annotations
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from demandloom.operators.aggregate import daily_demand
 from demandloom.operators.anomalies import anomaly_union, clean_rows, flag_anomalies
@@ -24,12 +25,14 @@ from demandloom.operators.validate import (
     add_bad_values,
     bad_values,
     batch_status,
+    document_verdicts,
     failing_rows,
     file_verdicts,
     validation_summary,
 )
-from demandloom.schema import BLOCK, PRICE, REFERENCE_PRODUCTS, SEQ, SOURCE_FILE
+from demandloom.schema import BLOCK, PRICE, RAW_COLUMNS, REFERENCE_PRODUCTS, SEQ, SOURCE_FILE
 from demandloom.session import stage, staged_scope
+from demandloom.sources.documents import document_rows
 from demandloom.sources.ledger import delete_sources, read_ledger, record, unprocessed
 from demandloom.sources.listing import list_files
 from demandloom.sources.readers import read_lines, read_valid_csv
@@ -109,15 +112,37 @@ def post_validate(daily: DataFrame) -> tuple[bool, DataFrame, DataFrame]:
 
 
 def pre_validate(spark: SparkSession, path: str) -> tuple[DataFrame, DataFrame]:
-    """(verdict per file, batch status) for the CSV files of a folder."""
-    verdicts, _ = judge_files(spark, path, list_files(spark, path))
+    """(verdict per file, batch status) for the CSV files and JSON documents of a folder."""
+    files = list_files(spark, path)
+    verdicts = judge_files(spark, path, files)[0]
     return verdicts, batch_status(verdicts)
 
 
-def judge_files(spark: SparkSession, path: str | list[str], files: DataFrame) -> tuple[DataFrame, DataFrame | None]:
+def judge_files(
+    spark: SparkSession, path: str | list[str], files: DataFrame
+) -> tuple[DataFrame, DataFrame | None, DataFrame | None]:
+    """(verdict per file, records of the CSV files that hold line breaks inside quotes, rows of the JSON documents).
+
+    Files named ``.json`` are documents, all others CSV; what no file needs is None.
+    """
+    is_document = F.lower("file_path").endswith(".json")
+    # A file scan takes its paths from the driver, as any Spark listing does.
+    documents = [r.file_path for r in files.where(is_document).select("file_path").collect()]
+    if not documents:
+        return *judge_csv(spark, path, files), None
+    rows, found = document_rows(spark, documents)
+    verdicts = stage(document_verdicts(found, files.where(is_document)), "verdicts")
+    plain = files.where(~is_document)
+    paths = [r.file_path for r in plain.select("file_path").collect()]
+    if not paths:
+        return verdicts, None, rows
+    others, records = judge_csv(spark, paths, plain)
+    return verdicts.unionByName(others), records, rows
+
+
+def judge_csv(spark: SparkSession, path: str | list[str], files: DataFrame) -> tuple[DataFrame, DataFrame | None]:
     """(verdict per file, records of the files that hold line breaks inside quotes, if any)."""
     verdicts = stage(file_verdicts(read_lines(spark, path), files), "verdicts")
-    # A file scan takes its paths from the driver, as any Spark listing does.
     broken = [r.file_path for r in verdicts.where("breaks").select("file_path").collect()]
     if not broken:
         return verdicts, None
@@ -126,6 +151,18 @@ def judge_files(spark: SparkSession, path: str | list[str], files: DataFrame) ->
     return stage(verdicts.where("not breaks").unionByName(again), "verdicts"), records
 
 
+def valid_rows(
+    spark: SparkSession, verdicts: DataFrame, records: DataFrame | None, documents: DataFrame | None
+) -> DataFrame | None:
+    """Text rows of all valid files, of either format; None if there is no valid file."""
+    raw = read_valid_csv(spark, verdicts, records)
+    valid = verdicts.where("valid and header is null").select(F.col("file_path").alias(SOURCE_FILE))
+    if documents is None or valid.isEmpty():
+        return raw
+    picked = documents.join(valid, SOURCE_FILE, "left_semi").select(*RAW_COLUMNS, SOURCE_FILE, BLOCK, SEQ)
+    return picked if raw is None else raw.unionByName(picked)
+
+
 def process_files(
     spark: SparkSession,
     files: DataFrame,
@@ -133,7 +170,7 @@ def process_files(
     cache: str | None = None,
     reports: str | None = None,
 ) -> DataFrame:
-    """Clean the listed CSV files and return the verdict per file.
+    """Clean the listed CSV files and JSON documents and return the verdict per file.
 
     Invalid files, those with a bad number in a cell included, do not stop the others; the
     verdict names the reason.  Every result replaces the partition of
@@ -142,11 +179,11 @@ def process_files(
     """
     # A file scan takes its paths from the driver, as any Spark listing does.
     paths = [r.file_path for r in files.select("file_path").collect()]
-    verdicts, records = judge_files(spark, paths, files)
-    raw = read_valid_csv(spark, verdicts, records)
+    verdicts, records, documents = judge_files(spark, paths, files)
+    raw = valid_rows(spark, verdicts, records, documents)
     if raw is not None:
         verdicts = stage(add_bad_values(verdicts, bad_values(raw)), "verdicts")
-        raw = read_valid_csv(spark, verdicts, records)
+        raw = valid_rows(spark, verdicts, records, documents)
     if raw is not None:
         done = verdicts.where("valid").select("file_path")
         result = run_batch(raw, block=BLOCK)
@@ -170,7 +207,7 @@ def process_folder(
     reports: str | None = None,
     delete_invalid: bool = False,
 ) -> int:
-    """Clean every new CSV file of a folder and return the batch status 0, 1 or 2.
+    """Clean every new CSV file and JSON document of a folder and return the batch status 0, 1 or 2.
 
     Files are recorded in the ledger after their results are written, invalid ones
     with the reason, so that no run reads them again; deletion is opt-in.

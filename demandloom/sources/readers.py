@@ -65,8 +65,8 @@ def read_files(
 ) -> DataFrame:
     """Read one file, several files or a folder; columns stay text by default.
 
-    A ``json`` file is one array and is parsed by one task, as the format demands;
-    use ``jsonl`` (one record per line) for large data.
+    A ``json`` file is one array and is parsed by one task; ``documents.read_json_array`` and
+    ``read_json_columns`` read such files by many.
 
     CSV columns are matched by header name and must come in schema order; see
     ``read_csv_by_name`` for files with their own column order or extra columns.
@@ -97,7 +97,7 @@ def read_valid_csv(spark: SparkSession, verdicts: DataFrame, records: DataFrame
     """
     # One row per different header and kind; files of one header are one scan.
     groups = (
-        verdicts.where("valid").groupBy("header", "breaks").agg(F.collect_list("file_path").alias("paths"))
+        verdicts.where("valid and header is not null").groupBy("header", "breaks").agg(F.collect_list("file_path").alias("paths"))
     ).collect()
     picked = []
     for g in groups:
