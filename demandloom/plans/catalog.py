@@ -27,7 +27,7 @@ from demandloom.schema import (
 )
 from demandloom.session import configure, scratch_path, stage
 from demandloom.functions.text import processed_name
-from demandloom.sources import documents, listing, manifest, readers, writers
+from demandloom.sources import documents, listing, manifest, readers, totals, writers
 from demandloom.sources.ledger import read_ledger
 from demandloom.streaming import live
 from demandloom.streaming.ingest import clean_arriving_files, stream_files
@@ -660,6 +660,23 @@ def stream_pipeline(spark, sf_dir):
     return _published(spark, output)
 
 
+@query
+def redelivery(spark, sf_dir):
+    """Daily totals after files were delivered again: odd ones changed, every third one shrunk, every seventh empty."""
+    typed = views.typed_events(spark, sf_dir)
+    daily = aggregate.daily_demand(clean.drop_incomplete(clean.keep_products(clean.tidy_products(typed))), [SOURCE_FILE])
+    final = stage(daily.withColumn("_no", F.regexp_extract(SOURCE_FILE, r"(\d+)", 1).cast("long")), "final")
+    odd, third, seventh = (F.col("_no") % k == r for k, r in ((2, 1), (3, 0), (7, 2)))
+    wrong = final.withColumn(TOTAL, F.when(odd, F.col(TOTAL) * 2 + 1).otherwise(F.col(TOTAL)))
+    files = final.select(F.col(SOURCE_FILE).alias("file_path"), "_no").distinct()
+    path = scratch_path(spark, "totals")
+    totals.deliver(wrong, files, path, 1)
+    totals.deliver(final, files.where(odd), path, 2)
+    totals.deliver(final.where(F.col(PRODUCT) < "d"), files.where(third), path, 3)
+    totals.deliver(final.limit(0), files.where(seventh), path, 4)
+    return totals.daily_totals(spark, path)
+
+
 @query
 def live_daily(spark, sf_dir):
     """Files of transactions as a live stream, one file a batch; every ID counts once in two months."""

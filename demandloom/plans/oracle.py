@@ -306,6 +306,10 @@ ORACLE: dict[str, str] = {
     "json_array_source": ODD_STORES,
     "json_columns_source": ODD_STORES,
     "folder_json": PIPELINE_DAILY,
+    "redelivery": f"""WITH {TYPED}, named AS (
+          SELECT *, {TIDY} AS product, CAST(replace(source_file, 'batch_', '') AS BIGINT) AS no FROM typed WHERE "Quantity" IS NOT NULL)
+        SELECT CAST("Date" AS DATE) AS "Date", product AS "Product Name", CAST(sum("Quantity") AS BIGINT) AS "Total Quantity"
+        FROM named WHERE product IN {SQL_PRODUCT_SET} AND (no % 3 <> 0 OR product < 'd') AND no % 7 <> 2 GROUP BY 1, 2""",
     "daily_demand": f"""WITH {TYPED}
         SELECT CAST("Date" AS DATE) AS "Date", {TIDY} AS "Product Name",
                CAST(sum("Quantity") AS BIGINT) AS "Total Quantity"

@@ -59,6 +59,20 @@ def merged_gap(order, n1, n2):
     return best
 
 
+def test_exact_p_of_large_samples():
+    for n, d in ((20_000, 0.01), (20_000, 0.03), (100_000, 0.009)):
+        assert exact_p(n, n, int(d * n * n)) == pytest.approx(asymptotic_p(n, n, d), rel=0.06)
+    assert exact_p(20_000, 20_000, 20_000**2 // 2) < 1e-290
+
+
+def test_exact_p_at_the_ends():
+    assert exact_p(3, 5, 16) == 0.0
+    assert exact_p(1, 1, 1) == 1.0
+    # Only the two orders that keep the samples apart reach the whole distance.
+    assert exact_p(40, 60, 2400) == pytest.approx(2 / math.comb(100, 40), rel=1e-9)
+    assert exact_p(300, 500, 150_000) == pytest.approx(2 / math.comb(800, 300), rel=1e-9)
+
+
 @pytest.mark.parametrize(("n1", "n2"), [(2, 2), (3, 5), (4, 4), (6, 3)])
 def test_exact_p_counts_all_merges(n1, n2):
     total = n1 + n2
