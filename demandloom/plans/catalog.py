@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from demandloom.operators import aggregate, anomalies, clean, dedup, demand, drift, evaluate
-from demandloom.operators import features, ordering, prices, profile, series, validate
+from demandloom.operators import features, ordering, prices, profile, series, smoothing, validate
 from demandloom.plans import monitoring, retail, views
 from demandloom.schema import (
     DATE,
@@ -359,6 +359,17 @@ def seasonal_forecast(spark, sf_dir):
     return series.seasonal_forecast(stage(views.spine(spark, sf_dir), "spine"))
 
 
+@query
+def smoothed_baseline(spark, sf_dir):
+    found = smoothing.smoothed_baseline(views.spine(spark, sf_dir))
+    return rounded(rounded(found, 6, ["mae", "mse", "rmse", "mape"]), 4, ["aic"])
+
+
+@query
+def smoothed_forecast(spark, sf_dir):
+    return rounded(smoothing.smoothed_forecast(views.spine(spark, sf_dir)))
+
+
 # --- demand modelling -----------------------------------------------------
 
 
@@ -741,3 +752,82 @@ def file_names(spark, sf_dir):
     docs = views.table(spark, sf_dir, "documents")
     path = F.concat(F.lit("in/box/"), F.col("source"), F.lit(" "), F.col("doc_id") % 50, F.lit(".v2.json"))
     return docs.select(processed_name(path).alias("output_name")).distinct()
+
+
+@query
+def stats_document(spark, sf_dir):
+    """The statistics document of the daily demand, written and read back."""
+    path = writers.write_stats(profile.numeric_stats(views.daily(spark, sf_dir)), scratch_path(spark, "stats"))
+    entries = F.from_json("value", "map<string, map<string, map<string, double>>>")
+    products = spark.read.text(path).select(F.explode(entries).alias(PRODUCT, "columns"))
+    columns = products.select(PRODUCT, F.explode("columns").alias("column", "entry"))
+    return rounded(columns.select(PRODUCT, "column", *[F.col("entry")[k].alias(k) for k in profile.STATISTICS]))
+
+
+@query
+def version_log(spark, sf_dir):
+    """Three versions of the documents appended to a log: all, some gone and some edited, none."""
+    docs, path = views.table(spark, sf_dir, "documents"), scratch_path(spark, "versions")
+    edited = F.when(F.col("doc_id") % 7 == 0, F.concat("text", F.lit(" "))).otherwise(F.col("text"))
+    for day, table in ((1, docs), (2, docs.where("doc_id % 10 <> 3").withColumn("text", edited)), (3, docs.where("doc_id is null"))):
+        files = table.select(
+            F.concat_ws("/", "source", "doc_id").alias("file_path"),
+            F.octet_length("text").cast("long").alias("size"),
+            F.md5("text").alias("digest"),
+            F.timestamp_seconds(F.lit(0)).alias("updated"),
+        )
+        manifest.append_version(files, path, f"2024-01-0{day} 00:00:00")
+    log = manifest.read_manifest(spark, path)
+    return manifest.version_documents(log).select("file_path", "document")
+
+
+@query
+def version_success(spark, sf_dir):
+    """Whether a version of the documents of each source would count as made, when short texts are left out."""
+    docs = views.table(spark, sf_dir, "documents")
+    long_texts = docs.where(F.length("text") > 1000)
+    every, some = docs.select("doc_id"), long_texts.select("doc_id")
+    return (
+        manifest.versioning_succeeded(every, some).select(F.lit("long texts").alias("case"), "success")
+        .unionByName(manifest.versioning_succeeded(every, docs.where("doc_id is null")).select(F.lit("nothing").alias("case"), "success"))
+        .unionByName(manifest.versioning_succeeded(docs.where("doc_id is null"), docs.where("doc_id is null")).select(F.lit("none found").alias("case"), "success"))
+    )
+
+
+@query
+def empty_daily(spark, sf_dir):
+    """A daily table of which no row is left: a message, but no error."""
+    none = views.daily_text(spark, sf_dir).where(F.length(TOTAL) < 0)
+    return validate.validation_summary(none).withColumns(
+        {c: F.concat_ws(", ", c) for c in ("results", "missing_columns")}
+    )
+
+
+@query
+def post_validation(spark, sf_dir):
+    """Verdict, failing rows and statistics of the daily demand, with every 50th day's demand taken back."""
+    taken = F.when(F.dayofyear(DATE) % 50 == 0, -F.col(TOTAL)).otherwise(F.col(TOTAL))
+    passed, failing, stats = retail.post_validate(stage(views.daily(spark, sf_dir).withColumn(TOTAL, taken), "daily"))
+    counts = failing.groupBy(PRODUCT, "anomaly_reason").agg(F.count(F.lit(1)).alias("failing"))
+    return rounded(stats.select(PRODUCT, "mean", "min", "max").join(counts, PRODUCT, "left").withColumn("passed", F.lit(passed)))
+
+
+@query
+def base_price(spark, sf_dir):
+    part = views.table(spark, sf_dir, "part")
+    price = F.col("p_retailprice").cast("double")
+    known = F.when(F.col("p_partkey") % 3 == 0, price * 2 + 0.004)
+    return part.select("p_partkey", demand.base_price(known, price).alias("price"))
+
+
+@query
+def forward_fill(spark, sf_dir):
+    """Two columns with gaps, each carried forward by itself."""
+    daily = views.daily(spark, sf_dir)
+    gaps = daily.withColumns(
+        {
+            TOTAL: F.when(F.dayofmonth(DATE) % 3 != 0, F.col(TOTAL)),
+            "weekly": F.when(F.weekday(DATE) == 0, F.col(TOTAL)),
+        }
+    )
+    return ordering.forward_fill(gaps, [TOTAL, "weekly"], [PRODUCT], DATE)

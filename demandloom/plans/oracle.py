@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 from demandloom.operators.demand import INFLATION_RATES
+from demandloom.operators.smoothing import LEVEL_WEIGHTS, SEASON_WEIGHTS, TREND_WEIGHTS
+from demandloom.operators.validate import EMPTY_MESSAGE, POSITIVE_MESSAGE
 from demandloom.plans.views import (
     SQL_DAILY,
     SQL_DAILY_TEXT,
@@ -576,3 +578,86 @@ q AS (SELECT *, CASE WHEN tau > 2.74 THEN 1.0 WHEN tau < -18.83 THEN 0.0 WHEN x
 SELECT g.p AS "Product Name", round(tau, 6) AS adf_statistic, CAST(lags AS INT) AS adf_lags, CAST(coalesce(used, g.n) AS INT) AS n_used,
        round(pv, 6) AS p_value, CASE WHEN pv < 0.05 THEN 'Yes' ELSE 'No' END AS stationary
 FROM g LEFT JOIN q ON g.p = q.p"""
+
+
+def _smoothed(name: str, upto: str, points: str) -> str:
+    """Level, trend and seasons after every day: a recursion over the days, from the end of the first season."""
+    keys = "s.p, s.period, s.alpha, s.beta, s.gamma, s.score_from"
+    return f"""SELECT {keys}, v.n, v.last_date, s.period AS pos, v.f AS level, (v.l - v.f) / s.period AS trend,
+           list_transform(v.head, lambda x: x - v.f) AS seasons, 0.0::DOUBLE AS sse
+      FROM {points} s JOIN halves v ON v.p = s.p AND v.period = s.period
+    UNION ALL
+    SELECT {keys}, n, last_date, pos + 1, level_, beta * (level_ - level) + (1 - beta) * trend,
+           list_append(seasons[2:], gamma * (y - level_) + (1 - gamma) * seasons[1]),
+           sse + CASE WHEN pos >= score_from THEN miss * miss ELSE 0.0 END
+      FROM (SELECT s.*, o.y, o.y - (s.level + s.trend + s.seasons[1]) AS miss,
+                   s.alpha * (o.y - s.seasons[1]) + (1 - s.alpha) * (s.level + s.trend) AS level_
+            FROM {name} s JOIN obs o ON o.p = s.p AND o.pos = s.pos WHERE s.pos < {upto}) s"""
+
+
+_POINTS = ", ".join(f"({a}::DOUBLE, {b}::DOUBLE, {g}::DOUBLE)" for a in LEVEL_WEIGHTS for b in TREND_WEIGHTS for g in SEASON_WEIGHTS)
+
+SMOOTHED = f"""{SQL_SPINE},
+obs AS (SELECT "Product Name" AS p, CAST("Total Quantity" AS DOUBLE) AS y,
+               row_number() OVER (PARTITION BY "Product Name" ORDER BY "Date") - 1 AS pos FROM spine),
+sizes AS (SELECT "Product Name" AS p, count(*) AS n, max("Date") AS last_date FROM spine GROUP BY 1),
+usable AS (SELECT p, period FROM sizes, (VALUES (7), (14), (30)) t(period) WHERE n - 7 >= 2 * period),
+starts AS (SELECT p, max(period) AS score_from FROM usable GROUP BY 1),
+halves AS (SELECT u.p, u.period, any_value(s.n) AS n, any_value(s.last_date) AS last_date,
+                  sum(o.y) FILTER (WHERE o.pos < period) / period AS f, sum(o.y) FILTER (WHERE o.pos >= period) / period AS l,
+                  list(o.y ORDER BY o.pos) FILTER (WHERE o.pos < period) AS head
+           FROM usable u JOIN sizes s USING (p) JOIN obs o ON o.p = u.p AND o.pos < 2 * period GROUP BY 1, 2),
+grid AS (SELECT p, period, alpha, beta, gamma, score_from
+         FROM usable JOIN starts USING (p), (VALUES {_POINTS}) t(alpha, beta, gamma)),
+fold AS ({_smoothed("fold", "s.n - 7", "grid")}),
+best AS (SELECT p, period, alpha, beta, gamma, score_from, n, n - 7 - score_from AS n_scored, level, trend, seasons,
+                round((n - 7 - score_from) * ln(greatest(sse / (n - 7 - score_from), 1e-12)) + 2 * (period + 5), 6) AS aic
+         FROM fold WHERE pos = n - 7
+         QUALIFY row_number() OVER (PARTITION BY p ORDER BY aic, period, alpha, beta, gamma) = 1)"""
+
+ORACLE["smoothed_baseline"] = f"""WITH RECURSIVE {SMOOTHED},
+cases AS (SELECT b.*, o.y, level + (o.pos - n + 8) * trend + seasons[1 + (o.pos - n + 7) % period] AS y_hat
+          FROM best b JOIN obs o ON o.p = b.p AND o.pos >= b.n - 7)
+SELECT p AS "Product Name", round(aic, 4) AS aic, CAST(period AS INT) AS period, alpha, beta, gamma, CAST(n_scored AS INT) AS n_scored,
+       round(avg(abs(y - y_hat)), 6) AS mae, round(avg((y - y_hat) * (y - y_hat)), 6) AS mse, round(sqrt(avg((y - y_hat) * (y - y_hat))), 6) AS rmse,
+       round(100 * avg(CASE WHEN y <> 0 THEN abs((y - y_hat) / y) END), 6) AS mape
+FROM cases GROUP BY ALL"""
+
+ORACLE["smoothed_forecast"] = f"""WITH RECURSIVE {SMOOTHED},
+chosen AS (SELECT p, period, alpha, beta, gamma, score_from FROM best),
+whole AS ({_smoothed("whole", "s.n", "chosen")})
+SELECT p AS "Product Name", CAST(last_date + CAST(h AS INTEGER) AS DATE) AS "Date", round(level + h * trend + seasons[1 + (h - 1) % period], 6) AS y_hat
+FROM whole, range(1, 8) t(h) WHERE pos = n"""
+
+ORACLE["stats_document"] = ORACLE["daily_stats"]
+
+ORACLE["version_log"] = """WITH v AS (
+  SELECT 1 AS day, source, doc_id, text FROM documents
+  UNION ALL SELECT 2, source, doc_id, CASE WHEN doc_id % 7 = 0 THEN text || ' ' ELSE text END FROM documents WHERE doc_id % 10 <> 3),
+f AS (SELECT day, source || '/' || doc_id AS file_path, text FROM v)
+SELECT file_path, '{"timestamp":"2024-01-0' || day || 'T00:00:00","file":{"file_path":"' || file_path || '","size":' || strlen(text)
+       || ',"digest":"' || md5(text) || '","updated":"1970-01-01T00:00:00.000Z"}}' AS document FROM f
+UNION ALL SELECT NULL, '{"timestamp":"2024-01-03T00:00:00"}'"""
+
+ORACLE["version_success"] = """SELECT 'long texts' AS "case", count(*) FILTER (WHERE length(text) > 1000) > 0 OR count(*) = 0 AS success FROM documents
+UNION ALL SELECT 'nothing', count(*) = 0 FROM documents UNION ALL SELECT 'none found', true"""
+
+ORACLE["empty_daily"] = f"""WITH {SQL_DAILY_TEXT}, none AS (SELECT * FROM daily_text WHERE length("Total Quantity") < 0)
+SELECT CASE WHEN count(*) = 0 THEN '{EMPTY_MESSAGE}' ELSE '' END AS results, count(*) > 0 AS has_errors, '' AS missing_columns,
+       count(*) AS error_count FROM none"""
+
+ORACLE["post_validation"] = f"""WITH {SQL_DAILY}, taken AS (
+  SELECT "Product Name", CASE WHEN dayofyear("Date") % 50 = 0 THEN -"Total Quantity" ELSE "Total Quantity" END AS q FROM daily)
+SELECT "Product Name", round(avg(q), 6) AS mean, CAST(min(q) AS DOUBLE) AS min, CAST(max(q) AS DOUBLE) AS max,
+       CASE WHEN count(*) FILTER (WHERE q <= 0) > 0 THEN '{POSITIVE_MESSAGE}' END AS anomaly_reason,
+       nullif(count(*) FILTER (WHERE q <= 0), 0) AS failing,
+       (SELECT count(*) FROM taken WHERE q <= 0) = 0 AS passed
+FROM taken GROUP BY 1"""
+
+ORACLE["base_price"] = """SELECT p_partkey, round(CASE WHEN p_partkey % 3 = 0 THEN CAST(p_retailprice AS DOUBLE) * 2 + 0.004
+  ELSE CAST(p_retailprice AS DOUBLE) END, 2) AS price FROM part"""
+
+ORACLE["forward_fill"] = f"""WITH {SQL_DAILY}
+SELECT "Date", "Product Name", last_value(CASE WHEN day("Date") % 3 <> 0 THEN "Total Quantity" END IGNORE NULLS) OVER w AS "Total Quantity",
+       last_value(CASE WHEN isodow("Date") = 1 THEN "Total Quantity" END IGNORE NULLS) OVER w AS weekly
+FROM daily WINDOW w AS (PARTITION BY "Product Name" ORDER BY "Date" ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)"""
