@@ -27,7 +27,7 @@ from demandloom.schema import (
 )
 from demandloom.session import configure, scratch_path, stage
 from demandloom.functions.text import processed_name
-from demandloom.sources import documents, listing, manifest, readers, totals, writers
+from demandloom.sources import documents, listing, manifest, ranges, readers, totals, writers
 from demandloom.sources.ledger import read_ledger
 from demandloom.streaming import live
 from demandloom.streaming.ingest import clean_arriving_files, stream_files
@@ -445,20 +445,40 @@ def content_digest(spark, sf_dir):
     return listing.content_digest(views.lines(spark, sf_dir).select(QUANTITY, TX_ID, STORE, PRODUCT, PRODUCER), [PRODUCT])
 
 
-@query
-def file_inventory(spark, sf_dir):
-    """Files of document texts, one line each, in order of their ids."""
-    path = scratch_path(spark, "texts")
+def _text_files(docs: DataFrame, label: str) -> str:
+    """A folder of files of document texts, one line each, in order of their ids, 16 files."""
+    path = scratch_path(docs.sparkSession, label)
     text = F.concat_ws(" ", F.col("doc_id").cast("string"), F.translate(F.coalesce("text", F.lit("")), "\r\n", "  "))
-    docs = views.table(spark, sf_dir, "documents").select("doc_id", F.concat(F.lit("part"), F.pmod("doc_id", F.lit(16))).alias("file"), text.alias("value"))
+    named = docs.select("doc_id", F.concat(F.lit("part"), F.pmod("doc_id", F.lit(16))).alias("file"), text.alias("value"))
     (
-        docs.repartition("file").sortWithinPartitions("file", "doc_id").select("file", "value")
+        named.repartition("file").sortWithinPartitions("file", "doc_id").select("file", "value")
         .write.partitionBy("file").text(path)
     )
-    files = listing.inventory(spark, path)
+    return path
+
+
+@query
+def file_inventory(spark, sf_dir):
+    """Files of document texts."""
+    files = listing.inventory(spark, _text_files(views.table(spark, sf_dir, "documents"), "texts"))
     return files.select(F.regexp_extract("file_path", "(part[0-9]+)", 1).alias("file"), "size", "digest")
 
 
+@query
+def range_diff(spark, sf_dir):
+    """Byte ranges that differ between two folders of document texts: some letters replaced, one file
+    gone, one new, one without its last texts."""
+    docs, i = views.table(spark, sf_dir, "documents"), F.col("doc_id")
+    edited = F.when(i % 97 == 5, F.translate("text", "ae", "ea")).otherwise(F.col("text"))
+    old = docs.where(i % 16 != 3)
+    new = docs.where((i % 16 != 7) & ~((i % 16 == 2) & (i > 500))).withColumn("text", edited)
+    trees = []
+    for label, table in (("texts-old", old), ("texts-new", new)):
+        found = ranges.digest_tree(ranges.block_digests(spark, _text_files(table, label), 4096))
+        trees.append(found.withColumn("file_path", F.regexp_extract("file_path", "(part[0-9]+)", 1)))
+    return ranges.diff_ranges(*trees, 4096)
+
+
 def _slim(df: DataFrame) -> DataFrame:
     """Prices as numbers: SQL engines write them differently."""
     return df.select(*RAW_COLUMNS).withColumn(PRICE, F.col(PRICE).cast("double"))

@@ -661,3 +661,25 @@ ORACLE["forward_fill"] = f"""WITH {SQL_DAILY}
 SELECT "Date", "Product Name", last_value(CASE WHEN day("Date") % 3 <> 0 THEN "Total Quantity" END IGNORE NULLS) OVER w AS "Total Quantity",
        last_value(CASE WHEN isodow("Date") = 1 THEN "Total Quantity" END IGNORE NULLS) OVER w AS weekly
 FROM daily WINDOW w AS (PARTITION BY "Product Name" ORDER BY "Date" ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)"""
+
+ORACLE["range_diff"] = """WITH docs AS (
+  SELECT doc_id, 'part' || (doc_id % 16) AS file_path, translate(coalesce(text, ''), chr(13) || chr(10), '  ') AS text FROM documents),
+versions AS (
+  SELECT 'old' AS v, file_path, doc_id, text FROM docs WHERE doc_id % 16 <> 3
+  UNION ALL SELECT 'new', file_path, doc_id, CASE WHEN doc_id % 97 = 5 THEN translate(text, 'ae', 'ea') ELSE text END
+  FROM docs WHERE doc_id % 16 <> 7 AND NOT (doc_id % 16 = 2 AND doc_id > 500)),
+files AS (SELECT v, file_path, hex(encode(string_agg(doc_id || ' ' || text || chr(10), '' ORDER BY doc_id))) AS h FROM versions GROUP BY 1, 2),
+blocks AS (SELECT v, file_path, unnest(range(0, (length(h) + 8191) // 8192)) AS node, h FROM files),
+cut AS (SELECT v, file_path, node, substr(h, node * 8192 + 1, 8192) AS part FROM blocks),
+differing AS (
+  SELECT file_path, node, coalesce(length(o.part), 0) // 2 AS a, coalesce(length(n.part), 0) // 2 AS b
+  FROM (SELECT * FROM cut WHERE v = 'old') o FULL JOIN (SELECT * FROM cut WHERE v = 'new') n USING (file_path, node)
+  WHERE o.part IS DISTINCT FROM n.part),
+spans AS (
+  SELECT file_path, 'changed' AS change, node * 4096 AS s, node * 4096 + least(a, b) AS e FROM differing WHERE least(a, b) > 0
+  UNION ALL SELECT file_path, CASE WHEN b > a THEN 'added' ELSE 'removed' END, node * 4096 + least(a, b), node * 4096 + greatest(a, b)
+  FROM differing WHERE a <> b),
+marked AS (SELECT *, CASE WHEN lag(e) OVER w IS NOT DISTINCT FROM s THEN 0 ELSE 1 END AS begins FROM spans
+           WINDOW w AS (PARTITION BY file_path, change ORDER BY s)),
+numbered AS (SELECT *, sum(begins) OVER (PARTITION BY file_path, change ORDER BY s) AS k FROM marked)
+SELECT file_path, change, CAST(min(s) AS BIGINT) AS "start", CAST(max(e) AS BIGINT) AS "end" FROM numbered GROUP BY file_path, change, k"""
