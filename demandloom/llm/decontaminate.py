@@ -5,10 +5,12 @@ digits).  An item is contained if at least ``threshold`` of its shingles are in
 document.  The signature of an item of n shingles is its s smallest shingle hashes with
 s = n - ceil(threshold * n) + 1: a document that holds enough of the item lacks at most
 s - 1 of its shingles, so at least one of these minima is in it, however long it is, and
-no contained item is missed.  Items are partitioned by size (powers of two).  Each
+no contained item is missed.  Hashes that many items hold come last in the order, so a
+phrase they share makes no candidates.  Items are partitioned by size (powers of two).  Each
 partition has its own largest signature hash; a document takes part with those of its
 hashes that are small enough for a partition, and only with partitions whose smallest
-item it is large enough to hold.  Candidates are then verified on the shingles themselves.
+item it is large enough to hold.  The shingles of candidate documents are then joined with those of
+the items and counted per document and item, so containment is exact.
 
 Defined results: a null text counts as empty; items of fewer than five words have no
 shingle and are contained in nothing; repeated items or documents give one row; a null
@@ -53,16 +55,32 @@ def needed(n: Column, threshold: float) -> Column:
     return F.ceil(n * threshold - 1e-9).cast("int")
 
 
-def signatures(items: DataFrame, size: int = SHINGLE, threshold: float = THRESHOLD) -> DataFrame:
-    """(item, item_id, n_item, need, part, grams, minima) of every item with shingles."""
+def item_grams(items: DataFrame, size: int = SHINGLE, threshold: float = THRESHOLD) -> DataFrame:
+    """(item, item_id, n_item, need, gram, h): the distinct shingles of every different item."""
     split = items.select("item_id", tokens(F.coalesce("text", F.lit(""))).alias("toks"))
-    split = split.select("item_id", shingles("toks", size).alias("grams"), F.sort_array(hashes("toks", size)).alias("hashes"))
-    split = split.filter(F.size("grams") > 0).withColumn("item", F.xxhash64("item_id", F.sort_array("grams")))
-    counted = split.dropDuplicates(["item"]).withColumn("n_item", F.size("grams"))
-    counted = counted.withColumn("need", needed(F.col("n_item"), threshold))
-    return counted.select(
-        "item", "item_id", "n_item", "need", F.floor(F.log2("n_item")).cast("int").alias("part"), "grams",
-        F.slice("hashes", F.lit(1), F.size("hashes") - F.col("need") + 1).alias("minima"),
+    split = split.select("item_id", shingles("toks", size).alias("grams")).filter(F.size("grams") > 0)
+    once = split.withColumn("item", F.xxhash64("item_id", F.sort_array("grams"))).dropDuplicates(["item"])
+    n = F.size("grams")
+    return once.select("item", "item_id", n.alias("n_item"), needed(n, threshold).alias("need"), F.explode("grams").alias("gram")).withColumn(
+        "h", F.xxhash64(F.split("gram", " "))
+    )
+
+
+def signatures(grams: DataFrame) -> DataFrame:
+    """(item, n_item, need, part, minima) from the shingles of the items.
+
+    Any order of all hashes gives whole results.  Here hashes that few items hold come before those that
+    many hold (by powers of two), so that a phrase many items share is no signature of items that
+    have enough else; among equals the smaller hash comes first.
+    """
+    held = grams.groupBy("h").agg(F.floor(F.log2(F.count_distinct("item"))).cast("int").alias("common"))
+    ranked = grams.join(held, "h").groupBy("item", "n_item", "need").agg(
+        F.array_sort(F.collect_set(F.struct("common", "h"))).alias("hashes")
+    )
+    minima = F.slice("hashes", F.lit(1), F.size("hashes") - F.col("need") + 1)
+    return ranked.select(
+        "item", "n_item", "need", F.floor(F.log2("n_item")).cast("int").alias("part"),
+        F.transform(minima, lambda m: m["h"]).alias("minima"),
     )
 
 
@@ -90,23 +108,20 @@ def find_contained(
 ) -> DataFrame:
     """(doc_id, item_id, n_item, n_shared, containment, th), one row per contained item."""
     texts = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
-    signed = stage(signatures(items, size, threshold), "items")
-    found = stage(candidates(texts, signed, size), "candidates")
-    grams = signed.select("item", "item_id", "n_item", "need", "grams")
-    sought = found.join(grams, "item").select(F.col("doc_id").alias("__id"), F.col("th").alias("__th"), "item", "item_id", "n_item", "need", "grams")
-    # A document is split once, however many items it may hold.
-    per_doc = sought.groupBy("__id", "__th").agg(F.collect_set(F.struct("item", "item_id", "n_item", "need", "grams")).alias("wanted"))
-    joined = texts.withColumn("th", F.xxhash64("text")).join(per_doc.hint("merge"), F.expr("doc_id <=> __id and th = __th"))
-    own = joined.withColumn("toks", tokens(F.col("text"))).select("doc_id", "th", shingles("toks", size).alias("own"), "wanted")
-    shared = own.select(
-        "doc_id", "th",
-        F.explode(
-            F.transform("wanted", lambda w: F.struct(w["item_id"].alias("item_id"), w["n_item"].alias("n_item"), w["need"].alias("need"), F.size(F.array_intersect(w["grams"], "own")).alias("n_shared")))
-        ).alias("w"),
-    ).select("doc_id", "th", "w.*")
+    grams = stage(item_grams(items, size, threshold), "items")
+    found = stage(candidates(texts, stage(signatures(grams), "signed"), size), "candidates")
+    wanted = found.select(F.col("doc_id").alias("__id"), F.col("th").alias("__th")).distinct()
+    joined = texts.withColumn("th", F.xxhash64("text")).join(wanted.hint("merge"), F.expr("doc_id <=> __id and th = __th"))
+    # Repeated rows are counted apart and become one at the end.
+    own = joined.select("doc_id", "th", F.monotonically_increasing_id().alias("row"), tokens(F.col("text")).alias("toks"))
+    own = own.select("doc_id", "th", "row", F.explode(shingles("toks", size)).alias("gram"))
+    # Counted with map-side combine: no list of a document's items or of an item's shingles.
+    counted = own.join(grams, "gram").groupBy("row", "doc_id", "th", "item", "item_id", "n_item", "need").agg(
+        F.count(F.lit(1)).alias("n_shared")
+    )
     return (
-        shared.filter("n_shared >= need")
-        .select("doc_id", "item_id", F.col("n_item").cast("long").alias("n_item"), F.col("n_shared").cast("long").alias("n_shared"), (F.col("n_shared") / F.col("n_item")).alias("containment"), "th")
+        counted.filter("n_shared >= need")
+        .select("doc_id", "item_id", F.col("n_item").cast("long").alias("n_item"), "n_shared", (F.col("n_shared") / F.col("n_item")).alias("containment"), "th")
         .distinct()
     )
 

@@ -55,3 +55,23 @@ def test_edge_cases(spark, edge_docs):
 
 def test_sample(spark, sample_docs):
     check(sample_docs, spark.read.parquet("/root/testdata/sf0.001/benchmark.parquet"))
+
+
+def test_phrase_that_many_items_share(spark, make_docs):
+    phrase = "which of the following statements best describes"
+    own = lambda k: " ".join(f"i{k}w{j}" for j in range(20))
+    rows = [(k, f"{phrase} {own(k)}", 0) for k in range(60)]
+    items = spark.createDataFrame(rows, "item_id long, text string, h int")
+    docs = make_docs([(k, f"d{k} a {phrase} b{k} c") for k in range(80)] + [(100, f"x {phrase} {own(7)} y")] * 2)
+    signed = decontaminate.signatures(decontaminate.item_grams(items))
+    pairs = decontaminate.candidates(docs.select("doc_id", "text"), signed)
+    assert [(r.doc_id) for r in pairs.collect()] == [100]
+    assert {i[:2] for i in check(docs, items)} == {(100, 7)}
+
+
+def test_items_made_of_shared_phrases_only(spark, make_docs):
+    words = "one two three four five six seven eight".split()
+    texts = [" ".join(words[a:b]) for a in range(4) for b in range(a + 5, 9)]
+    items = spark.createDataFrame([(k, t, 0) for k, t in enumerate(texts)], "item_id long, text string, h int")
+    docs = make_docs([(1, " ".join(words)), (2, "one two three four five"), (3, "two three four five six seven x eight")])
+    assert len(check(docs, items)) > len(texts)
