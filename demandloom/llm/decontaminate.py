@@ -27,6 +27,8 @@ from demandloom.session import stage
 
 SHINGLE = 5
 THRESHOLD = 0.8
+# A hash that so many items hold is a signature only of items without enough others.
+SHARED = 16
 
 
 def tokens(text: Column) -> Column:
@@ -69,11 +71,12 @@ def item_grams(items: DataFrame, size: int = SHINGLE, threshold: float = THRESHO
 def signatures(grams: DataFrame) -> DataFrame:
     """(item, n_item, need, part, minima) from the shingles of the items.
 
-    Any order of all hashes gives whole results.  Here hashes that few items hold come before those that
-    many hold (by powers of two), so that a phrase many items share is no signature of items that
-    have enough else; among equals the smaller hash comes first.
+    Any order of all hashes gives whole results.  Here hashes that fewer than ``SHARED`` items hold come
+    before those that more hold (by powers of ``SHARED``), so that a phrase many items share is no
+    signature of items that have enough else; otherwise the smaller hash comes first, which keeps
+    the partitions' limits low.
     """
-    held = grams.groupBy("h").agg(F.floor(F.log2(F.count_distinct("item"))).cast("int").alias("common"))
+    held = grams.groupBy("h").agg(F.floor(F.log(float(SHARED), F.count_distinct("item")) + 1e-9).cast("int").alias("common"))
     ranked = grams.join(held, "h").groupBy("item", "n_item", "need").agg(
         F.array_sort(F.collect_set(F.struct("common", "h"))).alias("hashes")
     )
