@@ -5,7 +5,9 @@ one shared feature) and character n-grams of its UTF-8 bytes, word boundaries in
 Every feature has a learned vector; a document is the average of its vectors; a softmax
 layer gives the class.  Training is stochastic gradient descent in numpy over a bounded
 sample: at most ``per_class`` labelled documents of each class, those of the smallest id
-hashes, weighted so that the classes keep their shares.  Scoring reads every whole text.
+hashes, weighted so that the classes keep their shares.  Their features are a written table; every
+epoch reads it in another order, a part at a time, so the driver never holds the sample, however
+long its texts are.  Scoring reads every whole text.
 
 Defined results: a null or empty text has no features and gets the score of the bias; rows
 with a null id, label or class other than 0 and 1 teach nothing; a ``doc_id`` labelled both
@@ -16,6 +18,8 @@ columns are ignored.
 
 from __future__ import annotations
 
+from collections.abc import Callable, Iterable
+
 import numpy as np
 import pandas as pd
 import pyarrow as pa
@@ -24,6 +28,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType
 
 from demandloom.llm.common import prepare, text_of
+from demandloom.session import stage
 
 BUCKETS = 1 << 18
 DIM = 8
@@ -122,20 +127,22 @@ def _document(text: str) -> tuple[np.ndarray, np.ndarray]:
     return kinds.astype(np.int32), (counts / len(ids)).astype(np.float32)
 
 
-def train(samples: list[tuple[np.ndarray, np.ndarray, int, float]]) -> tuple[np.ndarray, float]:
-    """Vectors and softmax by stochastic gradient descent over (ids, shares, label, weight).
+Sample = tuple[np.ndarray, np.ndarray, int, float]
+
+
+def train(epoch: Callable[[int], Iterable[Sample]], size: int) -> tuple[np.ndarray, float]:
+    """Vectors and softmax by stochastic gradient descent over the (ids, shares, label, weight) of each epoch.
 
-    Returned as what scoring needs: each feature's contribution to the difference of the two
-    class scores, and the difference of the biases.
+    ``size`` is the number of samples of an epoch.  Returned as what scoring needs: each feature's
+    contribution to the difference of the two class scores, and the difference of the biases.
     """
     rng = np.random.default_rng(SEED)
     vectors = rng.uniform(-1 / DIM, 1 / DIM, (BUCKETS, DIM)).astype(np.float32)
     layer = rng.uniform(-1 / DIM, 1 / DIM, (DIM, 2)).astype(np.float32)
     bias = np.zeros(2, dtype=np.float32)
-    steps, total = 0, max(1, EPOCHS * len(samples))
-    for _ in range(EPOCHS):
-        for i in rng.permutation(len(samples)):
-            ids, shares, label, weight = samples[i]
+    steps, total = 0, max(1, EPOCHS * size)
+    for number in range(EPOCHS):
+        for ids, shares, label, weight in epoch(number):
             rate = np.float32(RATE * weight * (1 - steps / total))
             steps += 1
             own = vectors[ids]
@@ -192,16 +199,19 @@ def fit(docs: DataFrame, labels: DataFrame, label: str = "quality", per_class: i
             )
 
     # One row per id, so the bound of the ids is that of the rows.
-    found = rows.mapInArrow(run, "doc_id long, label int, ids binary, shares binary").orderBy(F.xxhash64("doc_id"), "doc_id").toArrow()
-    used = {c: 0 for c in (0, 1)}
-    samples = []
-    for c, ids, shares in zip(found.column(1).to_pylist(), found.column(2).to_pylist(), found.column(3).to_pylist()):
-        samples.append((np.frombuffer(ids, np.int32), np.frombuffer(shares, np.float32), c))
-        used[c] += 1
-    whole = sum(sizes.values())
-    weight = {c: sizes[c] / whole / (used[c] / max(1, len(samples))) if used[c] else 0.0 for c in (0, 1)}
+    made = stage(rows.mapInArrow(run, "doc_id long, label int, ids binary, shares binary"), "features")
+    used = {r["label"]: r["n"] for r in made.groupBy("label").agg(F.count(F.lit(1)).alias("n")).collect()}
+    whole, seen = sum(sizes.values()), max(1, sum(used.values()))
     # Half way to the true shares: the rarer class stays visible.
-    return train([(i, s, c, float(np.sqrt(weight[c]))) for i, s, c in samples if len(i)])
+    weight = {c: float(np.sqrt(sizes[c] / whole / (n / seen))) for c, n in used.items()}
+    filled = made.filter(F.length("ids") > 0)
+
+    def epoch(number: int):
+        ordered = filled.orderBy(F.xxhash64("doc_id", F.lit(number)), "doc_id")
+        for row in ordered.toLocalIterator():
+            yield np.frombuffer(row.ids, np.int32), np.frombuffer(row.shares, np.float32), row.label, weight[row.label]
+
+    return train(epoch, filled.count())
 
 
 def score_text(text: str, parts: np.ndarray, bias: float) -> float:
