@@ -6,6 +6,7 @@ from datetime import datetime
 
 import pytest
 from helpers import values
+from pyspark.sql import functions as F
 
 from demandloom import session
 from demandloom.operators.clean import coerce_types
@@ -191,3 +192,11 @@ def test_staged_table_keeps_names_and_types(spark):
     staged = session.stage(typed)
     assert staged.schema == typed.schema
     assert values(staged) == values(typed)
+
+
+def test_repeated_texts_are_not_broadcast_by_their_size_on_disk(spark):
+    """A table of a megabyte or two on disk and over a hundred in memory."""
+    wide = session.stage(spark.range(300_000).select("id", F.lit("x" * 400).alias("text")), "wide")
+    joined = spark.range(3_000_000).selectExpr("id", "id % 7 as k").join(wide, "id")
+    assert "Broadcast" not in joined._jdf.queryExecution().executedPlan().toString()
+    assert joined.count() == 300_000
