@@ -710,10 +710,10 @@ def redelivery(spark, sf_dir):
 
 @query
 def live_daily(spark, sf_dir):
-    """Files of transactions as a live stream, one file a batch; every ID counts once in two months."""
+    """Files of transactions as a live stream in at most ``live.CATCH_UP_BATCHES`` batches; every ID counts once in two months."""
     inbox = _export_files(views.raw_events(spark, sf_dir), RAW_COLUMNS)
     job = live.LiveDemand(spark, scratch_path(spark, "live"), timedelta(days=60))
-    rows = live.stream_transactions(spark, inbox, "csv", max_files=1)
+    rows = live.stream_transactions(spark, inbox, "csv", max_files=live.files_per_batch(listing.list_files(spark, inbox).count()))
     job.start(rows, scratch_path(spark, "checkpoint"), once=True).awaitTermination()
     return job.current_daily()
 

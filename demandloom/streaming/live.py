@@ -28,6 +28,8 @@ from demandloom.sources.readers import CSV_OPTIONS
 from demandloom.streaming.ingest import POLL_INTERVAL
 
 LATENESS = timedelta(days=2)
+#: Most batches that files which wait already are cut into.
+CATCH_UP_BATCHES = 16
 STATE = f"id string, at timestamp_ntz, {SOURCE_FILE} string, {BLOCK} long, {SEQ} long, `{PRODUCT}` string, `{QUANTITY}` long, done boolean"
 MARK = "watermark timestamp_ntz"
 DAILY = f"`{DATE}` date, `{PRODUCT}` string, `{TOTAL}` long"
@@ -44,6 +46,15 @@ def stream_transactions(spark: SparkSession, path: str, fmt: str = "json", max_f
     )
 
 
+def files_per_batch(files: int, batches: int = CATCH_UP_BATCHES) -> int:
+    """Files of one batch, so that so many files that wait are done in at most ``batches``.
+
+    Every batch writes the state anew, which is all rows until the watermark moves: with a
+    fixed number of files a batch the work would grow as the square of the files.
+    """
+    return max(1, -(-files // batches))
+
+
 def _arrived(batch: DataFrame) -> DataFrame:
     """Typed rows of known products with a time; a row without ID is nobody's duplicate."""
     placed = batch.withColumn(SEQ, F.monotonically_increasing_id())

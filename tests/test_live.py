@@ -109,3 +109,13 @@ def test_a_retried_batch_changes_nothing(spark, tmp_path):
     # An empty batch carries state and watermark on.
     once.process(batch.limit(0), once.last_batch() + 1)
     assert found(once.current_daily()) == before
+
+
+def test_waiting_files_are_done_in_few_batches(spark, tmp_path):
+    rows, lateness = made(11, 80, 9), timedelta(days=60)
+    write(spark, tmp_path / "many", rows, range(2, 80, 2))
+    files = sum(1 for _ in (tmp_path / "many").rglob("*.json"))
+    job = run(spark, tmp_path, "many", live.files_per_batch(files), lateness)
+    assert 1 < job.last_batch() + 1 <= live.CATCH_UP_BATCHES < files
+    assert found(job.current_daily()) == plain(rows, lateness)
+    assert [live.files_per_batch(n) for n in (0, 1, 16, 17, 40)] == [1, 1, 1, 2, 3]
