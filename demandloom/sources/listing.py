@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import posixpath
+from collections.abc import Iterator
+
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -14,6 +17,27 @@ def scanned_file() -> Column:
     return F.url_decode(F.replace(F.col("_metadata.file_path"), F.lit("+"), F.lit("%2B")))
 
 
+def _found_files(fs, root) -> Iterator[tuple[str, int, int]]:
+    """(path, size, milliseconds) of every file below a folder, or of a single file."""
+    if not fs.exists(root):
+        return
+    if fs.getScheme() != "file":
+        # One request for many files, where the store has such a request.
+        found = fs.listFiles(root, True)
+        while found.hasNext():
+            status = found.next()
+            yield status.getPath().toString(), status.getLen(), status.getModificationTime()
+        return
+    # A local listing with locations starts a process for each file, to ask for its permissions.
+    folders = [root]
+    while folders:
+        for status in fs.listStatus(folders.pop()):
+            if status.isDirectory():
+                folders.append(status.getPath())
+            else:
+                yield status.getPath().toString(), status.getLen(), status.getModificationTime()
+
+
 def list_files(spark: SparkSession, path: str) -> DataFrame:
     """(file_path, size, updated) of all files below a folder.
 
@@ -23,13 +47,7 @@ def list_files(spark: SparkSession, path: str) -> DataFrame:
     jvm = spark.sparkContext._jvm
     root = jvm.org.apache.hadoop.fs.Path(path)
     fs = root.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    rows = []
-    found = fs.listFiles(root, True) if fs.exists(root) else None
-    while found is not None and found.hasNext():
-        status = found.next()
-        if not status.getPath().getName().startswith(("_", ".")):
-            name = status.getPath().toString()
-            rows.append((name, status.getLen(), status.getModificationTime()))
+    rows = [r for r in _found_files(fs, root) if not posixpath.basename(r[0]).startswith(("_", "."))]
     listed = spark.createDataFrame(rows, "file_path string, size long, millis long")
     return listed.select("file_path", "size", F.timestamp_millis("millis").alias("updated"))
 

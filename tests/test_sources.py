@@ -200,3 +200,42 @@ def test_repeated_texts_are_not_broadcast_by_their_size_on_disk(spark):
     joined = spark.range(3_000_000).selectExpr("id", "id % 7 as k").join(wide, "id")
     assert "Broadcast" not in joined._jdf.queryExecution().executedPlan().toString()
     assert joined.count() == 300_000
+
+
+def test_many_files_are_listed_by_few_tasks(spark, tmp_path):
+    for k in range(40):
+        (tmp_path / f"f{k}.txt").write_text(f"{k}\n")
+    paths, context = [str(p) for p in tmp_path.glob("*.txt")], spark.sparkContext
+    context.setJobGroup("listing", "listing")
+    lines = spark.read.text(paths)
+    context.setJobGroup("reading", "reading")
+    tracker = context.statusTracker()
+    jobs = [tracker.getJobInfo(j) for j in tracker.getJobIdsForGroup("listing")]
+    tasks = [tracker.getStageInfo(s).numTasks for j in jobs for s in j.stageIds]
+    assert tasks and max(tasks) <= 32
+    assert sorted(int(r.value) for r in lines.collect()) == list(range(40))
+
+
+def test_local_listing_starts_no_process_for_a_file(spark, tmp_path, monkeypatch):
+    """Nested and empty files are there, hidden ones are not; a file is a listing of itself."""
+    (tmp_path / "a" / "b").mkdir(parents=True)
+    for name, text in (("a/one.csv", "1"), ("a/b/two.csv", ""), ("a/_done", "x"), ("a/.hid", "x"), ("three.csv", "123")):
+        (tmp_path / name).write_text(text)
+    found = {r.file_path.split(tmp_path.name)[1]: r["size"] for r in listing.list_files(spark, str(tmp_path)).collect()}
+    assert found == {"/a/one.csv": 1, "/a/b/two.csv": 0, "/three.csv": 3}
+    assert [r["size"] for r in listing.list_files(spark, str(tmp_path / "three.csv")).collect()] == [3]
+    assert listing.list_files(spark, str(tmp_path / "none")).count() == 0
+
+    class Located:
+        """Fails where the files of a local folder are asked for with their locations."""
+
+        def __init__(self, fs):
+            self.fs = fs
+
+        def __getattr__(self, name):
+            assert name != "listFiles"
+            return getattr(self.fs, name)
+
+    root = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(str(tmp_path))
+    fs = Located(root.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()))
+    assert len(list(listing._found_files(fs, root))) == 5
