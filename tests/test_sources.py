@@ -239,3 +239,18 @@ def test_local_listing_starts_no_process_for_a_file(spark, tmp_path, monkeypatch
     root = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(str(tmp_path))
     fs = Located(root.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()))
     assert len(list(listing._found_files(fs, root))) == 5
+
+
+def test_ranges_and_shuffles_keep_their_size(spark, tmp_path):
+    """What one task reads does not grow with the file, nor with the table behind a shuffle."""
+    (tmp_path / "large.csv").write_text(("x" * 999 + "\n") * 70_000)
+    spark.conf.set("spark.sql.files.minPartitionNum", "1")
+    try:
+        lines = readers.read_lines(spark, str(tmp_path / "large.csv"))
+        assert lines.select("block_start").distinct().count() == 3
+    finally:
+        spark.conf.unset("spark.sql.files.minPartitionNum")
+    text = F.concat(*[F.md5(F.concat("id", F.lit(str(k))).cast("string")) for k in range(10)])
+    spread = spark.range(200_000).select("id", text.alias("text")).groupBy("id").agg(F.max("text").alias("text"))
+    # 70 MB behind a shuffle that the session would cut in two.
+    assert spread.rdd.getNumPartitions() >= 4
