@@ -264,7 +264,11 @@ def decode(encoded: DataFrame, ranks: dict[bytes, int] | None = None) -> DataFra
             out = []
             for ids in batch.column(1).to_pylist():
                 if isinstance(ids, bytes):
-                    ids = np.frombuffer(ids, dtype="<u4").tolist()
+                    ids = np.frombuffer(ids, dtype="<u4")
+                    if not len(ids) or ids.max() < n:
+                        out.append(b"".join(map(table.__getitem__, ids.tolist())))
+                        continue
+                    ids = ids.tolist()
                 out.append(None if ids is None else b"".join([table[i] if i is not None and 0 <= i < n else other for i in ids]))
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(out, type=pa.binary())], names=["doc_id", "ids", "decoded"])
 
